@@ -149,11 +149,6 @@ select cast(b.bin as int) as bin, round(lo + b.bin*((hi-lo)/30), 6) as lower, ro
 from (select unnest(range(30)) as bin) b cross join ends left join filled f on f.bin = b.bin"""
 
 
-_LONG = """long as (
-  select epoch, feature, importance from (
-    unpivot (select epoch, """ + "{columns}" + """ from importance_log) on columns(* exclude epoch)
-    into name feature value importance))"""
-
 LOG_COLUMNS = [
     "miles", "zip", "hour", "aadt", "DIR", "thrulanes", "speed_All", "urban_code", "route_sign", "start_latitude",
     "start_longitude", "f_system", "TMC_Value", "hour_before", "hour_after", "speed_All_before",
@@ -206,22 +201,19 @@ SCALED = _scaled()
 
 
 def _importance() -> str:
-    f = feature_columns()
     weights = fixed_weights()
     score = " + ".join(f"({w}) * z_{c}" for c, w in weights.items())
     changes = ", ".join(
-        f"avg(power(a.VOL - (a.score + ({weights[c]}) * (b.z_{c} - a.z_{c})), 2)) - avg(power(a.VOL - a.score, 2)) as {c}"
-        for c in f
+        f"avg(power(a.VOL - (a.score + ({w}) * (b.z_{c} - a.z_{c})), 2)) - avg(power(a.VOL - a.score, 2)) as {c}"
+        for c, w in weights.items()
     )
-    union = " union all ".join(f"select '{c}' as feature, round({c}, 4) as importance from changed" for c in f)
+    union = " union all ".join(f"select '{c}' as feature, round({c}, 4) as importance from changed" for c in weights)
     return f"""with {SCALED},
-tests as (select *, {score} as score, row_number() over (order by row_hash) - 1 as i from scaled where test),
-size as (select count(*) as n from tests),
-step as (
-  select max(n) as n, max(a) as a, max(b) as b from size, (select n as n2, 0 as a, 0 as b from size) z),
+tests as (
+  select *, {score} as score, row_number() over (order by row_hash) - 1 as i, count(*) over () as n
+  from scaled where test),
 changed as (
-  select {changes}
-  from tests a cross join size join tests b on b.i = ({{multiplier}} * a.i + {{shift}}) % size.n)
+  select {changes} from tests a join tests b on b.i = (a.i + greatest(1, a.n // 3)) % a.n)
 {union}"""
 
 
@@ -430,8 +422,16 @@ select start_latitude, start_longitude, tmc_code, measurement_tstamp from (
     "training_stations": """
 select distinct split_part(file_name, '_', 1) as STATION_ID from dataset_file
 where suffix(file_name, '.pkl') and len(string_split(file_name, '_')) = 3""",
-    "missing_stations": f"""with {DATASET}
-select distinct STATION_ID from tier1 where STATION_ID not in (select STATION_ID from dataset)""",
+    "missing_stations": f"""with {PROBES},
+{SEGMENTS},
+{TIER1},
+located as (
+  select p.measurement_tstamp, m.STATION_ID from probes p
+  join tier1 m on m.Tmc = p.tmc_code join seg on seg.tmc_code = p.tmc_code)
+select distinct STATION_ID from located where STATION_ID not in (
+  select l.STATION_ID from located l
+  join count_hourly c on c.STATION_ID = l.STATION_ID and c.STATE_NAME = 'STATE_1' and c.COUNTY_NAME = 'County 1'
+   and make_timestamp(2000+c.YEAR, c.MONTH, c.DAY, c.HOUR, 0, 0) = l.measurement_tstamp)""",
     # scalar functions
     "segment_code": f"""
 select distinct tmc_code as tmc_code_raw, {_variant('tmc_code')} as TMC_Value, {_number('tmc_code')} as tmc_code from probe_all""",
@@ -470,4 +470,10 @@ select unnest(['Average Morning Peak (6 AM - 9 AM)', 'Average Evening Peak (4 PM
 select {', '.join(FEATURE_KEY)}, cast(('0x' || substr({_split(FEATURE_KEY)}, 1, 8)) as bigint) % 1000 < 100 as test from features""",
     "standardise": f"""with {SCALED}
 select row_hash, {', '.join(f'round(z_{c}, 6) as {c}' for c in feature_columns())} from scaled""",
+    "permutation_importance": _importance(),
+    "evaluate_fixed": f"""with {SCALED},
+scored as (select VOL, {' + '.join(f'({w}) * z_{c}' for c, w in fixed_weights().items())} as score from scaled where test)
+select round(avg(case when abs(VOL-score) <= 500 then 0.5*(VOL-score)*(VOL-score) else 500*(abs(VOL-score)-250) end), 6) as huber_loss,
+       round(1 - sum((VOL-score)*(VOL-score)) / (var_pop(VOL)*count(*)), 6) as r2,
+       round(count(*) filter (VOL <> 0 and abs(VOL-score)/VOL < 0.15) / count(*) * 100, 6) as pct_within from scored""",
 }

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from segflow.schema import DIRECTIONS
 
+#: Largest category index the driver turns into a literal.
+MAP_LIMIT = 1_000
+
 
 def segment_variant(code: Column) -> Column:
     """Variant of a segment code: P, N, -, + give 0, 1, 2, 3 and none gives -1.
@@ -48,7 +51,20 @@ def category_index(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def encode_categories(df: DataFrame, columns: list[str], index: DataFrame) -> DataFrame:
     """Replace each column by its code. Missing values and values the index
-    does not know share one code after the last, so no row is lost."""
+    does not know share one code after the last, so no row is lost. An index of
+    at most ``MAP_LIMIT`` entries becomes a map literal; a larger one is joined."""
+    entries = index.limit(MAP_LIMIT + 1).collect()
+    if len(entries) > MAP_LIMIT:
+        return _encode_by_join(df, columns, index)
+    codes = {}
+    for column in columns:
+        pairs = [(e.value, e.code) for e in entries if e.column_name == column]
+        known = F.create_map(*[F.lit(x) for pair in pairs for x in pair])[F.col(column)] if pairs else F.lit(None)
+        codes[column] = F.coalesce(known.cast("int"), F.lit(len(pairs)))
+    return df.withColumns(codes)
+
+
+def _encode_by_join(df: DataFrame, columns: list[str], index: DataFrame) -> DataFrame:
     order = df.columns
     for column in columns:
         known = index.where(F.col("column_name") == column)

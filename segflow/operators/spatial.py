@@ -34,37 +34,23 @@ def piece_cells(df: DataFrame, reach: float, cell: float) -> DataFrame:
     return wide.withColumn("cy", F.explode(rows))
 
 
-def _blocks(df: DataFrame, keys: list[str], per_block: int, name: str) -> DataFrame:
-    """Keys with more than ``per_block`` rows and the blocks each is cut into."""
-    counts = df.groupBy(*keys).agg(F.ceil(F.count("*") / per_block).cast("int").alias(name))
-    return counts.where(F.col(name) > 1)
-
-
 def blocked_join(left: DataFrame, right: DataFrame, keys: list[str], per_block: int) -> DataFrame:
-    """Inner join on ``keys`` in which no task meets more than about
-    ``per_block`` rows of either side under one key.
-
-    Rows of a crowded key are dealt into blocks by hash and repeated once per
-    block of the other side; every pair still meets exactly once. Keys that are
-    not crowded are left as they are. The merge hint rules out a broadcast on
-    the strength of an estimate that does not see the exploded rows.
+    """Inner join on ``keys`` in which no task holds more than about
+    ``per_block`` right rows under one key.
+
+    Right rows of a crowded key are dealt into blocks by hash and the left rows
+    of that key are repeated once per block; every pair still meets exactly
+    once. A crowded left side streams past a block and is split by adaptive
+    execution. The merge hint rules out a broadcast on the strength of an
+    estimate that does not see exploded rows.
     """
-    lcols, rcols = left.columns, [c for c in right.columns if c not in keys]
-    lhot, rhot = _blocks(left, keys, per_block, "_lb"), _blocks(right, keys, per_block, "_rb")
-    one = F.lit(1)
-
-    def sizes(df: DataFrame) -> DataFrame:
-        both = df.join(lhot, keys, "left").join(rhot, keys, "left")
-        return both.withColumns({"_lb": F.coalesce("_lb", one), "_rb": F.coalesce("_rb", one)})
-
-    def every(count: str) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    l = sizes(left).withColumn("_li", F.pmod(F.xxhash64(*lcols), F.col("_lb")).cast("int"))
-    l = l.withColumn("_ri", every("_rb")).select(*lcols, "_li", "_ri")
-    r = sizes(right).withColumn("_ri", F.pmod(F.xxhash64(*right.columns), F.col("_rb")).cast("int"))
-    r = r.withColumn("_li", every("_lb")).select(*keys, *rcols, "_li", "_ri")
-    return l.hint("merge").join(r, [*keys, "_li", "_ri"]).drop("_li", "_ri")
+    blocks = right.groupBy(*keys).agg(F.ceil(F.count("*") / per_block).cast("int").alias("_blocks"))
+    crowded = blocks.where("_blocks > 1")
+    dealt = F.pmod(F.xxhash64(*right.columns), F.coalesce("_blocks", F.lit(1))).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("_blocks", F.lit(1)) - 1))
+    r = right.join(crowded, keys, "left").withColumn("_block", dealt).drop("_blocks")
+    l = left.join(crowded, keys, "left").withColumn("_block", every).drop("_blocks")
+    return l.hint("merge").join(r, [*keys, "_block"]).drop("_block")
 
 
 def lines_near_points(

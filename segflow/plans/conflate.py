@@ -82,7 +82,8 @@ def conflate(
 
     All joins are inner on or below the segment code, so in training only
     matched segments can survive; each probe table is cut down to them before
-    it is shuffled.
+    it is shuffled. ``matches`` is used by four branches of the plan: hand in a
+    stored table, not the spatial join itself.
     """
     if matches is None:
         return attach_segments(combine_probe(every, passenger, truck), segments)
@@ -155,9 +156,10 @@ def merge_predictions(raw: DataFrame, normalised: DataFrame, parity: bool = Fals
     )
     hour = F.make_timestamp("year", "month", "day", "hour", F.lit(0), F.lit(0))
     right = normalised.withColumn("measurement_tstamp", hour)
-    shared = (set(left.columns) & set(right.columns)) - set(key)
-    left = left.withColumnsRenamed({c: c + "_raw" for c in shared})
-    right = right.withColumnsRenamed({c: c + "_norm" for c in shared})
+    names = [{c.lower() for c in df.columns if c not in key} for df in (left, right)]
+    shared = names[0] & names[1]  # names that differ only in case clash too
+    left = left.withColumnsRenamed({c: c + "_raw" for c in left.columns if c.lower() in shared})
+    right = right.withColumnsRenamed({c: c + "_norm" for c in right.columns if c.lower() in shared})
     return left.join(right, key)
 
 

@@ -14,18 +14,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segflow import schema
-from segflow.checks import FEATURE_KEY
+from segflow.checks import FEATURE_KEY, fixed_weights
 from segflow.functions.codes import category_index, direction_code, encode_categories, segment_number, segment_variant
 from segflow.functions.shapes import vertices
 from segflow.functions.times import count_timestamp, epoch_seconds, with_calendar
-from segflow.model.data import fit_scaler
+from segflow.model.data import fit_scaler, split
+from segflow.model.importance import permutation_importance as feature_importance
+from segflow.model.network import Settings, fit_network
+from segflow.model.regress import LinearScorer, VolumeModel, evaluate as evaluate_model, fit_linear, fit_trees
 from segflow.operators.histograms import fixed_width_histogram
 from segflow.operators.neighbours import with_neighbours
-from segflow.operators.rank import first_per_key, in_test_share, key_hash
+from segflow.operators.rank import first_per_key, in_test_share
 from segflow.operators.tables import coerce_numeric, drop_blank, lost_ids, repair_codes, union_all, union_ids
 from segflow.plans import conflate as join
 from segflow.plans import evaluate, features, report
-from segflow.session import configure, scratch_path
+from segflow.session import configure, scratch_path, stored
 from segflow.sources import readers, writers
 from segflow.standins import StandIns
 
@@ -67,7 +70,7 @@ def _tier1(t: StandIns) -> DataFrame:
 
 
 def _matches(t: StandIns) -> DataFrame:
-    return readers.as_matches(_tier1(t))
+    return readers.as_matches(stored(_tier1(t), "matches"))
 
 
 def _dataset(t: StandIns) -> DataFrame:
@@ -78,7 +81,7 @@ def _dataset(t: StandIns) -> DataFrame:
 
 
 def _features(t: StandIns) -> DataFrame:
-    return features.feature_table(_dataset(t))
+    return features.feature_table(stored(_dataset(t), "dataset"))
 
 
 def _stored(t: StandIns, df: DataFrame, name: str) -> str:
@@ -258,11 +261,11 @@ def geo_tier1(t):
 @query
 def merge_predictions(t):
     score = F.floor(F.col("aadt") / 100.0 + F.col("speed_All")).cast("int")
-    merged = join.merge_predictions(_dataset(t), _features(t).withColumn("Predicted_VOL", score))
+    dataset = stored(_dataset(t), "dataset")
+    merged = join.merge_predictions(dataset, features.feature_table(dataset).withColumn("Predicted_VOL", score))
     return merged.select(
         "tmc_code_raw", "tmc_code", "TMC_Value", "measurement_tstamp", "DIR", "STATION_ID", "VOL_raw", "VOL_norm",
-        F.col("hour_norm").alias("hour") if "hour_norm" in merged.columns else "hour",
-        "speed_All_raw", "speed_All_before", "Predicted_VOL",
+        F.col("hour_norm").alias("hour"), "speed_All_raw", "speed_All_before", "Predicted_VOL",
     )
 
 
@@ -497,7 +500,9 @@ def training_stations(t):
 
 @query
 def missing_stations(t):
-    return lost_ids(_matches(t), _dataset(t), "STATION_ID")
+    located = stored(join.attach_stations(_probes(t), _matches(t), _segments(t)), "located")
+    counts = readers.as_counts(t.count_hourly)
+    return lost_ids(located, join.attach_counts_legacy(located, counts, "STATE_1", "County 1"), "STATION_ID")
 
 
 # ---- scalar functions -------------------------------------------------------
@@ -570,13 +575,61 @@ def split_rows(t):
     return _features(t).select(*FEATURE_KEY, in_test_share(*FEATURE_KEY).alias("test"))
 
 
-def _split(t: StandIns) -> DataFrame:
-    marked = _features(t).withColumns({"row_hash": key_hash(*FEATURE_KEY), "test": in_test_share(*FEATURE_KEY)})
-    return marked
+@query
+def standardise(t):
+    rows = stored(_features(t), "features")
+    train, test = split(rows, FEATURE_KEY)
+    scaler = fit_scaler(train, schema.feature_columns())
+    return rounded(scaler.apply(train.unionByName(test)).select("row_hash", *schema.feature_columns()))
+
+
+def _train_and_test(t: StandIns) -> tuple[DataFrame, DataFrame]:
+    return split(stored(_features(t), "features"), FEATURE_KEY)
+
+
+def _fixed(train: DataFrame) -> VolumeModel:
+    weights = fixed_weights()
+    return LinearScorer(fit_scaler(train, list(weights)), list(weights.values()))
 
 
 @query
-def standardise(t):
-    rows = _split(t)
-    scaler = fit_scaler(rows.where("not test"), schema.feature_columns())
-    return rounded(scaler.apply(rows).select("row_hash", *schema.feature_columns()))
+def permutation_importance(t):
+    train, test = _train_and_test(t)
+    return rounded(feature_importance(_fixed(train), test), 4)
+
+
+@query
+def evaluate_fixed(t):
+    train, test = _train_and_test(t)
+    return rounded(evaluate_model(_fixed(train), test))
+
+
+def _predicted(model: VolumeModel, test: DataFrame) -> DataFrame:
+    keys = [c for c in FEATURE_KEY if c != schema.TARGET]
+    return model.predict(test).select("row_hash", *keys, schema.PREDICTION)
+
+
+@query
+def fit_predict_linear(t):
+    train, test = _train_and_test(t)
+    return _predicted(fit_linear(train, schema.feature_columns()), test)
+
+
+@query
+def fit_predict_trees(t):
+    train, test = _train_and_test(t)
+    return _predicted(fit_trees(train, schema.feature_columns(), iterations=5), test)
+
+
+@query
+def fit_predict_network(t):
+    train, test = _train_and_test(t)
+    settings = Settings(width=60, epochs=4, test_interval=2)
+    best, _ = fit_network(train, test, schema.feature_columns(), settings=settings)
+    return _predicted(best.model, test)
+
+
+@query
+def evaluate_linear(t):
+    train, test = _train_and_test(t)
+    return evaluate_model(fit_linear(train, schema.feature_columns()), test)

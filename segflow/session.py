@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings. Broadcast joins are never hinted: Spark broadcasts a side
 #: only when its (estimated, then measured) size is under these thresholds and
@@ -64,3 +64,13 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under :func:`shared_folder`."""
     return f"{shared_folder(spark).rstrip('/')}/segflow-{uuid.uuid4().hex}/{name}"
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """The table written to the shared folder and read back. Use it for a small
+    table that several branches of a plan need, or to cut a long lineage: later
+    jobs and lost executors start from the files, not from the sources."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
