@@ -40,10 +40,10 @@ def vertices(df: DataFrame, wkt: str, keep: list[str]) -> DataFrame:
     return points.select(*keep, "line_no", "vertex_no", "p.lon", "p.lat")
 
 
-def pieces(df: DataFrame, wkt: str) -> DataFrame:
+def pieces(df: DataFrame, wkt: str, keep: list[str]) -> DataFrame:
     """One row per straight piece of each line, as ``x1, y1, x2, y2`` next to
-    all columns of ``df``. A line of one vertex is a piece of length zero."""
-    lines = df.withColumn("_line", F.explode(parse_lines(F.col(wkt))))
+    the ``keep`` columns. A line of one vertex is a piece of length zero."""
+    lines = df.select(*keep, F.explode(parse_lines(F.col(wkt))).alias("_line"))
     last = F.greatest(F.size("_line") - 1, F.lit(1))
     pairs = F.transform(
         F.sequence(F.lit(1), last),
@@ -52,9 +52,9 @@ def pieces(df: DataFrame, wkt: str) -> DataFrame:
             F.col("_line")[F.least(i, F.size("_line") - 1)].alias("b"),
         ),
     )
-    split = lines.withColumn("_piece", F.explode(pairs))
+    split = lines.select(*keep, F.explode(pairs).alias("_piece"))
     return split.select(
-        *df.columns,
+        *keep,
         F.col("_piece.a.lon").alias("x1"),
         F.col("_piece.a.lat").alias("y1"),
         F.col("_piece.b.lon").alias("x2"),

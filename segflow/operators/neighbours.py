@@ -29,21 +29,21 @@ def with_neighbours(
     is spread over as many tasks as it has days. The table is shuffled once.
     """
     order = [F.col(seconds), *(ties or [])]
-    values = F.struct(*columns)
     in_span = Window.partitionBy(*keys, "_span").orderBy(*order)
-    near = df.withColumn("_span", F.floor(F.col(seconds) / span)).withColumns(
-        {"_next": F.lead(values).over(in_span), "_prev": F.lag(values).over(in_span)}
-    )
-    inner = F.col("_next").isNotNull() & F.col("_prev").isNotNull()
     whole = Window.partitionBy(*keys).orderBy(*order)
+    sides = {"before": F.lead, "after": F.lag}
+    cut = df.withColumn("_span", F.floor(F.col(seconds) / span))
+    near = cut.withColumns(
+        {f"_has_{side}": step(F.lit(True)).over(in_span) for side, step in sides.items()}
+        | {f"{c}_{side}": step(c).over(in_span) for c in columns for side, step in sides.items()}
+    )
+    inner = F.col("_has_before").isNotNull() & F.col("_has_after").isNotNull()
     edges = near.where(~inner).withColumns(
         {
-            "_next": F.coalesce("_next", F.lead(values).over(whole)),
-            "_prev": F.coalesce("_prev", F.lag(values).over(whole)),
+            f"{c}_{side}": F.when(F.col(f"_has_{side}"), F.col(f"{c}_{side}")).otherwise(step(c).over(whole))
+            for c in columns
+            for side, step in sides.items()
         }
     )
-    both = near.where(inner).unionByName(edges)
-    shifted = []
-    for c in columns:
-        shifted += [F.col(f"_next.{c}").alias(f"{c}_before"), F.col(f"_prev.{c}").alias(f"{c}_after")]
-    return both.select(*df.columns, *shifted)
+    shifted = [f"{c}_{side}" for c in columns for side in sides]
+    return near.where(inner).unionByName(edges).select(*df.columns, *shifted)

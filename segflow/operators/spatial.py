@@ -64,20 +64,23 @@ def lines_near_points(
     cell: float | None = None,
     per_block: int = 2_000,
 ) -> DataFrame:
-    """Pairs of a line and a point at most ``reach`` degrees apart.
+    """Pairs of a line and a point at most ``reach`` degrees apart, with the
+    columns of both.
 
     ``lines`` holds the line as text in ``wkt``; ``same`` names columns both
     sides carry and that must be equal (they become join keys, so unequal rows
-    never meet). Each (line, point) pair comes once even if several pieces of
-    the line are near; exact copies of a row count once.
+    never meet). A pair comes once even if several pieces of the line are near.
+    Only a key of the line travels with its pieces; its columns, the long text
+    among them, are fetched for the pairs found.
     """
     same = same or []
     cell = cell or 2 * reach
     keys = [*same, "cx", "cy"]
+    named = lines.withColumn("_line_key", F.md5(wkt))
     located = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).distinct()
     located = located.withColumns({"cx": F.floor(F.col(lon) / cell), "cy": F.floor(F.col(lat) / cell)})
-    covered = piece_cells(pieces(lines, wkt), reach, cell)
+    covered = piece_cells(pieces(named, wkt, [*same, "_line_key"]), reach, cell)
     met = blocked_join(covered, located, keys, per_block)
     distance = squared_distance(*[F.col(c) for c in (lon, lat, "x1", "y1", "x2", "y2")])
-    near = met.where(distance <= reach * reach)
-    return near.drop("x1", "y1", "x2", "y2", "cx", "cy").distinct()
+    near = met.where(distance <= reach * reach).select("_line_key", *points.columns).distinct()
+    return named.join(near, [*same, "_line_key"]).drop("_line_key")
