@@ -15,7 +15,8 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFram
     low, high = F.min("v"), F.max("v")
     edge = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
     ends = counted.agg((low - edge).alias("lo"), (high + edge).alias("hi"))
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    span = ends.select(F.struct("lo", "hi")).scalar()
+    lo, hi = span.getField("lo"), span.getField("hi")
     number = F.least(F.floor((F.col("v") - lo) / (hi - lo) * bins), F.lit(bins - 1))
     filled = counted.groupBy(number.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     frame = ends.where("lo is not null").select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

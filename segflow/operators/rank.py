@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Hex digits of the hash that name a bucket: at most 16**3 = 4096 buckets.
-PREFIX_DIGITS = 3
+#: Hex digits of the hash that name a bucket: at most 16**4 = 65,536 buckets.
+PREFIX_DIGITS = 4
 #: Percentile buckets per doubling of the value. A double has 2,046 binary
 #: exponents, so there are never more than about a million buckets.
 PER_OCTAVE = 256
@@ -28,8 +28,8 @@ def key_hash(*columns: str) -> Column:
 def with_row_number(df: DataFrame, hash_column: str, name: str = "row_no") -> DataFrame:
     """Number rows 0, 1, … in the order of a unique hash column.
 
-    The hash prefix spreads rows evenly, so every task sorts about 1/4096 of
-    the table, however skewed the keys were.
+    The hash prefix spreads rows evenly, so a bucket to sort holds about
+    1/65,536 of the table, however skewed the keys were.
     """
     prefixed = df.withColumn("_prefix", F.substring(hash_column, 1, PREFIX_DIGITS))
     counts = prefixed.groupBy("_prefix").agg(F.count("*").alias("_n"))
@@ -114,3 +114,11 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[st
         at("_lo").alias("_below"), at("_hi").alias("_above"), F.max(F.col("_pos") - F.col("_lo")).alias("_part")
     )
     return ends.select(*by, "prob", (F.col("_below") + (F.col("_above") - F.col("_below")) * F.col("_part")).alias("value"))
+
+
+def percentile_cuts(df: DataFrame, value: str, probs: list[float]) -> list[Column]:
+    """The percentiles of a whole table as scalar columns, from one subquery."""
+    found = exact_percentiles(df, value, probs)
+    pairs = F.collect_list(F.struct("prob", "value"))  # one entry per wanted percentile
+    cuts = found.agg(F.map_from_entries(pairs)).scalar()
+    return [F.element_at(cuts, F.lit(float(p))) for p in probs]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.operators.rank import exact_percentiles
+from segflow.operators.rank import exact_percentiles, percentile_cuts
 from segflow.operators.tables import metric_rows
 from segflow.schema import DAY_HOURS, EVENING_PEAK, MORNING_PEAK, PREDICTION, TARGET
 
@@ -39,15 +39,11 @@ def percent_difference() -> Column:
     return F.try_divide(_difference(), _actual()) * 100
 
 
-def accuracy(df: DataFrame) -> DataFrame:
-    """One row: zero counts, mean and median error of rows with a zero, and
-    the mean percent error of the others, overall, by day and by night. A null
-    is not a zero: such rows stay among the others, without an error."""
+def _measures() -> list[Column]:
     day = F.hour("measurement_tstamp").between(*DAY_HOURS)
     zero = _either_zero()
     percent = F.when(~zero, percent_difference())
-    median = exact_percentiles(df.where(zero).select(_difference().alias("d")), "d", [0.5])
-    return df.agg(
+    return [
         F.count_if(_is_zero(_actual())).alias("zeros_vol"),
         F.count_if(_is_zero(_predicted())).alias("zeros_predicted"),
         F.count_if(zero).alias("rows_with_zeros"),
@@ -56,7 +52,24 @@ def accuracy(df: DataFrame) -> DataFrame:
         F.avg(percent).alias("percent_diff"),
         F.avg(F.when(day, percent)).alias("percent_diff_day"),
         F.avg(F.when(~day, percent)).alias("percent_diff_night"),
-    ).withColumn("median_abs_diff_zeros", median.select("value").scalar())
+    ]
+
+
+def _median_of_zeros(df: DataFrame) -> Column:
+    return percentile_cuts(df.where(_either_zero()).select(_difference().alias("d")), "d", [0.5])[0]
+
+
+def _worst() -> Column:
+    """Key of the largest error, the smallest key on a tie; rows without an error never win."""
+    key = F.struct((-_difference()).alias("neg"), F.col("tmc_code"), F.col("measurement_tstamp"))
+    return F.min(F.when(_difference().isNotNull(), key))
+
+
+def accuracy(df: DataFrame) -> DataFrame:
+    """One row: zero counts, mean and median error of rows with a zero, and
+    the mean percent error of the others, overall, by day and by night. A null
+    is not a zero: such rows stay among the others, without an error."""
+    return df.agg(*_measures()).withColumn("median_abs_diff_zeros", _median_of_zeros(df))
 
 
 def within_thresholds(df: DataFrame, thresholds: list[int] = THRESHOLDS) -> DataFrame:
@@ -106,12 +119,10 @@ def peaks(df: DataFrame) -> DataFrame:
     morning, evening = hour.between(*MORNING_PEAK), hour.between(*EVENING_PEAK)
     top = F.min(F.struct((-_predicted()).alias("neg"), F.col("tmc_code"), F.col("measurement_tstamp")))
     peak = F.when(morning, F.lit("morning")).when(evening, F.lit("evening"))
-    medians = exact_percentiles(
-        df.select(peak.alias("peak"), "Predicted_VOL").where("peak is not null"), "Predicted_VOL", [0.5], ["peak"]
+    found = exact_percentiles(
+        df.select(peak.alias("peak"), PREDICTION).where("peak is not null"), PREDICTION, [0.5], ["peak"]
     )
-
-    def median(name: str) -> Column:
-        return medians.where(F.col("peak") == name).select("value").scalar()
+    medians = found.agg(F.map_from_entries(F.collect_list(F.struct("peak", "value")))).scalar()  # two entries
 
     out = df.where(_predicted().isNotNull()).agg(
         top.alias("top"),
@@ -124,15 +135,14 @@ def peaks(df: DataFrame) -> DataFrame:
     return out.select(
         F.col("top.measurement_tstamp").alias("max_volume_time"),
         (-F.col("top.neg")).alias("max_volume"),
-        "avg_morning", median("morning").alias("median_morning"), "std_morning",
-        "avg_evening", median("evening").alias("median_evening"), "std_evening",
+        "avg_morning", F.element_at(medians, "morning").alias("median_morning"), "std_morning",
+        "avg_evening", F.element_at(medians, "evening").alias("median_evening"), "std_evening",
     )
 
 
 def largest_error(df: DataFrame) -> DataFrame:
     """Segment, hour and size of the largest error (smallest key on a tie)."""
-    worst = F.min(F.struct((-_difference()).alias("neg"), F.col("tmc_code"), F.col("measurement_tstamp")))
-    rows = df.where(_difference().isNotNull()).agg(worst.alias("w")).where("w is not null")
+    rows = df.agg(_worst().alias("w")).where("w is not null")
     return rows.select("w.tmc_code", "w.measurement_tstamp", (-F.col("w.neg")).alias("abs_error"))
 
 
@@ -144,10 +154,8 @@ def hour_profile(df: DataFrame, values: list[str]) -> DataFrame:
 
 def volume_quintile(df: DataFrame, value: str = "VOL") -> DataFrame:
     """Add ``quintile`` 1–5: the first fifth whose upper cut exceeds the value."""
-    cuts = exact_percentiles(df, value, [0.2, 0.4, 0.6, 0.8])
     step = F.lit(1)
-    for p in (0.2, 0.4, 0.6, 0.8):
-        cut = cuts.where(F.col("prob") == p).select("value").scalar()
+    for cut in percentile_cuts(df, value, [0.2, 0.4, 0.6, 0.8]):
         step = step + F.when(F.col(value) >= cut, 1).otherwise(0)
     return df.withColumn("quintile", F.when(F.col(value).isNotNull(), step))
 
@@ -174,13 +182,7 @@ def huber_loss(df: DataFrame, actual: str = "VOL", predicted: str = "Predicted_V
 
 def accuracy_table(df: DataFrame) -> DataFrame:
     """The accuracy report as display rows ``(Metric, Value)``."""
-    worst = largest_error(df)
-    summary = accuracy(df).withColumns(
-        {
-            "worst_time": F.date_format(worst.select("measurement_tstamp").scalar(), "yyyy-MM-dd HH:mm:ss"),
-            "worst_tmc": worst.select("tmc_code").scalar(),
-        }
-    )
+    summary = df.agg(*_measures(), _worst().alias("worst")).withColumn("median_abs_diff_zeros", _median_of_zeros(df))
 
     def percent(name: str) -> Column:
         return F.format_string("%.2f%%", F.col(name))
@@ -197,8 +199,8 @@ def accuracy_table(df: DataFrame) -> DataFrame:
             "Number of rows with zero in either VOL or Predicted_VOL": F.col("rows_with_zeros"),
             "Average Absolute Difference for zeros": F.format_string("%.2f", F.col("mean_abs_diff_zeros")),
             "Median Absolute Difference for zeros": F.format_string("%.2f", F.col("median_abs_diff_zeros")),
-            "Time of Maximum Difference": F.col("worst_time"),
-            "TMC Code of Maximum Difference": F.col("worst_tmc"),
+            "Time of Maximum Difference": F.date_format("worst.measurement_tstamp", "yyyy-MM-dd HH:mm:ss"),
+            "TMC Code of Maximum Difference": F.col("worst.tmc_code"),
         },
     )
 
