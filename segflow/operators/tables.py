@@ -29,6 +29,18 @@ def drop_blank(df: DataFrame, column: str) -> DataFrame:
     return df.where(~F.coalesce(F.col(column).isin("", " "), F.lit(False)))
 
 
+def complete_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows without a null or NaN in the columns. One condition per column:
+    the built-in ``dropna`` makes a single condition over all of them, of which
+    the optimiser keeps a copy for every later combination of renamed columns."""
+    kinds = dict(df.dtypes)
+    for c in columns or df.columns:
+        df = df.where(F.col(c).isNotNull())
+        if kinds[c] in ("double", "float"):
+            df = df.where(~F.isnan(c))
+    return df
+
+
 def coerce_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Text to double; text that is no number becomes null."""
     return df.withColumns({c: F.col(c).try_cast("double") for c in columns or df.columns})

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from segflow.functions.codes import category_index, encode_categories, segment_number, segment_variant
 from segflow.functions.times import epoch_seconds, with_calendar
 from segflow.operators.neighbours import with_neighbours
+from segflow.operators.tables import complete_rows
 from segflow.schema import BASE_FEATURES, DENSITY_COLUMNS, TARGET, feature_columns, shifted_columns
 
 SERIES = ["tmc_code", "TMC_Value", "DIR"]
@@ -66,4 +67,4 @@ def feature_table(dataset: DataFrame, steps: dict[str, Step] | None = None, inde
         table = step(table)
     wanted = [c for c in feature_columns() if c in table.columns]
     added = [c for c in table.columns if c not in wanted and c not in target]
-    return table.select(*wanted, *added, *target).dropna("any")
+    return complete_rows(table.select(*wanted, *added, *target))

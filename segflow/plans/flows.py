@@ -6,13 +6,11 @@ from collections.abc import Callable
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from segflow.functions.codes import category_index
 from segflow.model.data import split
 from segflow.model.importance import log_row, permutation_importance
 from segflow.model.regress import BestModel, VolumeModel, best_of, evaluate, fit_linear, fit_trees
-from segflow.operators.tables import coerce_numeric
 from segflow.plans import conflate as join
 from segflow.plans.evaluate import accuracy_table, peak_table
 from segflow.plans.features import feature_table
@@ -111,18 +109,15 @@ def train(
 
 def predict(dataset: DataFrame, model: VolumeModel, index: DataFrame | None = None, parity: bool = False) -> DataFrame:
     """The dataset with a predicted volume per row that has all features."""
-    table = coerce_numeric_features(feature_table(dataset, index=index))
+    table = feature_table(dataset, index=index)
     return join.merge_predictions(dataset, model.predict(table), parity)
 
 
-def coerce_numeric_features(table: DataFrame) -> DataFrame:
-    """Features that arrive as text become numbers; bad text becomes null."""
-    return coerce_numeric(table, [c for c, kind in table.dtypes if kind == "string"])
-
-
-def predict_files(spark: SparkSession, dataset: str, model: VolumeModel, folder: str, name: str) -> DataFrame:
+def predict_files(
+    spark: SparkSession, dataset: str, model: VolumeModel, folder: str, name: str, index: DataFrame | None = None
+) -> DataFrame:
     """Predict a stored dataset and write ``<name>_predictions`` to ``folder``."""
-    rows = predict(readers.dataset(spark, dataset), model)
+    rows = predict(readers.dataset(spark, dataset), model, index)
     writers.write_predictions(rows, folder, name)
     return spark.read.parquet(f"{folder}/{name}_predictions.parquet")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from segflow.operators.histograms import equal_width_histogram
 from segflow.operators.rank import first_per_key, sample_by_hash
-from segflow.operators.tables import to_long
+from segflow.operators.tables import complete_rows, to_long
 
 _PLACEHOLDERS = "before|after|feature"
 
@@ -55,7 +55,7 @@ def distinct_stations(df: DataFrame) -> DataFrame:
 
 def available_stations(df: DataFrame) -> DataFrame:
     """Distinct (station, state) pairs, sorted."""
-    pairs = df.select("STATION_ID", "STATE_NAME").dropna().distinct()
+    pairs = complete_rows(df.select("STATION_ID", "STATE_NAME")).distinct()
     return pairs.orderBy("STATION_ID", "STATE_NAME")
 
 
@@ -193,7 +193,7 @@ def map_sample(df: DataFrame, n: int = 500, keys: list[str] | None = None) -> Da
     if pair is None:
         raise ValueError("no latitude and longitude columns")
     keys = keys or []
-    rows = df.select(*pair, "tmc_code", *[k for k in keys if k != "tmc_code"]).dropna("any")
+    rows = complete_rows(df.select(*pair, "tmc_code", *[k for k in keys if k != "tmc_code"]))
     return sample_by_hash(rows, n, ["tmc_code", *[k for k in keys if k != "tmc_code"]])
 
 
