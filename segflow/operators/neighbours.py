@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from segflow.operators.rank import expand_copies
+
 DAY = 86_400
 
 
@@ -15,6 +17,7 @@ def with_neighbours(
     columns: list[str],
     ties: list[Column] | None = None,
     span: int = DAY,
+    crowded: int = 1_000_000,
 ) -> DataFrame:
     """Add ``<c>_before`` and ``<c>_after`` for each column.
 
@@ -27,12 +30,32 @@ def with_neighbours(
     seconds. Only the outermost rows of a span look beyond it, in a second
     window over those rows alone, so a segment that owns a third of the table
     is spread over as many tasks as it has days. The table is shuffled once.
+
+    A span of more than ``crowded`` rows can only come from copies of a row. One
+    narrow count finds out; if there is any, copies are counted before the
+    shuffle and put back, each as the neighbour of the next, at the end.
     """
+    cut = df.withColumn("_span", F.floor(F.col(seconds) / span))
+    sizes = cut.groupBy(*keys, "_span").count()
+    if sizes.where(F.col("count") > crowded).isEmpty():
+        return _in_spans(cut, keys, seconds, columns, ties).select(*df.columns, *_shifted(columns))
+    counted = cut.groupBy(*cut.columns).agg(F.count("*").alias("_copies"))
+    each = expand_copies(_in_spans(counted, keys, seconds, columns, ties), "_copies", "_nth")
+    last = F.col("_nth") == F.col("_copies") - 1
+    values = {f"{c}_before": F.when(last, F.col(f"{c}_before")).otherwise(F.col(c)) for c in columns}
+    values |= {f"{c}_after": F.when(F.col("_nth") == 0, F.col(f"{c}_after")).otherwise(F.col(c)) for c in columns}
+    return each.withColumns(values).select(*df.columns, *_shifted(columns))
+
+
+def _shifted(columns: list[str]) -> list[str]:
+    return [f"{c}_{side}" for c in columns for side in ("before", "after")]
+
+
+def _in_spans(cut: DataFrame, keys: list[str], seconds: str, columns: list[str], ties) -> DataFrame:
     order = [F.col(seconds), *(ties or [])]
     in_span = Window.partitionBy(*keys, "_span").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
     sides = {"before": F.lead, "after": F.lag}
-    cut = df.withColumn("_span", F.floor(F.col(seconds) / span))
     near = cut.withColumns(
         {f"_has_{side}": step(F.lit(True)).over(in_span) for side, step in sides.items()}
         | {f"{c}_{side}": step(c).over(in_span) for c in columns for side, step in sides.items()}
@@ -45,5 +68,4 @@ def with_neighbours(
             for side, step in sides.items()
         }
     )
-    shifted = [f"{c}_{side}" for c in columns for side in sides]
-    return near.where(inner).unionByName(edges).select(*df.columns, *shifted)
+    return near.where(inner).unionByName(edges)

@@ -25,23 +25,35 @@ def key_hash(*columns: str) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]))
 
 
+def expand_copies(df: DataFrame, copies: str, number: str, block: int = 1_000_000) -> DataFrame:
+    """One row per copy, numbered from 0 in ``number``. Rows with more than
+    ``block`` copies are dealt out in blocks, so no task makes them all."""
+    few = df.where(F.col(copies) <= block).withColumn(number, F.explode(F.sequence(F.lit(0), F.col(copies) - 1)))
+    blocks = F.explode(F.sequence(F.lit(0), F.floor((F.col(copies) - 1) / block)))
+    many = df.where(F.col(copies) > block).withColumn("_block", blocks)
+    many = many.repartition("_block", F.xxhash64(*df.columns))
+    last = F.least((F.col("_block") + 1) * block, F.col(copies)) - 1
+    many = many.withColumn(number, F.explode(F.sequence(F.col("_block") * block, last))).drop("_block")
+    return few.unionByName(many)
+
+
 def with_row_number(df: DataFrame, hash_column: str, name: str = "row_no") -> DataFrame:
-    """Number rows 0, 1, … in the order of a unique hash column.
+    """Number rows 0, 1, … in the order of a hash column.
 
-    The hash prefix spreads rows evenly, so a bucket to sort holds about
-    1/65,536 of the table, however skewed the keys were.
+    Copies of a row are counted before the shuffle and numbered as one range;
+    the hash prefix spreads the distinct rows evenly, so a bucket to sort holds
+    about 1/65,536 of them, however skewed the keys were.
     """
-    prefixed = df.withColumn("_prefix", F.substring(hash_column, 1, PREFIX_DIGITS))
-    counts = prefixed.groupBy("_prefix").agg(F.count("*").alias("_n"))
+    distinct = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    prefixed = distinct.withColumn("_prefix", F.substring(hash_column, 1, PREFIX_DIGITS))
+    totals = prefixed.groupBy("_prefix").agg(F.sum("_copies").alias("_total"))
     before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_prefix", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_prefix").orderBy(hash_column)
-    numbered = prefixed.withColumn("_inside", F.row_number().over(inside) - 1)
-    return (
-        numbered.join(offsets, "_prefix")
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_prefix", "_offset", "_inside")
-    )
+    offsets = totals.select("_prefix", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_prefix").orderBy(hash_column).rowsBetween(Window.unboundedPreceding, -1)
+    placed = prefixed.withColumn("_inside", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
+    first = placed.join(offsets, "_prefix").withColumn("_first", F.col("_offset") + F.col("_inside"))
+    each = expand_copies(first, "_copies", "_nth")
+    return each.select(*df.columns, (F.col("_first") + F.col("_nth")).alias(name))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:

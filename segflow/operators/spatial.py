@@ -77,7 +77,7 @@ def lines_near_points(
     cell = cell or 2 * reach
     keys = [*same, "cx", "cy"]
     named = lines.withColumn("_line_key", F.md5(wkt))
-    located = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull()).distinct()
+    located = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
     located = located.withColumns({"cx": F.floor(F.col(lon) / cell), "cy": F.floor(F.col(lat) / cell)})
     covered = piece_cells(pieces(named, wkt, [*same, "_line_key"]), reach, cell)
     met = blocked_join(covered, located, keys, per_block)

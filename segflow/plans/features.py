@@ -42,9 +42,8 @@ def density_step(index: DataFrame | None = None) -> Step:
 def neighbour_step(df: DataFrame) -> DataFrame:
     """Neighbour rows of every changing column. Rows of equal time (a segment
     with several stations) are ordered by volume to be repeatable."""
-    columns = [c for c in feature_columns() if c in df.columns]
     ties = [F.col(TARGET)] if TARGET in df.columns else []
-    return with_neighbours(df, SERIES, "measurement_tstamp", shifted_columns(columns), ties)
+    return with_neighbours(df, SERIES, "measurement_tstamp", shifted_columns(df.columns), ties)
 
 
 def default_steps(index: DataFrame | None = None) -> dict[str, Step]:

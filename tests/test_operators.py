@@ -37,6 +37,29 @@ def test_neighbours_keep_null_values_and_match_plain_windows(spark):
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == len(rows)
 
 
+def test_crowded_spans_count_copies(spark):
+    rows = [("hot", 3600, 1.0)] * 40 + [("hot", 7200, 2.0)] * 3 + [("hot", 90000, 3.0), ("cold", 3600, 9.0), ("cold", 7200, 8.0)]
+    df = spark.createDataFrame(rows, "k string, t long, v double")
+    plain = with_neighbours(df, ["k"], "t", ["v"])
+    counted = with_neighbours(df, ["k"], "t", ["v"], crowded=10)
+    assert counted.columns == plain.columns
+    assert sorted(map(str, counted.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_copies_are_expanded_in_blocks(spark):
+    df = spark.createDataFrame([("a", 7), ("b", 1), ("c", 3)], "k string, n long")
+    out = rank.expand_copies(df, "n", "i", block=3).collect()
+    assert sorted((r.k, r.i) for r in out) == [("a", i) for i in range(7)] + [("b", 0)] + [("c", i) for i in range(3)]
+
+
+def test_row_numbers_of_copies(spark):
+    df = spark.createDataFrame([("x",)] * 50 + [(str(i),) for i in range(20)], "v string").withColumn("h", F.md5("v"))
+    rows = rank.with_row_number(df, "h").collect()
+    assert sorted(r.row_no for r in rows) == list(range(70))
+    order = [r.h for r in sorted(rows, key=lambda r: r.row_no)]
+    assert order == sorted(order)
+
+
 def test_row_numbers_are_dense_and_ordered(spark):
     df = spark.range(5000).withColumn("h", F.md5(F.col("id").cast("string")))
     rows = rank.with_row_number(df, "h").orderBy("h").collect()
