@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from segflow.functions.shapes import pieces, squared_distance
 
 _SLACK = 1e-9  # degrees; keeps cell bounds safe from rounding
+#: Most points that are sent to every task (some ten megabytes); more are joined by shuffle.
+FEW_POINTS = 100_000
 
 
 def piece_cells(df: DataFrame, reach: float, cell: float) -> DataFrame:
@@ -70,6 +72,8 @@ def lines_near_points(
     ``lines`` holds the line as text in ``wkt``; ``same`` names columns both
     sides carry and that must be equal (they become join keys, so unequal rows
     never meet). A pair comes once even if several pieces of the line are near.
+    Up to ``FEW_POINTS`` points are broadcast (they are counted first), beyond
+    that both sides are shuffled by cell and crowded cells are split.
     Only a key of the line travels with its pieces; its columns, the long text
     among them, are fetched for the pairs found.
     """
@@ -80,7 +84,10 @@ def lines_near_points(
     located = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
     located = located.withColumns({"cx": F.floor(F.col(lon) / cell), "cy": F.floor(F.col(lat) / cell)})
     covered = piece_cells(pieces(named, wkt, [*same, "_line_key"]), reach, cell)
-    met = blocked_join(covered, located, keys, per_block)
+    if located.limit(FEW_POINTS + 1).count() <= FEW_POINTS:
+        met = covered.join(F.broadcast(located), keys)
+    else:
+        met = blocked_join(covered, located, keys, per_block)
     distance = squared_distance(*[F.col(c) for c in (lon, lat, "x1", "y1", "x2", "y2")])
     near = met.where(distance <= reach * reach).select("_line_key", *points.columns).distinct()
     return named.join(near, [*same, "_line_key"]).drop("_line_key")

@@ -160,24 +160,33 @@ def volume_quintile(df: DataFrame, value: str = "VOL") -> DataFrame:
     return df.withColumn("quintile", F.when(F.col(value).isNotNull(), step))
 
 
-def fit_quality(df: DataFrame, actual: str = "VOL", predicted: str = "Predicted_VOL", share: float = 0.15) -> DataFrame:
-    """One row: R² and the percentage of all rows with a relative error under
-    ``share``; a count of zero is a miss. Errors are taken unrounded."""
+def quality_measures(actual: str, predicted: str, share: float = 0.15) -> list[Column]:
+    """R² and the percentage of all rows with a relative error under ``share``;
+    a count of zero is a miss. Errors are taken unrounded."""
     y, p = F.col(actual), F.col(predicted)
     residual = F.sum((y - p) * (y - p))
     spread = F.var_pop(y) * F.count(y)
     near = F.count_if(F.try_divide(F.abs(y - p), y) < share)
-    return df.agg(
+    return [
         (1 - F.try_divide(residual, spread)).alias("r2"),
         (F.try_divide(near, F.count("*")) * 100).alias("pct_within"),
-    )
+    ]
 
 
-def huber_loss(df: DataFrame, actual: str = "VOL", predicted: str = "Predicted_VOL", delta: float = 500.0) -> DataFrame:
+def loss_measure(actual: str, predicted: str, delta: float = 500.0) -> Column:
     """Mean Huber loss over rows."""
     e = F.abs(F.col(actual) - F.col(predicted))
     loss = F.when(e <= delta, 0.5 * e * e).otherwise(delta * (e - delta / 2))
-    return df.agg(F.avg(loss).alias("huber_loss"))
+    return F.avg(loss).alias("huber_loss")
+
+
+def fit_quality(df: DataFrame, share: float = 0.15) -> DataFrame:
+    """One row of :func:`quality_measures` for counted and predicted volume."""
+    return df.agg(*quality_measures(TARGET, PREDICTION, share))
+
+
+def huber_loss(df: DataFrame, delta: float = 500.0) -> DataFrame:
+    return df.agg(loss_measure(TARGET, PREDICTION, delta))
 
 
 def accuracy_table(df: DataFrame) -> DataFrame:

@@ -195,6 +195,7 @@ class StandIns:
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark, self._folder = spark, folder
+        self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
@@ -202,6 +203,10 @@ class StandIns:
         raise AttributeError(name)
 
     def sql(self, text: str) -> DataFrame:
+        full = with_standins(text)
         for table in BASE_TABLES:
-            self._spark.read.parquet(f"{self._folder}/{table}.parquet").createOrReplaceTempView(table)
-        return self._spark.sql(with_standins(text))
+            if table not in self._read and re.search(rf"\b{table}\b", full):
+                self._read[table] = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+        for table, df in self._read.items():
+            df.createOrReplaceTempView(table)
+        return self._spark.sql(full)

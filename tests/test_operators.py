@@ -138,8 +138,9 @@ def _distance(p, line):
     return best**0.5
 
 
-@pytest.mark.parametrize("per_block", [2000, 3])
-def test_spatial_join_equals_brute_force(spark, per_block):
+@pytest.mark.parametrize("few,per_block", [(100_000, 2000), (0, 2000), (0, 3)])
+def test_spatial_join_equals_brute_force(spark, monkeypatch, few, per_block):
+    monkeypatch.setattr(spatial, "FEW_POINTS", few)
     rng = random.Random(5)
     reach = 0.001
     lines = []
