@@ -16,7 +16,7 @@ from segflow.plans.evaluate import accuracy_table, peak_table
 from segflow.plans.features import feature_table
 from segflow.plans.report import dataset_year
 from segflow.schema import DENSITY_COLUMNS, TARGET, feature_columns
-from segflow.session import stored
+from segflow.session import size_shuffle, stored
 from segflow.sources import readers, writers
 
 #: Columns that tell the rows of a feature table apart.
@@ -58,7 +58,9 @@ def generate(spark: SparkSession, sources: Sources, output: str, training: bool)
     """Join the sources into a dataset at ``output`` (Parquet). For training it
     is also written by station below ``<output>_stations/year=<years>``."""
     sources.require(training)
-    probes = [readers.probe(spark, p) for p in (sources.probe_all, sources.probe_pass, sources.probe_truck)]
+    paths = [sources.probe_all, sources.probe_pass, sources.probe_truck]
+    size_shuffle(spark, paths)
+    probes = [readers.probe(spark, p) for p in paths]
     segments = readers.segments(spark, sources.segments)
     if training:
         matches = stored(readers.matches(spark, sources.matches), "matches")

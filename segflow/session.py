@@ -32,6 +32,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Shuffled bytes a task should get; adaptive execution merges smaller ones.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def size_shuffle(spark: SparkSession, paths: list[str]) -> int:
+    """Raise the number of shuffle partitions to fit the input files. Adaptive
+    execution can merge partitions but makes no more than it is told to."""
+    sc = spark.sparkContext
+    total = 0
+    for path in paths:
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = place.getFileSystem(sc._jsc.hadoopConfiguration())
+        total += fs.getContentSummary(place).getLength()
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    return wanted
+
+
 def local_session(cores: int = 8, app: str = "segflow", memory: str = "12g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     spark = (

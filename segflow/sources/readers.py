@@ -15,7 +15,7 @@ from segflow.functions.times import count_timestamp
 from segflow.operators.tables import union_all
 
 
-def read_csv(spark: SparkSession, path: str | list[str], table: T.StructType, by_name: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, by_name: bool = False) -> DataFrame:
     """CSV with a header and a declared schema; columns the files lack are null
     and extra ones are left out.
 
@@ -23,7 +23,7 @@ def read_csv(spark: SparkSession, path: str | list[str], table: T.StructType, by
     ``by_name`` for a folder tree whose files order their columns differently:
     files are then grouped by header first, at the price of a pass over them.
     """
-    wanted = {f.name.lower(): f for f in table.fields}
+    wanted = {f.name.lower(): f for f in kind.fields}
     if by_name:
         groups = _files_by_header(spark, path)
     else:
@@ -36,7 +36,7 @@ def read_csv(spark: SparkSession, path: str | list[str], table: T.StructType, by
     found = union_all(parts)
     have = {c.lower() for c in found.columns}
     return found.select(
-        *[F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table.fields]
+        *[F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]
     )
 
 
@@ -151,15 +151,17 @@ def dataset(spark: SparkSession, path: str, rebuild=None, refresh: bool = False)
     if refresh and rebuild is not None:
         write_table(rebuild(), path)
     try:
-        return _load(spark, path)
+        return table(spark, path)
     except AnalysisException as error:
         if rebuild is None or error.getCondition() != "PATH_NOT_FOUND":
             raise
         write_table(rebuild(), path)
-        return _load(spark, path)
+        return table(spark, path)
 
 
-def _load(spark: SparkSession, path: str) -> DataFrame:
+def table(spark: SparkSession, path: str) -> DataFrame:
+    """Any stored table: CSV with inferred types but text ids, else Parquet. A
+    path that does not exist is an error, not an empty result."""
     if path.rstrip("/").endswith(".csv"):
         read = spark.read.option("header", True)
         names = read.csv(path).columns
@@ -192,4 +194,4 @@ def station_of_file(name: Column, suffix: str = ".pkl") -> Column:
 def predictions(spark: SparkSession, path: str) -> DataFrame:
     """Stored predictions; the columns every report needs must be there."""
     needed = [schema.TARGET, schema.PREDICTION, *schema.PROBE_KEY]
-    return schema.require_columns(_load(spark, path), needed)
+    return schema.require_columns(table(spark, path), needed)

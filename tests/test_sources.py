@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from segflow import schema
-from segflow.session import shared_folder, stored
+from segflow.session import shared_folder, size_shuffle, stored
 from segflow.sources import readers, writers
 
 
@@ -70,6 +70,33 @@ def test_station_folders_keep_leading_zeros(spark, tmp_path):
     assert sorted(r.STATION_ID for r in back.collect()) == ["007", "007", "010"]
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    keys = ["tmc_code", "hour"]
+    df = spark.range(1000).select((F.col("id") % 50).cast("string").alias("tmc_code"), (F.col("id") % 20).alias("hour"), "id")
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        a, b = (writers.write_bucketed(df, f"probe_{n}", keys, 4, str(tmp_path / n)) for n in "ab")
+        joined = a.join(b.withColumnRenamed("id", "other"), keys)
+        assert "Exchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == df.join(df.withColumnRenamed("id", "other"), keys).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+        for n in "ab":
+            spark.sql(f"drop table if exists probe_{n}")
+
+
+def test_shuffle_follows_the_input(spark, tmp_path, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monkeypatch.setattr("segflow.session.TASK_BYTES", 10)
+    path = put(tmp_path / "x/f.csv", "a" * 1000)
+    try:
+        assert size_shuffle(spark, [path, str(tmp_path / "x")]) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_dataset_by_suffix_and_rebuild(spark, tmp_path):
     for name in ("d.parquet", "d.csv"):
         path = str(tmp_path / name)
