@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segflow.operators.rank import expand_copies
+from segflow.session import stored
 
 DAY = 86_400
 
@@ -16,8 +17,8 @@ def with_neighbours(
     seconds: str,
     columns: list[str],
     ties: list[Column] | None = None,
+    hot: int = 5_000_000,
     span: int = DAY,
-    crowded: int = 1_000_000,
 ) -> DataFrame:
     """Add ``<c>_before`` and ``<c>_after`` for each column.
 
@@ -26,36 +27,51 @@ def with_neighbours(
     a gap in the series is not filled. ``seconds`` is the time in epoch seconds
     and ``ties`` orders rows of equal time.
 
-    A series is not sorted in one task: it is cut into spans of ``span``
-    seconds. Only the outermost rows of a span look beyond it, in a second
-    window over those rows alone, so a segment that owns a third of the table
-    is spread over as many tasks as it has days. The table is shuffled once.
-
-    A span of more than ``crowded`` rows can only come from copies of a row. One
-    narrow count finds out; if there is any, copies are counted before the
-    shuffle and put back, each as the neighbour of the next, at the end.
+    A count over the keys comes first. Series of up to ``hot`` rows take one
+    shuffle and one window. Longer ones, say a segment that owns a third of the
+    table, are cut into spans of ``span`` seconds and spread over many tasks:
+    only the outermost rows of a span look beyond it, in a second window over
+    those rows alone. A span that is itself longer than ``hot`` can only come
+    from copies: they are counted before the shuffle and put back at the end.
     """
-    cut = df.withColumn("_span", F.floor(F.col(seconds) / span))
+    long = df.groupBy(*keys).count().where(F.col("count") > hot).select(*keys)
+    if long.isEmpty():
+        return _in_one(df, keys, seconds, columns, ties)
+    long = stored(long, "hot").select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    usual = _in_one(df.join(long, same, "left_anti"), keys, seconds, columns, ties)
+    cut = df.join(long, same, "left_semi").withColumn("_span", F.floor(F.col(seconds) / span))
     sizes = cut.groupBy(*keys, "_span").count()
-    if sizes.where(F.col("count") > crowded).isEmpty():
-        return _in_spans(cut, keys, seconds, columns, ties).select(*df.columns, *_shifted(columns))
+    if sizes.where(F.col("count") > hot).isEmpty():
+        spread = _in_spans(cut, keys, seconds, columns, ties)
+    else:
+        spread = _with_copies(cut, keys, seconds, columns, ties)
+    return usual.unionByName(spread.select(*usual.columns))
+
+
+def _in_one(df: DataFrame, keys: list[str], seconds: str, columns: list[str], ties) -> DataFrame:
+    series = Window.partitionBy(*keys).orderBy(F.col(seconds), *(ties or []))
+    return df.withColumns({f"{c}_{side}": step(c).over(series) for c in columns for side, step in _sides().items()})
+
+
+def _with_copies(cut: DataFrame, keys: list[str], seconds: str, columns: list[str], ties) -> DataFrame:
     counted = cut.groupBy(*cut.columns).agg(F.count("*").alias("_copies"))
     each = expand_copies(_in_spans(counted, keys, seconds, columns, ties), "_copies", "_nth")
     last = F.col("_nth") == F.col("_copies") - 1
     values = {f"{c}_before": F.when(last, F.col(f"{c}_before")).otherwise(F.col(c)) for c in columns}
     values |= {f"{c}_after": F.when(F.col("_nth") == 0, F.col(f"{c}_after")).otherwise(F.col(c)) for c in columns}
-    return each.withColumns(values).select(*df.columns, *_shifted(columns))
+    return each.withColumns(values)
 
 
-def _shifted(columns: list[str]) -> list[str]:
-    return [f"{c}_{side}" for c in columns for side in ("before", "after")]
+def _sides():
+    return {"before": F.lead, "after": F.lag}
 
 
 def _in_spans(cut: DataFrame, keys: list[str], seconds: str, columns: list[str], ties) -> DataFrame:
     order = [F.col(seconds), *(ties or [])]
     in_span = Window.partitionBy(*keys, "_span").orderBy(*order)
     whole = Window.partitionBy(*keys).orderBy(*order)
-    sides = {"before": F.lead, "after": F.lag}
+    sides = _sides()
     near = cut.withColumns(
         {f"_has_{side}": step(F.lit(True)).over(in_span) for side, step in sides.items()}
         | {f"{c}_{side}": step(c).over(in_span) for c in columns for side, step in sides.items()}

@@ -12,10 +12,11 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_neighbours_are_rows_and_names_are_inverted(spark):
+@pytest.mark.parametrize("hot", [100, 3])
+def test_neighbours_are_rows_and_names_are_inverted(spark, hot):
     hours = [("a", 1), ("a", 2), ("a", 5), ("b", 1), ("a", 30), ("a", 31), ("a", 400)]
     df = spark.createDataFrame([(k, h * 3600, float(h)) for k, h in hours], "k string, t long, v double")
-    out = {(r.k, r.t // 3600): (r.v_before, r.v_after) for r in with_neighbours(df, ["k"], "t", ["v"]).collect()}
+    out = {(r.k, r.t // 3600): (r.v_before, r.v_after) for r in with_neighbours(df, ["k"], "t", ["v"], hot=hot).collect()}
     assert out == {
         ("a", 1): (2.0, None), ("a", 2): (5.0, 1.0), ("a", 5): (30.0, 2.0), ("a", 30): (31.0, 5.0),
         ("a", 31): (400.0, 30.0), ("a", 400): (None, 31.0), ("b", 1): (None, None),
@@ -26,7 +27,8 @@ def test_neighbours_keep_null_values_and_match_plain_windows(spark):
     rng = random.Random(1)
     rows = [("hot" if i % 3 else f"s{i % 7}", i * 1800 + rng.randrange(600), rng.choice([None, 1.0, 2.0]), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, t long, v double, i long")
-    got = with_neighbours(df, ["k"], "t", ["v", "t"])
+    df = df.withColumn("k", F.when(F.col("k") != "s1", F.col("k")))  # a null key is a series of its own
+    got = with_neighbours(df, ["k"], "t", ["v", "t"], hot=500)
     from pyspark.sql import Window
 
     w = Window.partitionBy("k").orderBy("t")
@@ -41,7 +43,7 @@ def test_crowded_spans_count_copies(spark):
     rows = [("hot", 3600, 1.0)] * 40 + [("hot", 7200, 2.0)] * 3 + [("hot", 90000, 3.0), ("cold", 3600, 9.0), ("cold", 7200, 8.0)]
     df = spark.createDataFrame(rows, "k string, t long, v double")
     plain = with_neighbours(df, ["k"], "t", ["v"])
-    counted = with_neighbours(df, ["k"], "t", ["v"], crowded=10)
+    counted = with_neighbours(df, ["k"], "t", ["v"], hot=10)
     assert counted.columns == plain.columns
     assert sorted(map(str, counted.collect())) == sorted(map(str, plain.collect()))
 
