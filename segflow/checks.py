@@ -329,6 +329,9 @@ select cast(extract(isodow from measurement_tstamp)-1 as int) as dayofweek, cast
     "station_max": "select STATION_ID, max(VOL) as max_vol from predictions group by STATION_ID",
     "volume_histogram": _histogram("predictions", "VOL"),
     "station_max_histogram": _histogram("(select max(VOL) as m from predictions group by STATION_ID)", "m"),
+    "worst_zero_histogram": _histogram(
+        f"(select VOL from predictions where tmc_code = (select tmc_code from {_zero_share('VOL')} "
+        "order by pct_zero desc, tmc_code limit 1))", "VOL"),
     "error_histogram": f"""with {ERRORS},
 f as (select least(floor(pct/10), 29)*10 as lower, count(*) as n from errors where not zero and pct between 0 and 300 group by 1)
 select cast(b.lower as double) as lower, coalesce(n, 0) as n
@@ -464,6 +467,25 @@ from metrics, worst""",
 select unnest(['Average Morning Peak (6 AM - 9 AM)', 'Average Evening Peak (4 PM - 7 PM)']) as Metric,
   unnest([printf('%.2f', avg(Predicted_VOL) filter (hh between 6 and 9)),
           printf('%.2f', avg(Predicted_VOL) filter (hh between 16 and 19))]) as Value from p""",
+    "hold_out_table": f"""with {METRICS}
+select unnest(['Zeros in VOL', 'Zeros in Predicted_VOL', 'Rows with a zero', 'Average absolute difference, rows with a zero',
+  'Median absolute difference, rows with a zero', 'Rows compared', 'Percent difference', 'Percent difference, day',
+  'Percent difference, night']) as Metric,
+  unnest([cast(zeros_vol as string), cast(zeros_predicted as string), cast(rows_with_zeros as string),
+  printf('%.2f', mean_abs_diff_zeros), printf('%.2f', median_abs_diff_zeros), cast(rows_compared as string),
+  printf('%.2f', percent_diff), printf('%.2f', percent_diff_day), printf('%.2f', percent_diff_night)]) as Value
+from metrics
+""" + "".join(
+        f"""union all select unnest(['Segments with zeros in {c}', 'Average share of zeros in {c}', 'Least share of zeros in {c}',
+  'Largest share of zeros in {c}', 'Segment of the largest share in {c}']),
+  unnest([cast(count(*) as string), printf('%.2f', avg(pct_zero)), printf('%.2f', min(pct_zero)), printf('%.2f', max(pct_zero)),
+  arg_min(tmc_code, (-pct_zero, tmc_code))]) from {_zero_share(c)}
+"""
+        for c in ("VOL", "Predicted_VOL")
+    ) + """union all
+select printf('Within %d%%', t.threshold),
+       printf('%.2f', count(*) filter (coalesce(pct <= t.threshold, false)) / count(*) * 100)
+from errors, (select unnest(range(5, 51, 5)) as threshold) t where not zero group by t.threshold""",
     # model tables
     "feature_table": f"with {FEATURES} select * from features",
     "split_rows": f"""with {FEATURES}

@@ -105,11 +105,14 @@ def pick_stations(stations: DataFrame, n: int | None = None, parity: bool = Fals
     return chosen if n is None else sample_by_hash(chosen, n, key)
 
 
-def near_stations(shapes: DataFrame, stations: DataFrame, reach: float = BUFFER, same=()) -> DataFrame:
-    """Segments and the stations within ``reach`` degrees (an exact circle)."""
+def near_stations(
+    shapes: DataFrame, stations: DataFrame, reach: float = BUFFER, same=(), names: dict[str, int] = DIRECTIONS
+) -> DataFrame:
+    """Segments and the stations within ``reach`` degrees (an exact circle).
+    ``names`` are the direction texts of the shapes."""
     lines = shapes.select(
         "Tmc",
-        direction_code(F.col("DIR"), DIRECTIONS).alias("dir_num"),
+        direction_code(F.col("DIR"), names).alias("dir_num"),
         F.col("F_System").alias("shape_class"),
         F.col("County").alias("shape_county"),
         F.col("State").alias("shape_state"),
@@ -124,12 +127,14 @@ def near_stations(shapes: DataFrame, stations: DataFrame, reach: float = BUFFER,
     return lines_near_points(lines, points, "geometry", "LONG", "LAT", reach, [left for left, _ in same])
 
 
-def match_stations(shapes: DataFrame, stations: DataFrame, reach: float = BUFFER) -> DataFrame:
+def match_stations(
+    shapes: DataFrame, stations: DataFrame, reach: float = BUFFER, names: dict[str, int] = DIRECTIONS
+) -> DataFrame:
     """Station matches: near, same direction and same road class, with
     ``tier`` 1 and without rows of blank state. Direction and class are join
     keys next to the grid cell, not a filter after the spatial test."""
     same = [("dir_num", "station_dir"), ("shape_class", "station_class")]
-    found = near_stations(shapes, stations, reach, same).select(
+    found = near_stations(shapes, stations, reach, same, names).select(
         "Tmc", "STATION_ID", F.col("dir_num").alias("DIR"), "geometry", F.col("shape_county").alias("County"),
         F.col("shape_state").alias("State"), "LAT", "LONG", F.lit(1).alias("tier"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segflow.operators.rank import exact_percentiles, percentile_cuts
-from segflow.operators.tables import metric_rows
+from segflow.operators.tables import metric_rows, union_all
 from segflow.schema import DAY_HOURS, EVENING_PEAK, MORNING_PEAK, PREDICTION, TARGET
 
 # Error thresholds in percent of the full and the hold-out report.
@@ -111,6 +111,12 @@ def zero_share_summary(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def worst_zero_rows(df: DataFrame, column: str = TARGET) -> DataFrame:
+    """All rows of the segment with the largest share of zeros."""
+    worst = zero_share_summary(df, column).select("max_tmc").scalar()
+    return df.where(F.col("tmc_code") == worst)
+
+
 def peaks(df: DataFrame) -> DataFrame:
     """One row for predictions without counts: hour and size of the largest
     prediction, and mean, median and sample deviation in the two peaks. The
@@ -223,3 +229,47 @@ def peak_table(df: DataFrame) -> DataFrame:
             "Average Evening Peak (4 PM - 7 PM)": F.format_string("%.2f", F.col("avg_evening")),
         },
     )
+
+
+def hold_out_table(df: DataFrame) -> DataFrame:
+    """The report on predictions for stations never trained on, as display
+    rows: zeros, their share per segment, percent differences, thresholds."""
+
+    def two(name: str) -> Column:
+        return F.format_string("%.2f", F.col(name))
+
+    summary = df.agg(*_measures()).withColumn("median_abs_diff_zeros", _median_of_zeros(df))
+    parts = [
+        metric_rows(
+            summary,
+            {
+                "Zeros in VOL": F.col("zeros_vol"),
+                "Zeros in Predicted_VOL": F.col("zeros_predicted"),
+                "Rows with a zero": F.col("rows_with_zeros"),
+                "Average absolute difference, rows with a zero": two("mean_abs_diff_zeros"),
+                "Median absolute difference, rows with a zero": two("median_abs_diff_zeros"),
+                "Rows compared": F.col("rows_compared"),
+                "Percent difference": two("percent_diff"),
+                "Percent difference, day": two("percent_diff_day"),
+                "Percent difference, night": two("percent_diff_night"),
+            },
+        )
+    ]
+    for column in (TARGET, PREDICTION):
+        parts.append(
+            metric_rows(
+                zero_share_summary(df, column),
+                {
+                    f"Segments with zeros in {column}": F.col("segments"),
+                    f"Average share of zeros in {column}": two("avg_pct"),
+                    f"Least share of zeros in {column}": two("min_pct"),
+                    f"Largest share of zeros in {column}": two("max_pct"),
+                    f"Segment of the largest share in {column}": F.col("max_tmc"),
+                },
+            )
+        )
+    shares = within_thresholds(df, HOLD_OUT_THRESHOLDS)
+    parts.append(
+        shares.select(F.format_string("Within %d%%", "threshold").alias("Metric"), two("pct_within").alias("Value"))
+    )
+    return union_all(parts)

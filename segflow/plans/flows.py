@@ -15,7 +15,7 @@ from segflow.plans import conflate as join
 from segflow.plans.evaluate import accuracy_table, peak_table
 from segflow.plans.features import feature_table
 from segflow.plans.report import dataset_year
-from segflow.schema import DENSITY_COLUMNS, TARGET, feature_columns
+from segflow.schema import DENSITY_COLUMNS, MATCH, TARGET, feature_columns
 from segflow.session import size_shuffle, stored
 from segflow.sources import readers, writers
 
@@ -75,6 +75,15 @@ def generate(spark: SparkSession, sources: Sources, output: str, training: bool)
     return dataset
 
 
+def hold_out_matches(spark: SparkSession, matches: str, trained: list[str], output: str) -> tuple[int, DataFrame]:
+    """Write the matches of stations without a file in the ``trained`` dataset
+    folders to ``output``; return the rows kept and the stations taken out."""
+    table = readers.read_csv(spark, matches, MATCH)
+    kept, removed = join.hold_out(table, readers.stations_of_folders(spark, trained))
+    writers.write_table(kept.select(*MATCH.names), output)
+    return readers.read_csv(spark, output, MATCH).count(), removed
+
+
 Learner = Callable[[DataFrame, list[str], str], VolumeModel]
 
 

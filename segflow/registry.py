@@ -346,6 +346,11 @@ def station_max_histogram(t):
     return rounded(report.station_max_histogram(t.predictions))
 
 
+@query
+def worst_zero_histogram(t):
+    return rounded(report.volume_histogram(evaluate.worst_zero_rows(t.predictions)))
+
+
 @query
 def error_histogram(t):
     return fixed_width_histogram(evaluate.error_values(t.predictions), "percent_error", 10, 300)
@@ -562,6 +567,11 @@ def peak_table(t):
     return evaluate.peak_table(t.predictions)
 
 
+@query
+def hold_out_table(t):
+    return evaluate.hold_out_table(t.predictions)
+
+
 # ---- model tables -----------------------------------------------------------
 
 

@@ -11,22 +11,23 @@ from pyspark.sql import types as T
 
 from segflow import schema
 from segflow.functions.codes import direction_code
+from segflow.functions.shapes import geometry_column
 from segflow.functions.times import count_timestamp
-from segflow.operators.tables import union_all
+from segflow.operators.tables import union_all, union_ids
 
 
-def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, by_name: bool = False) -> DataFrame:
+Groups = dict[tuple[str, ...], list[str]]
+
+
+def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, groups: Groups | None = None) -> DataFrame:
     """CSV with a header and a declared schema; columns the files lack are null
     and extra ones are left out.
 
-    All files must have the header of the first one, and Spark checks that. Set
-    ``by_name`` for a folder tree whose files order their columns differently:
-    files are then grouped by header first, at the price of a pass over them.
+    All files must have the header of the first one, and Spark checks that. For
+    files whose columns come in different orders hand in their ``groups``.
     """
     wanted = {f.name.lower(): f for f in kind.fields}
-    if by_name:
-        groups = _files_by_header(spark, path)
-    else:
+    if groups is None:
         groups = {tuple(spark.read.option("header", True).csv(path).columns): path}
     parts = []
     for header, files in groups.items():
@@ -45,12 +46,12 @@ def _typed(name: str, wanted: dict[str, T.StructField]) -> T.StructField:
     return T.StructField(name, known.dataType if known else T.StringType())
 
 
-def _files_by_header(spark: SparkSession, folder: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+def files_by_header(spark: SparkSession, folder: str | list[str]) -> Groups:
     """CSV files at or below the folder, grouped by their header line. The
     driver gets one short row per file, which it needs to name the files."""
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(folder)
     starts = text.select("_metadata.file_path", "value").where("_metadata.file_block_start = 0")
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    groups: Groups = defaultdict(list)
     for row in starts.mapInPandas(_first_lines, "path string, header string").collect():
         groups[tuple(c.strip().strip('"') for c in row.header.split(","))].append(row.path)
     if not groups:
@@ -107,8 +108,14 @@ def stations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def shapes(spark: SparkSession, folder: str) -> DataFrame:
-    """Every shape file below a folder, stacked by column name."""
-    return read_csv(spark, folder, schema.SHAPE, by_name=True)
+    """Every shape file below a folder, stacked by column name. The line may be
+    in any of the known geometry columns; a file without one is an error."""
+    groups = files_by_header(spark, folder)
+    names = {geometry_column(list(header)) for header in groups}
+    extra = [T.StructField(n, T.StringType()) for n in names - {"geometry"}]
+    rows = read_csv(spark, folder, T.StructType(schema.SHAPE.fields + extra), groups)
+    line = F.coalesce(*[F.col(n) for n in ["geometry", *(f.name for f in extra)]])
+    return rows.withColumn("geometry", line).select(*schema.SHAPE.names)
 
 
 #: Count columns that would clash with segment columns (names differ only in
@@ -184,6 +191,11 @@ def dataset_folder(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set(key, before)
 
 
+def stations_of_folders(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """Distinct stations that have files in any of the dataset folders."""
+    return union_ids([dataset_folder(spark, f) for f in folders], "STATION_ID")
+
+
 def station_of_file(name: Column, suffix: str = ".pkl") -> Column:
     """Station id in a ``station_state_year`` file name; null unless the name
     has the suffix and exactly three parts."""

@@ -6,6 +6,7 @@ import pytest
 
 from segflow.model.regress import LinearScorer, fit_linear
 from segflow.plans import flows
+from segflow.plans.evaluate import hold_out_table
 from segflow.sources import readers, writers
 from segflow.standins import StandIns
 
@@ -40,6 +41,10 @@ def test_whole_way(spark, files):
     by_station = readers.dataset_folder(spark, f"{files}/train.parquet_stations")
     assert by_station.count() == 230 and {r.year for r in by_station.select("year").distinct().collect()} == {"2024"}
 
+    kept, removed = flows.hold_out_matches(spark, f"{files}/match.csv", [f"{files}/train.parquet_stations"], f"{files}/match_2.csv")
+    trained = {r.STATION_ID for r in dataset.select("STATION_ID").distinct().collect()}
+    assert {r.STATION_ID for r in removed.collect()} == trained and kept == found.where(~found.STATION_ID.isin(trained)).count()
+
     best, measures = flows.train(spark, by_station, f"{files}/m1", learners=[fit_linear])
     assert measures.count() == 1 and isinstance(best.model, LinearScorer)
     assert writers.list_models(spark, files)[0].endswith("m1.model")
@@ -51,6 +56,7 @@ def test_whole_way(spark, files):
     with_counts = flows.predict(dataset, model, index)
     assert {"VOL", "Predicted_VOL", "tmc_code_raw"} <= set(with_counts.columns)
     assert flows.results(with_counts).count() == 10
+    assert hold_out_table(with_counts).count() == 29
 
     flows.generate(spark, sources(files), f"{files}/infer.parquet", training=False)
     written = flows.predict_files(spark, f"{files}/infer.parquet", model, files, "infer", index)

@@ -40,11 +40,14 @@ def test_probe_and_segments(spark, tmp_path):
 def test_shapes_align_by_name(spark, tmp_path):
     put(tmp_path / "shp/a.csv", 'Tmc,DIR,F_System,County,State,geometry\na,NORTHBOUND,1,c,MA,"LINESTRING (0 1, 2 3)"\n')
     put(tmp_path / "shp/deep/b.csv", 'geometry,State,Tmc,DIR,F_System,County,more\n"LINESTRING (4 5, 6 7)",RI,b,SOUTHBOUND,2,d,1\n')
-    put(tmp_path / "shp/deep/c.csv", 'geometry,State,Tmc\n"LINESTRING (4 5, 6 7)",,c\n')
+    put(tmp_path / "shp/deep/c.csv", 'the_geom,State,Tmc\n"LINESTRING (4 5, 6 7)",,c\n')
     put(tmp_path / "shp/note.txt", "not a table")
     out = {r.Tmc: (r.State, r.F_System, r.geometry) for r in readers.shapes(spark, str(tmp_path / "shp")).collect()}
     assert out == {"a": ("MA", 1, "LINESTRING (0 1, 2 3)"), "b": ("RI", 2, "LINESTRING (4 5, 6 7)"),
                    "c": (None, None, "LINESTRING (4 5, 6 7)")}
+    put(tmp_path / "bare/a.csv", "Tmc,DIR\na,NORTHBOUND\n")
+    with pytest.raises(ValueError, match="geometry"):
+        readers.shapes(spark, str(tmp_path / "bare"))
     os.makedirs(tmp_path / "empty")
     with pytest.raises(FileNotFoundError):
         readers.shapes(spark, str(tmp_path / "empty"))
