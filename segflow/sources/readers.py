@@ -21,7 +21,7 @@ Groups = dict[tuple[str, ...], list[str]]
 
 def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, groups: Groups | None = None) -> DataFrame:
     """CSV with a header and a declared schema; columns the files lack are null
-    and extra ones are left out.
+    and extra ones are left out. A value that does not fit its type is an error.
 
     All files must have the header of the first one, and Spark checks that. For
     files whose columns come in different orders hand in their ``groups``.
@@ -32,7 +32,8 @@ def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, gro
     parts = []
     for header, files in groups.items():
         names = T.StructType([_typed(n, wanted) for n in header])
-        part = spark.read.schema(names).option("header", True).option("enforceSchema", False).csv(files)
+        read = spark.read.schema(names).option("header", True).option("enforceSchema", False)
+        part = read.option("mode", "FAILFAST").csv(files)
         parts.append(part.select(*[c for c in part.columns if c.lower() in wanted]))
     found = union_all(parts)
     have = {c.lower() for c in found.columns}

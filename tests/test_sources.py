@@ -37,6 +37,12 @@ def test_probe_and_segments(spark, tmp_path):
     assert (row.tmc_code, row.DIR, row.zip) == ("104P1", 3, 2139) and "extra" not in row
 
 
+def test_bad_values_are_errors(spark, tmp_path):
+    path = put(tmp_path / "p.csv", "tmc_code,speed\nx,fast\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.probe(spark, path).collect()
+
+
 def test_shapes_align_by_name(spark, tmp_path):
     put(tmp_path / "shp/a.csv", 'Tmc,DIR,F_System,County,State,geometry\na,NORTHBOUND,1,c,MA,"LINESTRING (0 1, 2 3)"\n')
     put(tmp_path / "shp/deep/b.csv", 'geometry,State,Tmc,DIR,F_System,County,more\n"LINESTRING (4 5, 6 7)",RI,b,SOUTHBOUND,2,d,1\n')
