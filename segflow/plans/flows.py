@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, fields
+from dataclasses import asdict, dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
 from segflow.functions.codes import category_index
 from segflow.model.data import split
 from segflow.model.importance import log_row, permutation_importance
+from segflow.model.network import Settings, fit_network
 from segflow.model.regress import BestModel, VolumeModel, best_of, evaluate, fit_linear, fit_trees
 from segflow.plans import conflate as join
 from segflow.plans.evaluate import accuracy_table, peak_table
@@ -87,6 +88,24 @@ def hold_out_matches(spark: SparkSession, matches: str, trained: list[str], outp
 Learner = Callable[[DataFrame, list[str], str], VolumeModel]
 
 
+def _prepare(dataset: DataFrame, target: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Category codes, training rows and test rows, from stored tables."""
+    index = stored(category_index(dataset, DENSITY_COLUMNS), "categories")
+    table = stored(feature_table(dataset, index=index), "features")
+    return index, *split(table, [*ROW_KEY, target])
+
+
+def _log_importance(model: VolumeModel, test: DataFrame, target: str, epoch: int, output: str) -> None:
+    writers.append_importance(log_row(permutation_importance(model, test, target), epoch), f"{output}_featureimportance")
+
+
+def _keep(spark: SparkSession, best: BestModel, index: DataFrame, output: str, settings: dict) -> None:
+    best.model.save(spark, f"{output}.model")
+    index.write.mode("overwrite").parquet(f"{output}.model/categories")
+    measures = {"model_R2": best.r2, "model_within_percent": best.pct_within, "model_top_loss": best.loss}
+    writers.write_run(spark, settings | {"model": type(best.model).__name__} | measures, f"{output}_params")
+
+
 def train(
     spark: SparkSession,
     dataset: DataFrame,
@@ -94,30 +113,40 @@ def train(
     learners: list[Learner] = (fit_linear, fit_trees),
     features: list[str] | None = None,
     target: str = TARGET,
-    epoch: int = 1,
 ) -> tuple[BestModel, DataFrame]:
     """Fit the learners on nine tenths of the rows and keep the best by the
     other tenth. Below ``output`` go the model, the category codes, the run
-    settings and one epoch of the importance log. Returns the best model and
-    its measures. (For the network see :func:`segflow.model.network.fit_network`.)"""
+    settings and the importance of the features. Returns the best model and its
+    measures on the test rows."""
     features = features or feature_columns()
-    index = stored(category_index(dataset, DENSITY_COLUMNS), "categories")
-    table = stored(feature_table(dataset, index=index), "features")
-    train_rows, test_rows = split(table, [*ROW_KEY, target])
+    index, train_rows, test_rows = _prepare(dataset, target)
     best = best_of([fit(train_rows, features, target) for fit in learners], test_rows, target)
-    importance = stored(permutation_importance(best.model, test_rows, target), "importance")
-
-    best.model.save(spark, f"{output}.model")
-    index.write.mode("overwrite").parquet(f"{output}.model/categories")
-    writers.append_importance(log_row(importance, epoch), f"{output}_featureimportance")
-    settings = {
-        "features": features, "target": target, "model": type(best.model).__name__,
-        "model_R2": best.r2, "model_within_percent": best.pct_within, "model_top_loss": best.loss,
-    }
-    writers.write_run(spark, settings, f"{output}_params")
+    _log_importance(best.model, test_rows, target, 1, output)
+    _keep(spark, best, index, output, {"features": features, "target": target})
     return best, evaluate(best.model, test_rows, target)
 
 
+def train_network(
+    spark: SparkSession,
+    dataset: DataFrame,
+    output: str,
+    settings: Settings = Settings(),
+    features: list[str] | None = None,
+    target: str = TARGET,
+) -> tuple[BestModel, list[tuple[int, float]]]:
+    """As :func:`train`, with the network: importance is logged at every test
+    epoch. Returns the best model and the mean loss of each epoch."""
+    features = features or feature_columns()
+    index, train_rows, test_rows = _prepare(dataset, target)
+
+    def on_test(epoch: int, model: VolumeModel) -> None:
+        _log_importance(model, test_rows, target, epoch, output)
+
+    best, losses = fit_network(train_rows, test_rows, features, target, settings, on_test)
+    _keep(spark, best, index, output, {"features": features, "target": target} | asdict(settings))
+    return best, losses
+
+
 def predict(dataset: DataFrame, model: VolumeModel, index: DataFrame | None = None, parity: bool = False) -> DataFrame:
     """The dataset with a predicted volume per row that has all features."""
     table = feature_table(dataset, index=index)

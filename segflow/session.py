@@ -79,9 +79,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/segflow-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under :func:`shared_folder`."""
-    return f"{shared_folder(spark).rstrip('/')}/segflow-{uuid.uuid4().hex}/{name}"
+    """A fresh path below the scratch folder of this application, which lies in
+    :func:`shared_folder`."""
+    return f"{_scratch_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables of this application, once no result that was
+    read from them is needed any more."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:

@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from segflow.model.network import NetworkScorer, Settings
 from segflow.model.regress import LinearScorer, fit_linear
 from segflow.plans import flows
 from segflow.plans.evaluate import hold_out_table
@@ -58,6 +59,12 @@ def test_whole_way(spark, files):
     assert flows.results(with_counts).count() == 10
     assert hold_out_table(with_counts).count() == 29
 
+    settings = Settings(width=8, epochs=2, test_interval=1)
+    network, losses = flows.train_network(spark, dataset, f"{files}/n1", settings)
+    assert len(losses) == 2 and NetworkScorer.load(spark, f"{files}/n1.model").scaler == network.model.scaler
+    assert spark.read.parquet(f"{files}/n1_featureimportance").groupBy("epoch").count().count() == 2
+    assert json.loads(spark.read.text(f"{files}/n1_params").first()[0])["width"] == 8
+
     flows.generate(spark, sources(files), f"{files}/infer.parquet", training=False)
     written = flows.predict_files(spark, f"{files}/infer.parquet", model, files, "infer", index)
     assert written.count() > 230 and "VOL" not in written.columns

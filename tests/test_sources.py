@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from segflow import schema
-from segflow.session import shared_folder, size_shuffle, stored
+from segflow.session import scratch_path, shared_folder, size_shuffle, stored
 from segflow.sources import readers, writers
 
 
@@ -166,3 +166,4 @@ def test_scratch_follows_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert named is None or shared_folder(spark) == named
     assert stored(spark.range(3)).count() == 3
+    assert spark.sparkContext.applicationId in scratch_path(spark, "x")
