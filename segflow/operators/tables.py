@@ -20,8 +20,9 @@ def union_ids(frames: list[DataFrame], column: str) -> DataFrame:
 
 
 def lost_ids(before: DataFrame, after: DataFrame, column: str) -> DataFrame:
-    """Distinct ids of ``before`` that ``after`` no longer has."""
-    return before.select(column).distinct().join(after.select(column), column, "left_anti")
+    """Distinct ids of ``before`` that ``after`` no longer has. Both sides are
+    reduced to their ids before the shuffle, so a hot id weighs no more than others."""
+    return before.select(column).distinct().join(after.select(column).distinct(), column, "left_anti")
 
 
 def drop_blank(df: DataFrame, column: str) -> DataFrame:

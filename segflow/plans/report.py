@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,12 +154,20 @@ def segment_rows(df: DataFrame, tmc_code: str) -> DataFrame:
 
 def segments_between(df: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """One row per segment in the half-open time range."""
-    ts = F.col("measurement_tstamp")
-    return first_segments(df.where((ts >= F.lit(start)) & (ts < F.lit(end))))
+    return first_segments(_between(df, start, end))
 
 
 def segment_day(df: DataFrame, tmc_code: str, day: date) -> DataFrame:
-    return segment_rows(df, tmc_code).where(F.to_date("measurement_tstamp") == F.lit(day))
+    """One segment on one day; both conditions reach the file scan."""
+    start = datetime(day.year, day.month, day.day)
+    return _between(segment_rows(df, tmc_code), start, start + timedelta(days=1))
+
+
+def _between(df: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    # as text, so that the session's zone applies and not that of the driver's clock
+    low, high = (F.lit(t.isoformat(" ")).cast("timestamp") for t in (start, end))
+    ts = F.col("measurement_tstamp")
+    return df.where((ts >= low) & (ts < high))
 
 
 def in_states(df: DataFrame, column: str, states: list[str]) -> DataFrame:

@@ -25,6 +25,10 @@ def test_entry_has_rows(spark):
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    if name != "fit_predict_network":
+        assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
     if name in SQL:
         assert compare(df, con, SQL[name]) == []
     else:
