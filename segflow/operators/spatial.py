@@ -25,12 +25,13 @@ def piece_cells(df: DataFrame, reach: float, cell: float) -> DataFrame:
     columns = F.sequence(cell_of(F.least(x1, x2) - pad), cell_of(F.greatest(x1, x2) + pad))
     wide = df.withColumn("cx", F.explode(columns))
 
-    def along(x: Column) -> Column:
-        share = F.try_divide(x - x1, x2 - x1)
+    def along(x: Column, upright: float) -> Column:
+        # share of the way at which the piece passes x; an upright piece never does
+        share = F.coalesce(F.try_divide(x - x1, x2 - x1), F.lit(upright))
         return F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0))
 
-    left = F.coalesce(along(F.col("cx") * cell - pad), F.lit(0.0))
-    right = F.coalesce(along((F.col("cx") + 1) * cell + pad), F.lit(1.0))
+    left = along(F.col("cx") * cell - pad, 0.0)
+    right = along((F.col("cx") + 1) * cell + pad, 1.0)
     ya, yb = y1 + left * (y2 - y1), y1 + right * (y2 - y1)
     rows = F.sequence(cell_of(F.least(ya, yb) - pad), cell_of(F.greatest(ya, yb) + pad))
     return wide.withColumn("cy", F.explode(rows))

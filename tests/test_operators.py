@@ -150,7 +150,7 @@ def test_spatial_join_equals_brute_force(spark, monkeypatch, few, per_block):
         x, y = rng.uniform(-100.02, -100), rng.uniform(40, 40.02)
         line = [(x, y)]
         for _ in range(rng.randrange(0, 5)):
-            x, y = x + rng.uniform(-0.006, 0.006), y + rng.choice([0, rng.uniform(-0.006, 0.006)])
+            x, y = (v + rng.choice([0, rng.uniform(-0.006, 0.006), 1e-15]) for v in (x, y))
             line.append((x, y))
         lines.append(line)
     points = [(rng.uniform(-100.03, -99.99), rng.uniform(39.99, 40.03)) for _ in range(300)]
