@@ -68,3 +68,27 @@ def test_station_folders_are_pruned(spark, tables, tmp_path):
 def test_global_numbers_come_from_partial_aggregates(tables):
     text = plan(report.hourly_by_weekday(tables["dataset"]))
     assert "partial_avg" in text.split("Exchange")[-1]
+
+
+def test_a_hot_segment_is_split_in_the_join(spark, tables):
+    from pyspark.sql import functions as F
+
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        code = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string"))
+        probe = spark.range(0, 300_000, 1, 8).select(code.alias("tmc_code"), F.xxhash64("id").alias("v"))
+        segments = spark.range(500).select(F.col("id").cast("string").alias("tmc_code"), F.lit("MA").alias("state"))
+        segments = segments.unionByName(spark.sql("select 'hot' as tmc_code, 'RI' as state"))
+        out = join.attach_segments(probe, segments).agg(F.count("state").alias("n"), F.count("v").alias("m"))
+        assert out.first().n == 300_000
+        out.collect()
+        assert "skew=true" in plan(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
