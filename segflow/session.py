@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,23 @@ def local_session(cores: int = 8, app: str = "segflow", memory: str = "12g") ->
     return configure(spark)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application, so that
+    functions of it run there even where it is not installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "_segflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="segflow-ship-"), "segflow.zip")
+    with zipfile.ZipFile(path, "w") as packed:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                packed.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    sc._segflow_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; set here only when the
     session names none and everything runs on one machine."""
