@@ -9,12 +9,21 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from segflow.llm import bpe, simhash
+from segflow.llm import bpe, mixing, quality, sharding, simhash
+from segflow.llm.checks import quality_sql
 from segflow.llm.common import table
+from segflow.session import stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document a mix by weights 5, 2, 1 takes."""
+    rows = stored(mixing.sized(table(spark, folder, "documents")), "sizes")
+    taken = mixing.taken_words(mixing.mix(rows, weights=(5, 2, 1), most=3))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of every text's ids and of what they decode to."""
     vocabulary = bpe.load(spark, public_tokenizers.path("word_bpe_49k.json"))
@@ -25,10 +34,23 @@ def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_shard_by_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and place of every document; 24 shards of near equal bytes."""
+    placed = sharding.shard(table(spark, folder, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of the standard table of thresholds for every document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.judge(docs).drop("text")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document; three-word shingles, two bits."""
     return simhash.near_duplicates(table(spark, folder, "documents"), width=3, distance=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_bpe_round_trip, op10_simhash_near_dedup)}
-SQL: dict[str, str] = {}
+_ALL = (op2_mix_sources, op4_bpe_round_trip, op6_shard_by_bytes, op7_quality_rules, op10_simhash_near_dedup)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
+SQL: dict[str, str] = {"op7_quality_rules": quality_sql()}
