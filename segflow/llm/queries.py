@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from segflow.llm import bpe, mixing, quality, sharding, simhash
+from segflow.llm import bpe, mixing, pii, quality, sharding, simhash
 from segflow.llm.checks import quality_sql
 from segflow.llm.common import table
 from segflow.session import stored
@@ -46,11 +46,20 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(docs).drop("text")
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Base counts and spans, and all spans, of every document."""
+    found = stored(pii.find(table(spark, folder, "documents").select("doc_id", "text")), "spans")
+    spans = pii.decide(found, pii.fit(found))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    base = F.sha2(pii.names_of(F.col("base")).cast("binary"), 256).alias("base_sha256")
+    return spans.select("doc_id", *[number(k) for k in pii.BASE], base, pii.names_of(F.col("spans")).alias("spans"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document; three-word shingles, two bits."""
     return simhash.near_duplicates(table(spark, folder, "documents"), width=3, distance=2)
 
 
-_ALL = (op2_mix_sources, op4_bpe_round_trip, op6_shard_by_bytes, op7_quality_rules, op10_simhash_near_dedup)
+_ALL = (op2_mix_sources, op4_bpe_round_trip, op6_shard_by_bytes, op7_quality_rules, op8_personal_data, op10_simhash_near_dedup)
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
 SQL: dict[str, str] = {"op7_quality_rules": quality_sql()}
