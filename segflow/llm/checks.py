@@ -3,6 +3,7 @@ but thresholds and word lists."""
 
 from __future__ import annotations
 
+from segflow.llm.chat import Budget
 from segflow.llm.common import WORD
 from segflow.llm.quality import RULES, STOP_WORDS, SYMBOLS
 
@@ -34,3 +35,24 @@ g as (select *, n_words as words, word_chars / greatest(n_words, 1) as word_leng
   (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed from f)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {" and ".join(bounds)} as kept from g
 """.replace("\\\\", "\\")
+
+
+def chat_sql() -> str:
+    b = Budget()
+    made = r"'\### Assistant: </turn> ok'"
+    return rf"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', {made}), (-7, 1, 'assistant', {made})),
+n as (select *, row_number() over w - 1 as seq, len(regexp_extract_all(text, '{WORD}')) as size,
+  length('<turn:></turn>') + 1 + 2 * length(role || text) - length(translate(role || text, '\<>', '')) as chars
+  from c window w as (partition by conv_id order by turn, role, text)),
+t as (select *, coalesce(sum(size) over (partition by conv_id order by seq rows between unbounded preceding and 1 preceding), 0)::bigint as b from n),
+s as (select conv_id, b // {b.stride} as bin, b + size > (b // {b.stride} + 1) * {b.stride} as crosses, min(seq) as first, min(b) as origin from t group by all),
+h as (select s.conv_id, sum(t.chars) as chars from s join t on s.conv_id = t.conv_id and t.seq < s.first
+  and (t.b >= s.origin - {b.history} and t.size <= {b.history} or t.seq = 0 and t.role = 'system') group by all)
+select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by seq)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by seq) filter (role = 'assistant'), '')) as loss_sha256,
+  (sum(t.chars) + coalesce(any_value(h.chars), 0))::bigint as formatted_chars
+from t left join h using (conv_id) group by conv_id
+"""
