@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator, Sequence
 from functools import partial
 from itertools import chain
 
@@ -365,18 +365,18 @@ def _encode_batch(shared, with_text: bool):
     return work
 
 
-def encode(docs: DataFrame, vocabulary, text: str = "text", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary, text: str = "text", decoded: bool = False, drop: Sequence[str] = ()) -> DataFrame:
     """Add ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit numbers), and with
     ``decoded`` also ``decoded``, what :func:`decode` makes of them.
 
-    Every text is encoded whole; null counts as empty and gives no token. Columns
+    Columns in ``drop`` are read but not returned. Every text is encoded whole; null counts as empty and gives no token. Columns
     with the new names are replaced, all others pass through. Nothing is shuffled,
     and equal rows give equal rows.
     """
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     if decoded:
         fields.append(T.StructField("decoded", T.StringType()))
-    return with_python(docs, [text], fields, partial(_encode_batch, vocabulary, decoded))
+    return with_python(docs, [text], fields, partial(_encode_batch, vocabulary, decoded), drop)
 
 
 def _decode_batch(shared):

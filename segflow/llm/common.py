@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -26,27 +26,41 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
-def with_python(df: DataFrame, inputs: list[str], fields: list[T.StructField], make: Callable[[], Callable]) -> DataFrame:
-    """Add columns computed in Python from Arrow batches; all others pass through.
+def boxed(df: DataFrame) -> Column:
+    """All columns in one, so that names of intermediate columns cannot meet theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def unboxed(df: DataFrame, columns: list[str], new: list[str] | None = None, box: str = "_doc") -> DataFrame:
+    """The ``columns`` that :func:`boxed` has put away, then the ``new`` ones, which replace
+    those of the same name."""
+    taken = {n.lower() for n in new or []}
+    return df.select(*[F.col(box).getField(c).alias(c) for c in columns if c.lower() not in taken], *(new or []))
+
+
+def with_python(df: DataFrame, inputs: list[str], fields: list[T.StructField], make: Callable[[], Callable], drop: Sequence[str] = ()) -> DataFrame:
+    """Add columns computed in Python from Arrow batches; all others pass through, but
+    for those in ``drop``, which do not come back from Python.
 
     ``make`` runs once in each task and gives a function from the lists of the
     input columns to the lists of the new ones. Columns with the names of new
     ones are replaced.
     """
     ship(df.sparkSession)
-    kept = without(df, [f.name for f in fields])
+    kept = without(df, [*[f.name for f in fields], *drop])
     schema = T.StructType([*kept.schema.fields, *fields])
-    named = [f"_in{i}" for i in range(len(inputs))]
-    fed = df.select(*[F.col(f"`{c}`") for c in kept.columns], *[F.col(f"`{c}`").alias(n) for c, n in zip(inputs, named)])
-    places = len(kept.columns)
+    more = [c for c in inputs if c not in kept.columns]
+    fed = df.select(*[F.col(f"`{c}`") for c in kept.columns], *[F.col(f"`{c}`").alias(f"_python_input_{i}") for i, c in enumerate(more)])
+    width = len(kept.columns)
+    places = [kept.columns.index(c) if c in kept.columns else width + more.index(c) for c in inputs]
     kinds = _arrow_kinds(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            made = work(*[batch.column(places + i).to_pylist() for i in range(len(named))])
+            made = work(*[batch.column(i).to_pylist() for i in places])
             new = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(made, kinds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:places], *new], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], names=schema.names)
 
     return fed.mapInArrow(run, schema)
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache, partial
 
@@ -213,7 +213,7 @@ def _calibrated(chosen: DataFrame, model: Model, number: dict[str, int]) -> Mode
     bits = model.code.shape[1]
     shared = chosen.sparkSession.sparkContext.broadcast(model)
     fields = [T.StructField("_margins", T.ArrayType(T.DoubleType()))]
-    seen = with_python(chosen, ["lang", "text"], fields, partial(_margins_of, shared, number)).where("_margins is not null")
+    seen = with_python(chosen, ["lang", "text"], fields, partial(_margins_of, shared, number), ["text"]).where("_margins is not null")
     each = seen.select("lang", F.posexplode("_margins").alias("bit", "m"))
     stats = each.groupBy("lang", "bit").agg(F.avg("m").alias("mean"), F.coalesce(F.var_pop("m"), F.lit(0.0)).alias("var"), F.count("*").alias("n"))
     means, spread, trust = (np.zeros((len(number), bits)) for _ in range(3))
@@ -250,13 +250,13 @@ def _predictions(shared) -> Callable:
     return work
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = "text", drop: Sequence[str] = ()) -> DataFrame:
     """Add ``lang_pred``, ``score`` and ``ambiguous`` from each whole text alone.
 
     Null texts and those without a letter are ``und`` with score 0. Columns with the new
-    names are replaced, all others pass through; nothing is shuffled. The model that
+    names are replaced, all others but ``drop`` pass through; nothing is shuffled. The model that
     is broadcast has a fixed size: buckets times bits.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
-    return with_python(docs, [text], fields, partial(_predictions, shared))
+    return with_python(docs, [text], fields, partial(_predictions, shared), drop)

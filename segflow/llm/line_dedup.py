@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import SPACE, without
+from segflow.llm.common import SPACE, boxed, unboxed
 from segflow.session import stored
 
 #: A word with a digit, found in linear time.
@@ -114,10 +114,16 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc
     ``n_dropped`` are replaced.
     """
     gone = templates(docs, settings, key, text)
-    own = without(docs, ["n_lines", "n_dropped"]).withColumn("_row", row_key(F.col(key), F.col(text)))
+    own = docs.select(boxed(docs).alias("_doc"), row_key(F.col(key), F.col(text)).alias("_row"), F.col(text).alias("_text"))
     joined = own.join(gone, "_row", "left")
-    lines = F.split(F.col(text), "\n")
+    lines = F.split("_text", "\n")
     numbers = F.sequence(F.lit(0), F.size(lines) - 1)
     rest = F.array_join(F.transform(F.array_except(numbers, F.col("_positions")), lambda i: F.get(lines, i)), "\n")
-    cut = joined.withColumns({"n_lines": F.coalesce(F.when(F.col(text).isNotNull(), F.size(lines)), F.lit(0)), "n_dropped": F.coalesce(F.size("_positions"), F.lit(0))})
-    return without(cut.withColumn(text, F.when(F.col("n_dropped") > 0, rest).otherwise(F.col(text))), ["_row", "_positions"])
+    cut = joined.withColumns(
+        {
+            "n_lines": F.coalesce(F.when(F.col("_text").isNotNull(), F.size(lines)), F.lit(0)),
+            "n_dropped": F.coalesce(F.size("_positions"), F.lit(0)),
+        }
+    )
+    changed = cut.withColumn("_doc", F.when(F.col("n_dropped") > 0, F.col("_doc").withField(text, rest)).otherwise(F.col("_doc")))
+    return unboxed(changed, docs.columns, ["n_lines", "n_dropped"])

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segflow.llm.common import WORD, bucket_of, bucket_starts, group_key, running_start, without
+from segflow.llm.common import WORD, boxed, bucket_of, bucket_starts, group_key, running_start, unboxed
 from segflow.session import stored
 
 #: Words of a block, slots of an output shard on average, slots made by one row at a
@@ -158,15 +158,16 @@ def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
     """
     pieces = mix(stored(sized(docs), "sizes"), **settings).where("first is not null")
     passes = pieces.groupBy("doc_id", "_hash", group_key(F.col("source")).alias("_group"), "copy", "epoch", "size").agg(F.sort_array(F.collect_list(F.struct("first", "until"))).alias("_spans"))
-    number = Window.partitionBy("doc_id", "_hash", "_group").orderBy(F.lit(0))
-    own = docs.withColumns({"_hash": F.xxhash64("text"), "_group": group_key(F.col("source").cast("string"))})
-    own = own.withColumn("copy", (F.row_number().over(number) - 1).cast("long"))
-    same = own["doc_id"].eqNullSafe(passes["doc_id"]) & (own["_hash"] == passes["_hash"]) & (own["_group"] == passes["_group"]) & (own["copy"] == passes["copy"])
-    joined = own.join(passes, same).select(*[own[f"`{c}`"] for c in docs.columns], passes["_spans"], passes["size"].alias("_size"))
-    tokens = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*+"), F.lit(0))
+    number = Window.partitionBy("_id", "_own_hash", "_own_group").orderBy(F.lit(0))
+    own = docs.select(boxed(docs).alias("_doc"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.xxhash64("text").alias("_own_hash"), group_key(F.col("source").cast("string")).alias("_own_group"))
+    own = own.withColumn("_own_copy", (F.row_number().over(number) - 1).cast("long"))
+    same = own["_id"].eqNullSafe(passes["doc_id"]) & (own["_own_hash"] == passes["_hash"]) & (own["_own_group"] == passes["_group"]) & (own["_own_copy"] == passes["copy"])
+    joined = own.join(passes, same).select("_doc", "_text", "_spans", "size")
+    tokens = F.regexp_extract_all("_text", F.lit(WORD + r"[\x20\x09-\x0D]*+"), F.lit(0))
     cut = F.transform("_spans", lambda s: F.array_join(F.slice(tokens, (s["first"] + 1).cast("int"), (s["until"] - s["first"]).cast("int")), ""))
-    whole = (F.size("_spans") == 1) & (F.element_at("_spans", 1)["first"] == 0) & (F.element_at("_spans", 1)["until"] == F.col("_size"))
-    joined = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join(cut, "")))
+    whole = (F.size("_spans") == 1) & (F.element_at("_spans", 1)["first"] == 0) & (F.element_at("_spans", 1)["until"] == F.col("size"))
+    taken = joined.withColumn("_text", F.when(whole, F.col("_text")).otherwise(F.array_join(cut, "")))
+    filled = F.col("_doc").withField("text", F.col("_text"))
     if "n_chars" in docs.columns:
-        joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return without(joined, ["_spans", "_size"])
+        filled = filled.withField("n_chars", F.length("_text").cast(docs.schema["n_chars"].dataType))
+    return unboxed(taken.withColumn("_doc", filled), docs.columns)

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import without
+from segflow.llm.common import boxed, unboxed
 
 #: What the base finders look for, in the order of kinds. Possessive
 #: quantifiers and starts bound to where a run begins (or the last match ended) change
@@ -214,11 +214,12 @@ def candidates(text: Column, base: Column) -> Column:
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_base`` and ``_candidates`` and drop the text: small rows, to be stored."""
+    """``_doc`` (all columns but the text), ``_base`` and ``_candidates``: small rows, to be
+    stored. A null text is an empty one; neither has a span. Each row is read alone."""
     own = F.coalesce(F.col(text), F.lit(""))
-    read = without(docs, ["_base", "_candidates", "_own"]).withColumn("_own", own)
+    read = docs.select(boxed(docs.drop(text)).alias("_doc"), own.alias("_own"))
     based = read.withColumn("_base", base_spans(F.col("_own")))
-    return based.withColumn("_candidates", candidates(F.col("_own"), F.col("_base"))).drop("_own", text)
+    return based.withColumn("_candidates", candidates(F.col("_own"), F.col("_base"))).drop("_own")
 
 
 # ---- reliabilities and classifier -------------------------------------------
@@ -309,11 +310,13 @@ def probability(model: Model, kind: Column, cast: Column, wide: Column) -> Colum
 
 
 def decide(found: DataFrame, model: Model) -> DataFrame:
-    """Add ``base`` and ``spans`` (``kind``, ``start``, ``end``; by kind, then start), the
+    """The columns of the documents but the text, ``base`` and ``spans`` (``kind``, ``start``, ``end``; by kind, then start), the
     latter with the candidates that the classifier keeps."""
     kept = F.filter("_candidates", lambda c: probability(model, c["kind"], c["votes"], c["wide"]) >= KEEP)
     added = F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-    return found.withColumns({"base": F.array_sort("_base"), "spans": F.array_sort(F.concat("_base", added))}).drop("_base", "_candidates")
+    columns = found.schema["_doc"].dataType.names
+    both = found.withColumns({"base": F.array_sort("_base"), "spans": F.array_sort(F.concat("_base", added))})
+    return unboxed(both, columns, ["base", "spans"])
 
 
 def names_of(spans: Column) -> Column:

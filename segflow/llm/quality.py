@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import SPACE, WORD, without
+from segflow.llm.common import SPACE, WORD, boxed, unboxed
 
 #: The stop words looked for, most frequent ones of four languages.
 STOP_WORDS = {
@@ -138,8 +138,8 @@ def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text")
     """
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     own = F.coalesce(F.col(text), F.lit(""))
-    read = docs.withColumns({"_text": own, "_words": word_list(own)})
-    counted = without(read, new).withColumns(counts(F.col("_text"), F.col("_words")))
+    read = docs.select(boxed(docs).alias("_doc"), own.alias("_text"), word_list(own).alias("_words"))
+    counted = read.withColumns(counts(F.col("_text"), F.col("_words")))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     judged = counted.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(RULES if rules is None else rules))
-    return judged.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in new], *new)
+    return unboxed(judged, docs.columns, new)

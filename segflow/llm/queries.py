@@ -22,7 +22,7 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document; learned from three quarters of them."""
     docs = table(spark, folder, "documents")
     model = language_id.fit(docs.where(language_id.learns(F.col("doc_id"))))
-    predicted = language_id.predict(docs.select("doc_id", "text"), model)
+    predicted = language_id.predict(docs.select("doc_id", "text"), model, drop=["text"])
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
 

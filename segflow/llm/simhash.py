@@ -10,7 +10,7 @@ within the distance meet in a cell, and the join is one on equal cells.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 from itertools import product
 
@@ -82,9 +82,9 @@ def _fingerprinter(width: int) -> Callable:
     return lambda texts: [[_signed(simhash(t, width)) for t in texts]]
 
 
-def with_fingerprint(docs: DataFrame, width: int = 3, text: str = "text") -> DataFrame:
-    """Add ``_code``, the fingerprint as a signed long, and keep all columns."""
-    return with_python(docs, [text], [T.StructField("_code", T.LongType())], partial(_fingerprinter, width))
+def with_fingerprint(docs: DataFrame, width: int = 3, text: str = "text", drop: Sequence[str] = ()) -> DataFrame:
+    """Add ``_code``, the fingerprint as a signed long, and keep all columns but ``drop``."""
+    return with_python(docs, [text], [T.StructField("_code", T.LongType())], partial(_fingerprinter, width), drop)
 
 
 def as_hex(code: Column) -> Column:
@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, key: str
     table gives no row. Columns other than key and text are not read.
     """
     read = docs.select(F.col(key).alias("doc_id"), F.col("text"))
-    coded = stored(with_fingerprint(read, width).drop("text"), "codes")
+    coded = stored(with_fingerprint(read, width, drop=["text"]), "codes")
     classes = stored(coded.groupBy("_code").agg(F.min("doc_id").alias("first")), "classes")
     found = stored(links(classes.select("_code"), distance), "links")
     roots = components(found)
