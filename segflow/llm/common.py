@@ -50,7 +50,10 @@ def with_python(df: DataFrame, inputs: list[str], fields: list[T.StructField], m
     kept = without(df, [*[f.name for f in fields], *drop])
     schema = T.StructType([*kept.schema.fields, *fields])
     more = [c for c in inputs if c not in kept.columns]
-    fed = df.select(*[F.col(f"`{c}`") for c in kept.columns], *[F.col(f"`{c}`").alias(f"_python_input_{i}") for i, c in enumerate(more)])
+    free = "_in"
+    while any(c.lower().startswith(free) for c in kept.columns):
+        free += "_"
+    fed = df.select(*[F.col(f"`{c}`") for c in kept.columns], *[F.col(f"`{c}`").alias(f"{free}{i}") for i, c in enumerate(more)])
     width = len(kept.columns)
     places = [kept.columns.index(c) if c in kept.columns else width + more.index(c) for c in inputs]
     kinds = _arrow_kinds(fields)

@@ -57,8 +57,8 @@ def byte_size(text: Column) -> Column:
 
 
 def digest(text: Column) -> Column:
-    """Names a text; null is a text of its own."""
-    return F.coalesce(F.sha2(text.cast("binary"), 256), F.lit("null"))
+    """Names a text; null has no bytes, as the empty text."""
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
 def shard(docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text") -> DataFrame:
