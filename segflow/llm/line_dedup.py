@@ -4,7 +4,7 @@ A line's path in the tree is its number of words, then its leading words to a fi
 depth, where a word with a digit counts as a variable field. In a leaf there are two
 kinds of templates: lines that are equal but for such fields, and, of leaves with
 several of those, the generalised line: what follows the leading words is cut into
-eight parts, parts on which most of the leaf's documents agree are fixed, all others
+eight parts, parts on which many of the leaf's documents agree are fixed, all others
 variable, and lines that share at least half of the parts belong to it. A template that
 recurs in enough documents is dropped from all but one of them.
 
@@ -31,14 +31,14 @@ _PARTS = 8
 class Settings:
     """``depth``: leading words in the path. ``words``: shorter lines are never
     dropped. ``documents``: how many have to share a template. ``general_words``:
-    shorter lines are not generalised. ``majority``: share of a leaf's documents that
-    makes a part fixed. ``alike``: parts of eight that a line shares with its template."""
+    shorter lines are not generalised. ``share``: of a leaf's documents, so many
+    that agree on a part make it fixed. ``alike``: parts of eight that a line shares with its template."""
 
     depth: int = 4
     words: int = 3
     documents: int = 3
     general_words: int = 12
-    majority: float = 0.5
+    share: float = 0.25
     alike: int = 4
 
 
@@ -94,7 +94,9 @@ def _generalised(seen: DataFrame, equal: DataFrame, settings: Settings) -> DataF
     open_lines = stored(seen.where(F.col("_n") >= settings.general_words).join(several, "_leaf"), "open")
     each = open_lines.select("_leaf", "_total", F.posexplode(F.array(*[_part(p) for p in range(_PARTS)])).alias("_p", "_value"))
     voted = each.groupBy("_leaf", "_total", "_p", "_value").agg(F.count("*").alias("_votes"))
-    fixed = voted.where((F.col("_votes") >= settings.documents) & (F.col("_votes") > settings.majority * F.col("_total")))
+    fixed = voted.where((F.col("_votes") >= settings.documents) & (F.col("_votes") >= settings.share * F.col("_total")))
+    # ties go to the smaller value
+    fixed = fixed.groupBy("_leaf", "_p").agg(F.max_by("_value", F.struct("_votes", -F.col("_value"))).alias("_value"))
     template = fixed.groupBy("_leaf").agg(F.map_from_entries(F.collect_list(F.struct("_p", "_value"))).alias("_template"))
     same = sum((F.coalesce(F.element_at("_template", F.lit(p)) == _part(p), F.lit(False)).cast("int") for p in range(_PARTS)), F.lit(0))
     member = open_lines.join(template, "_leaf").where(same >= settings.alike).select("_leaf", "_row", "_pos")

@@ -90,7 +90,9 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, s
     made = made.withColumn("_slots", F.col("_passes") * F.col("_blocks") + F.ceil(F.col("_rest") / block).cast("long"))
     made = made.withColumn("_shards", F.greatest(F.ceil(F.col("_all") / (block * shard_slots)), F.lit(1)).cast("long")).where("_slots > 0")
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_slots - 1) div {CHUNK}"))).alias("_chunk")
-    chunks = made.select("*", chunk).repartition("_group", "_chunk")
+    # a chunk is a small row that makes many: its tasks must not be merged by size
+    tasks = int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = made.select("*", chunk).repartition(tasks, "_group", "_chunk")
     last = F.least(F.col("_slots"), (F.col("_chunk") + 1) * CHUNK) - 1
     each = chunks.select("*", F.explode(F.sequence(F.col("_chunk") * CHUNK, last)).alias("_k"))
     each = each.withColumns({"epoch": F.expr("_k div _blocks"), "_i": F.expr("_k % _blocks")})
@@ -133,7 +135,8 @@ def mix(rows: DataFrame, weights: Sequence[float] = (5, 2, 1), most: int = 3, bl
     spans = F.when(F.col("size") > 0, F.sequence(F.expr(f"_from div {block}"), F.expr(f"(_to - 1) div {block}")))
     columns = ["doc_id", "source", "size", "_hash", "copy", "source_size", "target", "_group", "_from", "_to"]
     pieces = each.select(*columns, F.explode_outer(spans).alias("block"))
-    taken = pieces.join(slots(plan, block, shard_slots, seed), ["_group", "block"], "left")
+    # slots grow with the data, which the size estimate of exploded rows does not see
+    taken = pieces.join(slots(plan, block, shard_slots, seed).hint("merge"), ["_group", "block"], "left")
     begin = F.col("block") * block
     first = F.greatest(F.col("_from"), begin) - F.col("_from")
     # least() passes over null: a block without a slot must not look taken
