@@ -83,6 +83,11 @@ dataset as (
    and make_timestamp(2000+c.YEAR, c.MONTH, c.DAY, c.HOUR, 0, 0) = p.measurement_tstamp)"""
 
 
+#: stations that have a file in the training dataset
+TRAINED = """select distinct split_part(file_name, '_', 1) as STATION_ID from dataset_file
+where suffix(file_name, '.pkl') and len(string_split(file_name, '_')) = 3"""
+
+
 def _features() -> str:
     plain = [c for c in BASE_FEATURES if c not in ("tmc_code", "measurement_tstamp", *DENSITY_COLUMNS)]
     parts = {"year": "year", "month": "month", "day": "day", "hour": "hour", "dayofweek": "isodow"}
@@ -299,21 +304,22 @@ from dataset d join features f
   on f.tmc_code = {_number('d.tmc_code')} and f.TMC_Value = {_variant('d.tmc_code')} and f.DIR = d.DIR
  and make_timestamp(f.year, f.month, f.day, f.hour, 0, 0) = d.measurement_tstamp""",
     "holdout_anti": f"""with {TIER1}
-select Tmc, STATION_ID, DIR, tier from tier1
-where STATION_ID not in (select STATION_ID from count_hourly where DAY = 1 and VOL > 0)""",
+select Tmc, STATION_ID, DIR, tier from tier1 where STATION_ID not in ({TRAINED})""",
     "holdout_removed": f"""with {TIER1}
-select distinct STATION_ID from tier1 where STATION_ID in (select STATION_ID from count_hourly where DAY = 1 and VOL > 0)""",
+select distinct STATION_ID from tier1 where STATION_ID in ({TRAINED})""",
+    "attach_counties": """
+select s.tmc as tmc_code, s.county, (select min_by(p.population, p.name) from county_population p
+  where lower(p.name) = lower(concat(s.county, ', ', replace(s.state, '_', ' ')))) as county_population from segment_id s""",
     "top_stations": """
 select p.STATION_ID, p.VOL, p.state, p.tmc_code, p.measurement_tstamp
 from predictions p join (select STATION_ID, max(VOL) as top from predictions group by STATION_ID) m
   on m.STATION_ID = p.STATION_ID and m.top = p.VOL
-order by p.VOL desc, p.STATION_ID, p.measurement_tstamp limit 10""",
+order by p.VOL desc, p.STATION_ID, p.measurement_tstamp, p.tmc_code limit 10""",
     "county_lookup": "select name, population from county_population where lower(name) like '%county 7%' order by name limit 1",
     # aggregates
     "station_counts": "select STATION_ID, count(measurement_tstamp) as n from predictions group by STATION_ID",
-    "availability_month": "select STATION_ID, " + ", ".join(
-        f"count(*) filter (YEAR*100+MONTH = {2400 + m}) as m{2400 + m}" for m in range(1, 13)
-    ) + " from count_hourly group by STATION_ID",
+    "availability_month": """pivot (select STATION_ID, concat('m', cast(YEAR*100+MONTH as varchar)) as month from count_hourly)
+on month using count(*) group by STATION_ID""",
     "availability_hour": "select STATION_ID, " + ", ".join(
         f"count(*) filter (HOUR = {h}) as h{h}" for h in range(24)
     ) + " from count_hourly group by STATION_ID",
@@ -398,8 +404,8 @@ group by feature order by avg(importance) desc, feature limit 10""",
 rows_ as (
   select {_number('p.tmc_code')} as tmc_code, {_variant('p.tmc_code')} as TMC_Value, seg.DIR,
          cast(epoch(measurement_tstamp) as bigint) as measurement_tstamp, speed, travel_time_seconds
-  from probe_all p join seg on seg.tmc_code = p.tmc_code where seg.DIR is not null)
-select *, {', '.join(f'lead({c}) over w as {c}_before, lag({c}) over w as {c}_after' for c in ('measurement_tstamp', 'speed', 'travel_time_seconds'))}
+  from probe_all p join seg on seg.tmc_code = p.tmc_code)
+select *, {', '.join(f'case when DIR is not null then lead({c}) over w end as {c}_before, case when DIR is not null then lag({c}) over w end as {c}_after' for c in ('measurement_tstamp', 'speed', 'travel_time_seconds'))}
 from rows_ window w as (partition by tmc_code, TMC_Value, DIR order by measurement_tstamp)""",
     "first_per_segment": f"""
 select {_PROBE_SELECT} from (
@@ -422,19 +428,11 @@ select start_latitude, start_longitude, tmc_code, measurement_tstamp from (
   select seg.start_latitude, seg.start_longitude, p.tmc_code, p.measurement_tstamp,
          md5(concat_ws('|', '42', p.tmc_code, strftime(p.measurement_tstamp, '%Y-%m-%d %H:%M:%S'))) as h
   from probe_all p join seg on seg.tmc_code = p.tmc_code) order by h limit 500""",
-    "training_stations": """
-select distinct split_part(file_name, '_', 1) as STATION_ID from dataset_file
-where suffix(file_name, '.pkl') and len(string_split(file_name, '_')) = 3""",
-    "missing_stations": f"""with {PROBES},
-{SEGMENTS},
-{TIER1},
+    "training_stations": TRAINED,
+    "missing_stations": f"""with {DATASET},
 located as (
-  select p.measurement_tstamp, m.STATION_ID from probes p
-  join tier1 m on m.Tmc = p.tmc_code join seg on seg.tmc_code = p.tmc_code)
-select distinct STATION_ID from located where STATION_ID not in (
-  select l.STATION_ID from located l
-  join count_hourly c on c.STATION_ID = l.STATION_ID and c.STATE_NAME = 'STATE_1' and c.COUNTY_NAME = 'County 1'
-   and make_timestamp(2000+c.YEAR, c.MONTH, c.DAY, c.HOUR, 0, 0) = l.measurement_tstamp)""",
+  select m.STATION_ID from probes p join tier1 m on m.Tmc = p.tmc_code join seg on seg.tmc_code = p.tmc_code)
+select distinct STATION_ID from located where STATION_ID not in (select STATION_ID from dataset)""",
     # scalar functions
     "segment_code": f"""
 select distinct tmc_code as tmc_code_raw, {_variant('tmc_code')} as TMC_Value, {_number('tmc_code')} as tmc_code from probe_all""",
@@ -499,3 +497,6 @@ select round(avg(case when abs(VOL-score) <= 500 then 0.5*(VOL-score)*(VOL-score
        round(1 - sum((VOL-score)*(VOL-score)) / (var_pop(VOL)*count(*)), 6) as r2,
        round(count(*) filter (VOL <> 0 and abs(VOL-score)/VOL < 0.15) / count(*) * 100, 6) as pct_within from scored""",
 }
+
+#: One station on each segment and hour: found by a join or carried along, rows are the same.
+CHECKS["score_in_place"] = CHECKS["merge_predictions"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ def with_neighbours(
 
     Mind the names: ``_before`` holds the *next* row in time and ``_after`` the
     *previous* one, as published models expect. Neighbours are rows, not hours:
-    a gap in the series is not filled. ``seconds`` is the time in epoch seconds
+    a gap in the series is not filled. A row with a null key is in no series: it
+    has no neighbours. ``seconds`` is the time in epoch seconds
     and ``ties`` orders rows of equal time.
 
     A count over the keys comes first. Series of up to ``hot`` rows take one
@@ -34,7 +37,7 @@ def with_neighbours(
     those rows alone. A span that is itself longer than ``hot`` can only come
     from copies: they are counted before the shuffle and put back at the end.
     """
-    long = df.groupBy(*keys).count().where(F.col("count") > hot).select(*keys)
+    long = df.where(_named(keys)).groupBy(*keys).count().where(F.col("count") > hot).select(*keys)
     if long.isEmpty():
         return _in_one(df, keys, seconds, columns, ties)
     long = stored(long, "hot").select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
@@ -49,9 +52,17 @@ def with_neighbours(
     return usual.unionByName(spread.select(*usual.columns))
 
 
+def _named(keys: list[str]) -> Column:
+    """True where no key is null."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def _in_one(df: DataFrame, keys: list[str], seconds: str, columns: list[str], ties) -> DataFrame:
-    series = Window.partitionBy(*keys).orderBy(F.col(seconds), *(ties or []))
-    return df.withColumns({f"{c}_{side}": step(c).over(series) for c in columns for side, step in _sides().items()})
+    # rows without a key are many and need no neighbours: they are spread by their time
+    apart = F.when(~_named(keys), F.hash(*keys, F.col(seconds)))
+    series = Window.partitionBy(*keys, apart).orderBy(F.col(seconds), *(ties or []))
+    values = {f"{c}_{side}": step(c).over(series) for c in columns for side, step in _sides().items()}
+    return df.withColumns({name: F.when(_named(keys), value) for name, value in values.items()})
 
 
 def _with_copies(cut: DataFrame, keys: list[str], seconds: str, columns: list[str], ties) -> DataFrame:

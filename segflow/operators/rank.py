@@ -17,6 +17,8 @@ PREFIX_DIGITS = 4
 #: Percentile buckets per doubling of the value. A double has 2,046 binary
 #: exponents, so there are never more than about a million buckets.
 PER_OCTAVE = 256
+#: Distinct values of a percentile bucket beyond which it is cut further.
+CROWD = 50_000
 
 
 def key_hash(*columns: str) -> Column:
@@ -82,6 +84,19 @@ def _value_bucket(value: Column) -> Column:
     return F.when(value < 0, -size - 1).otherwise(size)
 
 
+def _refined(counted: DataFrame, by: list[str]) -> DataFrame:
+    """Add ``_s``, a second bucket below ``_b``: buckets with more than ``CROWD`` distinct
+    values, which a narrow range of large or of tiny values makes, are cut into equal
+    ranges, about one for each ``CROWD`` values. All others have the one range 0."""
+    crowds = counted.groupBy(*by, "_b").agg(F.count("*").alias("_k"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*by, "_b"]]
+    joined = counted.alias("l").join(crowds.where(F.col("_k") > CROWD).alias("r"), same, "left")
+    ranges = F.ceil(F.col("_k") / CROWD)
+    part = F.floor((F.col("_v") - F.col("_least")) / (F.col("_most") - F.col("_least")) * ranges)
+    fine = F.coalesce(F.least(part, ranges - 1), F.lit(0)).cast("long")
+    return joined.select(*[F.col(f"l.{c}") for c in counted.columns], fine.alias("_s"))
+
+
 def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[str] | None = None) -> DataFrame:
     """Exact, linearly interpolated percentiles as ``(*by, prob, value)``.
 
@@ -97,24 +112,33 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[st
         .agg(F.count("*").alias("_c"))
         .withColumn("_b", _value_bucket(F.col("_v")))
     )
-    totals = counted.groupBy(*by, "_b").agg(F.sum("_c").alias("_in_bucket"))
+    counted = _refined(counted, by)
+    totals = counted.groupBy(*by, "_b", "_s").agg(F.sum("_c").alias("_in_bucket"))
+    # running totals: over the fine buckets of a coarse one, then over coarse buckets
+    coarse = totals.groupBy(*by, "_b").agg(F.sum("_in_bucket").alias("_in_coarse"))
     group = Window.partitionBy(*by)
-    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = totals.withColumns(
-        {"_end": F.sum("_in_bucket").over(upto), "_n": F.sum("_in_bucket").over(group)}
+    earlier = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    coarse = coarse.withColumns(
+        {"_before": F.coalesce(F.sum("_in_coarse").over(earlier), F.lit(0)), "_n": F.sum("_in_coarse").over(group)}
+    )
+    upto = Window.partitionBy(*by, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*by, "_b"]]
+    fine = totals.withColumn("_upto", F.sum("_in_bucket").over(upto))
+    placed = fine.alias("l").join(coarse.alias("r"), same).select(
+        *[F.col(f"l.{c}") for c in by], "l._b", "_s", "_in_bucket", (F.col("_before") + F.col("_upto")).alias("_end"), "_n"
     )
     wanted = (
         placed.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("_pos", F.col("prob") * (F.col("_n") - 1))
         .withColumns({"_lo": F.floor("_pos"), "_hi": F.ceil("_pos"), "_start": F.col("_end") - F.col("_in_bucket")})
         .where("_start <= _hi and _end > _lo")
-        .select(*by, "_b", "prob", "_pos", "_lo", "_hi", "_start")
+        .select(*by, "_b", "_s", "prob", "_pos", "_lo", "_hi", "_start")
     )
-    inside = Window.partitionBy(*by, "prob", "_b").orderBy("_v").rowsBetween(
+    inside = Window.partitionBy(*by, "prob", "_b", "_s").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     ranked = (
-        counted.join(wanted, [*by, "_b"])
+        counted.join(wanted, [*by, "_b", "_s"])
         .withColumn("_to", F.col("_start") + F.sum("_c").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_c"))
     )

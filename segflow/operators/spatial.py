@@ -75,6 +75,7 @@ def lines_near_points(
     never meet). A pair comes once even if several pieces of the line are near.
     Up to ``FEW_POINTS`` points are broadcast (they are counted first), beyond
     that both sides are shuffled by cell and crowded cells are split.
+    Points, and pieces of lines, outside 180 and 90 degrees are near nothing.
     Only a key of the line travels with its pieces; its columns, the long text
     among them, are fetched for the pairs found.
     """
@@ -82,9 +83,14 @@ def lines_near_points(
     cell = cell or 2 * reach
     keys = [*same, "cx", "cy"]
     named = lines.withColumn("_line_key", F.md5(wkt))
-    located = points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    located = points.where(F.abs(lon) <= 180).where(F.abs(lat) <= 90)
     located = located.withColumns({"cx": F.floor(F.col(lon) / cell), "cy": F.floor(F.col(lat) / cell)})
-    covered = piece_cells(pieces(named, wkt, [*same, "_line_key"]), reach, cell)
+    # one coordinate that is none would make a piece of cells without end
+    on_earth = [F.abs(c) <= most for c, most in (("x1", 180), ("x2", 180), ("y1", 90), ("y2", 90))]
+    covered = pieces(named, wkt, [*same, "_line_key"])
+    for good in on_earth:
+        covered = covered.where(good)
+    covered = piece_cells(covered, reach, cell)
     if located.limit(FEW_POINTS + 1).count() <= FEW_POINTS:
         met = covered.join(F.broadcast(located), keys)
     else:

@@ -150,24 +150,58 @@ def hold_out(matches: DataFrame, training: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def merge_predictions(raw: DataFrame, normalised: DataFrame, parity: bool = False) -> DataFrame:
-    """Raw rows next to their normalised, predicted rows. Shared columns get
-    ``_raw`` and ``_norm``. The key is segment number, hour, direction and
-    segment variant; ``parity=True`` leaves the variant out, so codes that
-    differ only in their letter multiply."""
+    """Raw rows next to their normalised, predicted rows, found by a join. Shared
+    columns get ``_raw`` and ``_norm``. The key is segment number, hour, direction and
+    segment variant; ``parity=True`` leaves the variant out, so codes that differ only in
+    their letter multiply. So do several stations on one segment, in either form: rows
+    that carry their raw row need no join, see :func:`beside_raw`."""
     key = ["tmc_code", "measurement_tstamp", "DIR"] + ([] if parity else ["TMC_Value"])
     code = F.col("tmc_code")
     left = raw.withColumns(
         {"TMC_Value": segment_variant(code), "tmc_code_raw": code, "tmc_code": segment_number(code)}
     )
-    hour = F.make_timestamp("year", "month", "day", "hour", F.lit(0), F.lit(0))
-    right = normalised.withColumn("measurement_tstamp", hour)
-    names = [{c.lower() for c in df.columns if c not in key} for df in (left, right)]
-    shared = names[0] & names[1]  # names that differ only in case clash too
+    right = normalised.withColumn("measurement_tstamp", _hour())
+    shared = _shared(left.columns, right.columns, key)
     left = left.withColumnsRenamed({c: c + "_raw" for c in left.columns if c.lower() in shared})
     right = right.withColumnsRenamed({c: c + "_norm" for c in right.columns if c.lower() in shared})
     return left.join(right, key)
 
 
+def beside_raw(normalised: DataFrame, raw: str = "_raw") -> DataFrame:
+    """The columns of :func:`merge_predictions` from rows that carry their raw row in the
+    column ``raw``: one row for each, whatever else is on its segment and hour."""
+    key = ["tmc_code", "measurement_tstamp", "DIR", "TMC_Value"]
+    kept = [c for c in normalised.schema[raw].dataType.names if c not in key]
+    left = {**{c: F.col(raw)[c] for c in kept}, "tmc_code_raw": F.col(raw)["tmc_code"]}
+    right = [c for c in normalised.columns if c not in (raw, *key)]
+    shared = _shared(list(left), right, key)
+    return normalised.withColumn("measurement_tstamp", _hour()).select(
+        *key,
+        *[value.alias(c + "_raw" if c.lower() in shared else c) for c, value in left.items()],
+        *[F.col(c).alias(c + "_norm" if c.lower() in shared else c) for c in right],
+    )
+
+
+def _hour():
+    return F.make_timestamp("year", "month", "day", "hour", F.lit(0), F.lit(0))
+
+
+def _shared(left: list[str], right: list[str], key: list[str]) -> set[str]:
+    """Names outside the key on both sides; names that differ only in case clash too."""
+    names = [{c.lower() for c in some if c not in key} for some in (left, right)]
+    return names[0] & names[1]
+
+
+def attach_counties(rows: DataFrame, counties: DataFrame, name: str = "county") -> DataFrame:
+    """Rows with the columns of their county, by its name without regard to case and
+    outer blanks. Rows without a known county keep nulls, so none is lost; of counties
+    with one name the first by name as written counts."""
+    key = lambda column: F.lower(F.trim(column))
+    first = first_per_key(counties.withColumn("_county", key(F.col("name"))), ["_county"], ["name", *[c for c in counties.columns if c != "name"]])
+    extra = [F.col(c).alias(f"county_{c}") for c in counties.columns if c != "name"]
+    return rows.withColumn("_county", key(F.col(name))).join(first.select("_county", *extra), "_county", "left").drop("_county")
+
+
 def county_population(populations: DataFrame, county: str) -> DataFrame:
     """First county, by name, whose name contains the text in any case."""
     hits = populations.where(F.contains(F.lower("name"), F.lower(F.lit(county))))

@@ -14,6 +14,8 @@ from segflow.operators.tables import complete_rows
 from segflow.schema import BASE_FEATURES, DENSITY_COLUMNS, TARGET, feature_columns, shifted_columns
 
 SERIES = ["tmc_code", "TMC_Value", "DIR"]
+#: The column of :func:`feature_table` that carries the row of the dataset.
+RAW = "_raw"
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -43,7 +45,8 @@ def neighbour_step(df: DataFrame) -> DataFrame:
     """Neighbour rows of every changing column. Rows of equal time (a segment
     with several stations) are ordered by volume to be repeatable."""
     ties = [F.col(TARGET)] if TARGET in df.columns else []
-    return with_neighbours(df, SERIES, "measurement_tstamp", shifted_columns(df.columns), ties)
+    plain = [c for c in df.columns if c != RAW]
+    return with_neighbours(df, SERIES, "measurement_tstamp", shifted_columns(plain), ties)
 
 
 def default_steps(index: DataFrame | None = None) -> dict[str, Step]:
@@ -57,13 +60,17 @@ def default_steps(index: DataFrame | None = None) -> dict[str, Step]:
     }
 
 
-def feature_table(dataset: DataFrame, steps: dict[str, Step] | None = None, index: DataFrame | None = None) -> DataFrame:
+def feature_table(
+    dataset: DataFrame, steps: dict[str, Step] | None = None, index: DataFrame | None = None, carry: bool = False
+) -> DataFrame:
     """Prune, run the steps, keep the 48 features (and the target if the
-    dataset has it) and drop rows with any null."""
+    dataset has it) and drop rows with any null. With ``carry`` every row also brings
+    the row of the dataset it was made from, in one column."""
     target = [TARGET] if TARGET in dataset.columns else []
-    table = dataset.select(*BASE_FEATURES, *target)
+    raw = [F.struct(*dataset.columns).alias(RAW)] if carry else []
+    table = dataset.select(*BASE_FEATURES, *target, *raw)
     for step in (steps or default_steps(index)).values():
         table = step(table)
     wanted = [c for c in feature_columns() if c in table.columns]
-    added = [c for c in table.columns if c not in wanted and c not in target]
-    return complete_rows(table.select(*wanted, *added, *target))
+    added = [c for c in table.columns if c not in [*wanted, *target, RAW]]
+    return complete_rows(table.select(*wanted, *added, *target, *([RAW] if carry else [])), [*wanted, *added, *target])

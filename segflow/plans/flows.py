@@ -12,6 +12,7 @@ from segflow.model.data import split
 from segflow.model.importance import log_row, permutation_importance
 from segflow.model.network import Settings, fit_network
 from segflow.model.regress import BestModel, VolumeModel, best_of, evaluate, fit_linear, fit_trees
+from segflow.model.store import Trained, load_model, save_model
 from segflow.plans import conflate as join
 from segflow.plans.evaluate import accuracy_table, peak_table
 from segflow.plans.features import feature_table
@@ -49,6 +50,7 @@ def match_files(
     """Match stations to segments; write the match file ``<output>.csv`` and
     the plain id list ``<output>_pure``; return the stored matches."""
     picked = join.pick_stations(readers.stations(spark, stations), n, parity)
+    size_shuffle(spark, [shapes, stations])
     found = stored(join.match_stations(readers.shapes(spark, shapes), picked), "matches")
     writers.write_table(found, f"{output}.csv")
     writers.write_ids(found, f"{output}_pure")
@@ -100,8 +102,7 @@ def _log_importance(model: VolumeModel, test: DataFrame, target: str, epoch: int
 
 
 def _keep(spark: SparkSession, best: BestModel, index: DataFrame, output: str, settings: dict) -> None:
-    best.model.save(spark, f"{output}.model")
-    index.write.mode("overwrite").parquet(f"{output}.model/categories")
+    save_model(spark, Trained(best.model, index), f"{output}.model")
     measures = {"model_R2": best.r2, "model_within_percent": best.pct_within, "model_top_loss": best.loss}
     writers.write_run(spark, settings | {"model": type(best.model).__name__} | measures, f"{output}_params")
 
@@ -135,29 +136,38 @@ def train_network(
     target: str = TARGET,
 ) -> tuple[BestModel, list[tuple[int, float]]]:
     """As :func:`train`, with the network: importance is logged at every test
-    epoch. Returns the best model and the mean loss of each epoch."""
+    epoch, and a new best is stored at once with its measures. Returns the best model
+    and the mean loss of each epoch that ran. A run that was cut short goes on from its
+    last test epoch, which ``<output>_progress`` holds, when it is started again."""
     features = features or feature_columns()
     index, train_rows, test_rows = _prepare(dataset, target)
+    described = {"features": features, "target": target} | asdict(settings)
 
-    def on_test(epoch: int, model: VolumeModel) -> None:
+    def on_test(epoch: int, model: VolumeModel, best: BestModel) -> None:
         _log_importance(model, test_rows, target, epoch, output)
+        if best.model is model:
+            _keep(spark, best, index, output, described | {"epoch": epoch})
 
-    best, losses = fit_network(train_rows, test_rows, features, target, settings, on_test)
-    _keep(spark, best, index, output, {"features": features, "target": target} | asdict(settings))
+    best, losses = fit_network(train_rows, test_rows, features, target, settings, on_test, f"{output}_progress")
+    _keep(spark, best, index, output, described)
     return best, losses
 
 
-def predict(dataset: DataFrame, model: VolumeModel, index: DataFrame | None = None, parity: bool = False) -> DataFrame:
-    """The dataset with a predicted volume per row that has all features."""
-    table = feature_table(dataset, index=index)
-    return join.merge_predictions(dataset, model.predict(table), parity)
+def predict(dataset: DataFrame, trained: Trained, parity: bool = False) -> DataFrame:
+    """The dataset with a predicted volume: one row for each of its rows that has all
+    features. Category codes are those of the training rows, so a dataset that lacks a
+    category does not shift the others. ``parity=True`` finds the raw rows by a join on
+    segment and hour instead, and multiplies where several share them."""
+    if parity:
+        table = feature_table(dataset, index=trained.index)
+        return join.merge_predictions(dataset, trained.model.predict(table), parity)
+    return join.beside_raw(trained.model.predict(feature_table(dataset, index=trained.index, carry=True)))
 
 
-def predict_files(
-    spark: SparkSession, dataset: str, model: VolumeModel, folder: str, name: str, index: DataFrame | None = None
-) -> DataFrame:
-    """Predict a stored dataset and write ``<name>_predictions`` to ``folder``."""
-    rows = predict(readers.dataset(spark, dataset), model, index)
+def predict_files(spark: SparkSession, dataset: str, model: str, folder: str, name: str) -> DataFrame:
+    """Predict a stored dataset with a stored model; write ``<name>_predictions`` to
+    ``folder``."""
+    rows = predict(readers.dataset(spark, dataset), load_model(spark, model))
     writers.write_predictions(rows, folder, name)
     return spark.read.parquet(f"{folder}/{name}_predictions.parquet")
 

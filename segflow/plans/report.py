@@ -132,7 +132,7 @@ def top_stations(df: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` largest rows among those at their station's maximum."""
     peak = station_max(df).withColumnRenamed("max_vol", "VOL")
     rows = df.join(peak, ["STATION_ID", "VOL"])
-    return rows.orderBy(F.desc("VOL"), "STATION_ID", "measurement_tstamp").limit(n)
+    return rows.orderBy(F.desc("VOL"), "STATION_ID", "measurement_tstamp", "tmc_code").limit(n)
 
 
 # ---- selections -------------------------------------------------------------

@@ -20,7 +20,7 @@ from segflow.functions.shapes import vertices
 from segflow.functions.times import count_timestamp, epoch_seconds, with_calendar
 from segflow.model.data import fit_scaler, split
 from segflow.model.importance import permutation_importance as feature_importance
-from segflow.model.network import Settings, fit_network
+from segflow.model.network import Settings, first_step
 from segflow.model.regress import LinearScorer, VolumeModel, evaluate as evaluate_model, fit_linear, fit_trees
 from segflow.operators.histograms import fixed_width_histogram
 from segflow.operators.neighbours import with_neighbours
@@ -69,8 +69,12 @@ def _tier1(t: StandIns) -> DataFrame:
     return join.match_stations(t.shape, join.pick_stations(t.station))
 
 
+def _stored_tier1(t: StandIns) -> DataFrame:
+    return _shared(t, "matches", _tier1)
+
+
 def _matches(t: StandIns) -> DataFrame:
-    return readers.as_matches(stored(_tier1(t), "matches"))
+    return readers.as_matches(_stored_tier1(t))
 
 
 def _dataset(t: StandIns) -> DataFrame:
@@ -80,8 +84,30 @@ def _dataset(t: StandIns) -> DataFrame:
     )
 
 
+#: Tables that several queries start from, by application and folder.
+_SHARED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _shared(t: StandIns, name: str, build: Callable[[StandIns], DataFrame]) -> DataFrame:
+    """A table that is built and stored once for each application and folder; anew if
+    its files are gone."""
+    sc = t.spark.sparkContext
+    key = (sc.applicationId, t.folder, name)
+    known = _SHARED.get(key)
+    if known is not None:
+        place = sc._jvm.org.apache.hadoop.fs.Path(known.inputFiles()[0]) if known.inputFiles() else None
+        if place is not None and place.getFileSystem(sc._jsc.hadoopConfiguration()).exists(place):
+            return known
+    _SHARED[key] = stored(build(t), name)
+    return _SHARED[key]
+
+
+def _stored_dataset(t: StandIns) -> DataFrame:
+    return _shared(t, "dataset", _dataset)
+
+
 def _features(t: StandIns) -> DataFrame:
-    return features.feature_table(stored(_dataset(t), "dataset"))
+    return _shared(t, "features", lambda t: features.feature_table(_stored_dataset(t)))
 
 
 def _stored(t: StandIns, df: DataFrame, name: str) -> str:
@@ -130,7 +156,7 @@ def tmc_id_list(t):
 
 @query
 def tmc_id_text(t):
-    return writers.joined_ids(_tier1(t), "Tmc", ["Tmc", "STATION_ID", "DIR"], per_line=100)
+    return writers.joined_ids(_stored_tier1(t), "Tmc", ["Tmc", "STATION_ID", "DIR"], per_line=100)
 
 
 # ---- projections and filters ------------------------------------------------
@@ -258,19 +284,35 @@ def geo_tier1(t):
     return _tier1(t)
 
 
+_MERGED = [
+    "tmc_code_raw", "tmc_code", "TMC_Value", "measurement_tstamp", "DIR", "STATION_ID", "VOL_raw", "VOL_norm",
+    "hour", "speed_All_raw", "speed_All_before", "Predicted_VOL",
+]
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    return rows.withColumnRenamed("hour_norm", "hour").select(*_MERGED)
+
+
+def _scored(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("Predicted_VOL", F.floor(F.col("aadt") / 100.0 + F.col("speed_All")).cast("int"))
+
+
 @query
 def merge_predictions(t):
-    score = F.floor(F.col("aadt") / 100.0 + F.col("speed_All")).cast("int")
-    dataset = stored(_dataset(t), "dataset")
-    merged = join.merge_predictions(dataset, features.feature_table(dataset).withColumn("Predicted_VOL", score))
-    return merged.select(
-        "tmc_code_raw", "tmc_code", "TMC_Value", "measurement_tstamp", "DIR", "STATION_ID", "VOL_raw", "VOL_norm",
-        F.col("hour_norm").alias("hour"), "speed_All_raw", "speed_All_before", "Predicted_VOL",
-    )
+    return _merged(join.merge_predictions(_stored_dataset(t), _scored(_features(t))))
+
+
+@query
+def score_in_place(t):
+    carried = features.feature_table(_stored_dataset(t), carry=True)
+    return _merged(join.beside_raw(_scored(carried)))
 
 
 def _trained(t: StandIns) -> DataFrame:
-    return t.count_hourly.where("DAY = 1 and VOL > 0")
+    """Stations that have a file in the training dataset."""
+    named = t.dataset_file.select(readers.station_of_file(F.col("file_name")).alias("STATION_ID"))
+    return union_ids([named], "STATION_ID")
 
 
 @query
@@ -283,6 +325,13 @@ def holdout_removed(t):
     return join.hold_out(_tier1(t), _trained(t))[1]
 
 
+@query
+def attach_counties(t):
+    name = F.concat("county", F.lit(", "), F.initcap(F.translate("state", "_", " ")))
+    rows = _segments(t).withColumn("county_name", name)
+    return join.attach_counties(rows, t.county_population, "county_name").select("tmc_code", "county", "county_population")
+
+
 @query
 def top_stations(t):
     return report.top_stations(t.predictions).select("STATION_ID", "VOL", "state", "tmc_code", "measurement_tstamp")
@@ -303,7 +352,8 @@ def station_counts(t):
 
 @query
 def availability_month(t):
-    return report.availability_by_month(readers.as_counts(t.count_hourly), [(24, m) for m in range(1, 13)])
+    counts = readers.as_counts(t.count_hourly)
+    return report.availability_by_month(counts, report.months_present(counts))
 
 
 @query
@@ -440,7 +490,7 @@ def importance_mean(t):
 
 @query
 def neighbour_features(t):
-    rows = join.attach_segments(t.probe_all, _segments(t).where("DIR is not null"))
+    rows = join.attach_segments(t.probe_all, _segments(t))
     rows = features.code_step(rows).withColumn("measurement_tstamp", F.unix_timestamp("measurement_tstamp"))
     shifted = ["measurement_tstamp", "speed", "travel_time_seconds"]
     rows = rows.select(*features.SERIES, *shifted)
@@ -499,15 +549,13 @@ def map_sample(t):
 
 @query
 def training_stations(t):
-    named = t.dataset_file.select(readers.station_of_file(F.col("file_name")).alias("STATION_ID"))
-    return union_ids([named], "STATION_ID")
+    return _trained(t)
 
 
 @query
 def missing_stations(t):
-    located = stored(join.attach_stations(_probes(t), _matches(t), _segments(t)), "located")
-    counts = readers.as_counts(t.count_hourly)
-    return lost_ids(located, join.attach_counts_legacy(located, counts, "STATE_1", "County 1"), "STATION_ID")
+    located = join.attach_stations(_probes(t), _matches(t), _segments(t))
+    return lost_ids(located, _stored_dataset(t), "STATION_ID")
 
 
 # ---- scalar functions -------------------------------------------------------
@@ -587,14 +635,13 @@ def split_rows(t):
 
 @query
 def standardise(t):
-    rows = stored(_features(t), "features")
-    train, test = split(rows, FEATURE_KEY)
+    train, test = split(_features(t), FEATURE_KEY)
     scaler = fit_scaler(train, schema.feature_columns())
     return rounded(scaler.apply(train.unionByName(test)).select("row_hash", *schema.feature_columns()))
 
 
 def _train_and_test(t: StandIns) -> tuple[DataFrame, DataFrame]:
-    return split(stored(_features(t), "features"), FEATURE_KEY)
+    return split(_features(t), FEATURE_KEY)
 
 
 def _fixed(train: DataFrame) -> VolumeModel:
@@ -628,15 +675,17 @@ def fit_predict_linear(t):
 @query
 def fit_predict_trees(t):
     train, test = _train_and_test(t)
-    return _predicted(fit_trees(train, schema.feature_columns(), iterations=5), test)
+    return _predicted(fit_trees(train, schema.feature_columns()), test)
 
 
 @query
-def fit_predict_network(t):
-    train, test = _train_and_test(t)
-    settings = Settings(width=60, epochs=4, test_interval=2)
-    best, _ = fit_network(train, test, schema.feature_columns(), settings=settings)
-    return _predicted(best.model, test)
+def network_step(t):
+    """One optimiser step of the published network over all training rows: size of the
+    gradient by kind and layer of its numbers."""
+    train, _ = _train_and_test(t)
+    settings = Settings()
+    sizes = first_step(train, schema.feature_columns(), settings)
+    return train.sparkSession.createDataFrame(sizes, "kind string, layer int, numbers long, loss double, slope double")
 
 
 @query

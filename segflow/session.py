@@ -9,9 +9,9 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Runtime settings. Broadcast joins are never hinted: Spark broadcasts a side
-#: only when its (estimated, then measured) size is under these thresholds and
-#: falls back to a shuffled join with skew splitting beyond them.
+#: Runtime settings. Spark broadcasts a side only when its (estimated, then measured)
+#: size is under these thresholds and falls back to a shuffled join with skew splitting
+#: beyond them. Broadcasts are hinted in one place, behind a count (spatial join).
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 
 from pyspark.errors import AnalysisException
@@ -51,24 +52,18 @@ def files_by_header(spark: SparkSession, folder: str | list[str]) -> Groups:
     """CSV files at or below the folder, grouped by their header line. The
     driver gets one short row per file, which it needs to name the files."""
     text = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(folder)
-    starts = text.select("_metadata.file_path", "value").where("_metadata.file_block_start = 0")
+    starts = text.select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("_at"))
+    starts = starts.where("_metadata.file_block_start = 0")
+    # ids rise within a file's first block, which one task reads from its start
+    first = starts.groupBy("path").agg(F.min_by("value", "_at").alias("header"))
     groups: Groups = defaultdict(list)
-    for row in starts.mapInPandas(_first_lines, "path string, header string").collect():
-        groups[tuple(c.strip().strip('"') for c in row.header.split(","))].append(row.path)
+    for row in first.collect():
+        groups[tuple(c.strip() for c in next(csv.reader([row.header])))].append(row.path)
     if not groups:
         raise FileNotFoundError(f"no .csv file under {folder}")
     return dict(groups)
 
 
-def _first_lines(batches):
-    seen = set()
-    for batch in batches:
-        for path, part in batch.groupby("file_path", sort=False):
-            if path not in seen:
-                seen.add(path)
-                yield part.head(1).rename(columns={"file_path": "path", "value": "header"})[["path", "header"]]
-
-
 def probe(spark: SparkSession, path: str) -> DataFrame:
     """Probe rows of one vehicle class."""
     return read_csv(spark, path, schema.PROBE)

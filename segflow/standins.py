@@ -194,7 +194,7 @@ class StandIns:
     """Stand-in tables of one data folder as DataFrames, by attribute."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark, self._folder = spark, folder
+        self.spark, self.folder = spark, folder
         self._read: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -206,7 +206,7 @@ class StandIns:
         full = with_standins(text)
         for table in BASE_TABLES:
             if table not in self._read and re.search(rf"\b{table}\b", full):
-                self._read[table] = self._spark.read.parquet(f"{self._folder}/{table}.parquet")
+                self._read[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
         for table, df in self._read.items():
             df.createOrReplaceTempView(table)
-        return self._spark.sql(full)
+        return self.spark.sql(full)

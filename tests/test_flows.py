@@ -3,11 +3,15 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from segflow.model.network import NetworkScorer, Settings
 from segflow.model.regress import LinearScorer, fit_linear
+from segflow.model.store import load_model
 from segflow.plans import flows
+from segflow.plans.conflate import merge_predictions
 from segflow.plans.evaluate import hold_out_table
+from segflow.plans.features import feature_table
 from segflow.sources import readers, writers
 from segflow.standins import StandIns
 
@@ -52,21 +56,37 @@ def test_whole_way(spark, files):
     assert len(json.loads(spark.read.text(f"{files}/m1_params").first()[0])["features"]) == 48
     assert spark.read.parquet(f"{files}/m1_featureimportance").count() == 48
 
-    model = LinearScorer.load(spark, f"{files}/m1.model")
-    index = spark.read.parquet(f"{files}/m1.model/categories")
-    with_counts = flows.predict(dataset, model, index)
+    trained = load_model(spark, f"{files}/m1.model")
+    assert isinstance(trained.model, LinearScorer) and trained.index.count() == 8
+    with_counts = flows.predict(dataset, trained)
     assert {"VOL", "Predicted_VOL", "tmc_code_raw"} <= set(with_counts.columns)
     assert flows.results(with_counts).count() == 10
     assert hold_out_table(with_counts).count() == 29
+    # on one station a segment and hour the join finds the same rows, on two it multiplies
+    def merged(rows):
+        return merge_predictions(rows, trained.model.predict(feature_table(rows, index=trained.index)))
+
+    joined = merged(dataset)
+    assert sorted(joined.columns) == sorted(with_counts.columns) and joined.count() == with_counts.count()
+    twice = dataset.unionByName(dataset.withColumns({"STATION_ID": F.lit("other"), "VOL": F.col("VOL") + 1}))
+    complete = feature_table(twice, index=trained.index).count()
+    assert flows.predict(twice, trained).count() == complete and merged(twice).count() == 2 * complete
+    # a dataset that lacks a category keeps the codes of the others
+    lacking = flows.predict(dataset.where("coalesce(data_density_All, '') != 'A'"), trained)
+    code = "data_density_All_norm"
+    assert lacking.select(code).distinct().count() < with_counts.select(code).distinct().count()
+    pairs = lambda df: {tuple(r) for r in df.select("data_density_All_raw", code).distinct().collect()}
+    assert pairs(lacking) < pairs(with_counts)
 
     settings = Settings(width=8, epochs=2, test_interval=1)
     network, losses = flows.train_network(spark, dataset, f"{files}/n1", settings)
-    assert len(losses) == 2 and NetworkScorer.load(spark, f"{files}/n1.model").scaler == network.model.scaler
+    stored_network = load_model(spark, f"{files}/n1.model").model
+    assert len(losses) == 2 and isinstance(stored_network, NetworkScorer) and stored_network.scaler == network.model.scaler
     assert spark.read.parquet(f"{files}/n1_featureimportance").groupBy("epoch").count().count() == 2
     assert json.loads(spark.read.text(f"{files}/n1_params").first()[0])["width"] == 8
 
     flows.generate(spark, sources(files), f"{files}/infer.parquet", training=False)
-    written = flows.predict_files(spark, f"{files}/infer.parquet", model, files, "infer", index)
+    written = flows.predict_files(spark, f"{files}/infer.parquet", f"{files}/m1.model", files, "infer")
     assert written.count() > 230 and "VOL" not in written.columns
     assert flows.results(written).count() == 2
     assert spark.read.option("header", True).csv(f"{files}/infer_predictions.csv").count() == written.count()

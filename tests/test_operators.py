@@ -27,15 +27,13 @@ def test_neighbours_keep_null_values_and_match_plain_windows(spark):
     rng = random.Random(1)
     rows = [("hot" if i % 3 else f"s{i % 7}", i * 1800 + rng.randrange(600), rng.choice([None, 1.0, 2.0]), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, t long, v double, i long")
-    df = df.withColumn("k", F.when(F.col("k") != "s1", F.col("k")))  # a null key is a series of its own
+    df = df.withColumn("k", F.when(F.col("k") != "s1", F.col("k")))  # a null key is no series
     got = with_neighbours(df, ["k"], "t", ["v", "t"], hot=500)
     from pyspark.sql import Window
 
     w = Window.partitionBy("k").orderBy("t")
-    want = df.select(
-        "*", F.lead("v").over(w).alias("v_before"), F.lag("v").over(w).alias("v_after"),
-        F.lead("t").over(w).alias("t_before"), F.lag("t").over(w).alias("t_after"),
-    )
+    near = {"v_before": F.lead("v"), "v_after": F.lag("v"), "t_before": F.lead("t"), "t_after": F.lag("t")}
+    want = df.select("*", *[F.when(F.col("k").isNotNull(), x.over(w)).alias(name) for name, x in near.items()])
     assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == len(rows)
 
 
@@ -186,3 +184,18 @@ def test_long_diagonal_stays_near_its_cells(spark):
     df = spark.createDataFrame([(0.0, 0.0, 1.0, 1.0)], "x1 double, y1 double, x2 double, y2 double")
     cells = spatial.piece_cells(df, 0.001, 0.002).count()
     assert 500 < cells < 5000  # its box would be 250,000 cells
+
+
+def test_narrow_ranges_of_values_use_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(rank, "CROWD", 500)
+    rng = random.Random(4)
+    near_zero = [(rng.random() * 0.002,) for _ in range(6000)]
+    seconds = [(1.7e9 + rng.random() * 1e6,) for _ in range(6000)]
+    for rows in (near_zero, seconds, near_zero + seconds):
+        df = spark.createDataFrame(rows, "v double")
+        found = {r.prob: r.value for r in rank.exact_percentiles(df, "v", [0.1, 0.5, 0.77]).collect()}
+        for p, value in found.items():
+            assert value == pytest.approx(float(np.quantile([x for x, in rows], p)), rel=1e-12)
+        counted = df.groupBy(F.col("v").alias("_v")).count().withColumn("_b", rank._value_bucket(F.col("_v")))
+        sizes = [r["count"] for r in rank._refined(counted.drop("count"), []).groupBy("_b", "_s").count().collect()]
+        assert max(sizes) < 1200 and len(sizes) >= 10
