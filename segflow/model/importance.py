@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segflow.model.data import INPUTS, SCORE
 from segflow.model.regress import VolumeModel
 from segflow.operators.rank import with_row_number
 from segflow.schema import TARGET
+from segflow.session import stored
 
 
 def permutation_importance(model: VolumeModel, test: DataFrame, target: str = TARGET) -> DataFrame:
@@ -23,7 +24,8 @@ def permutation_importance(model: VolumeModel, test: DataFrame, target: str = TA
     """
     n = test.count()
     rows = model.scaler.inputs(test).select("row_hash", F.col(target).alias("_y"), INPUTS)
-    numbered = with_row_number(rows, "row_hash")
+    # numbered once and stored: both sides of the join read it
+    numbered = stored(with_row_number(rows, "row_hash"), "numbered")
     donors = numbered.select(F.col("row_no").alias("_donor"), F.col(INPUTS).alias("_other"))
     pairs = numbered.withColumn("_donor", (F.col("row_no") + max(1, n // 3)) % max(1, n)).join(donors, "_donor")
 
@@ -33,10 +35,11 @@ def permutation_importance(model: VolumeModel, test: DataFrame, target: str = TA
     scored = model.score_inputs(variants.select("_k", "_y", mixed.alias(INPUTS)))
     error = F.col("_y") - F.col(SCORE)
     per_variant = scored.groupBy("_k").agg(F.avg(error * error).alias("_mse"))
-    base = per_variant.where("_k = -1").select("_mse").scalar()
+    # one row for each feature: the unchanged variant is set beside them by a window
+    base = F.max(F.when(F.col("_k") == -1, F.col("_mse"))).over(Window.partitionBy(F.lit(0)))
     names = F.array(*[F.lit(f) for f in features])
-    return per_variant.where("_k >= 0").select(
-        F.element_at(names, F.col("_k") + 1).alias("feature"), (F.col("_mse") - base).alias("importance")
+    return per_variant.withColumn("_base", base).where("_k >= 0").select(
+        F.element_at(names, F.col("_k") + 1).alias("feature"), (F.col("_mse") - F.col("_base")).alias("importance")
     )
 
 

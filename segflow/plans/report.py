@@ -11,6 +11,7 @@ from segflow.operators.histograms import equal_width_histogram
 from segflow.operators.rank import first_per_key, sample_by_hash
 from segflow.operators.tables import complete_rows, to_long
 
+#: Parts of the names that published logs use for empty and neighbour columns.
 _PLACEHOLDERS = "before|after|feature"
 
 
