@@ -8,8 +8,8 @@ eight parts, parts on which many of the leaf's documents agree are fixed, all ot
 variable, and lines that share at least half of the parts belong to it. A template that
 recurs in enough documents is dropped from all but one of them.
 
-Only hashes are shuffled until the end. A first pass counts documents by leaf, and only
-the lines of leaves that recur go further.
+Texts are parsed once into hashes, which are stored; only they are shuffled until the
+end. Documents are counted by leaf first, and only lines of leaves that recur go further.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import SPACE, boxed, unboxed
+from segflow.llm.common import WORD, boxed, unboxed
 from segflow.session import stored
 
 #: A word with a digit, found in linear time.
@@ -47,25 +47,30 @@ def row_key(key: Column, text: Column) -> Column:
     return F.xxhash64(F.lit("row"), key, text)
 
 
-def _parsed(docs: DataFrame, key: str, text: str, settings: Settings, parts: bool) -> DataFrame:
-    """``_row``, ``_pos``, ``_n``, ``_leaf``, ``_line`` and with ``parts`` also ``_parts``, a
-    byte of hash for each part, of every line with enough words."""
+def words_of(line: Column) -> Column:
+    """The words of a line, those with a digit as one variable field. Patterns are tried
+    only on lines that hold what they look for."""
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _FIELD, "<*>")).otherwise(line)
+    spaced = F.when(masked.rlike(r"[\x09-\x0D]"), F.regexp_replace(masked, r"[\x09-\x0D]", " ")).otherwise(masked)
+    return F.array_remove(F.split(spaced, " "), "")
+
+
+def _parsed(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
+    """``_row``, ``_pos``, ``_n``, ``_leaf``, ``_line`` and ``_parts``, a byte of hash for each
+    part (0 for lines that are not generalised), of every line with enough words."""
     own = F.coalesce(F.col(text), F.lit(""))
     lines = docs.select(row_key(F.col(key), F.col(text)).alias("_row"), F.posexplode(F.split(own, "\n")).alias("_pos", "_text"))
-    words = F.filter(F.split(F.regexp_replace("_text", _FIELD, "<*>"), SPACE), lambda w: w != "")
-    read = lines.select("_row", "_pos", words.alias("_words")).where(F.size("_words") >= settings.words)
+    read = lines.select("_row", "_pos", words_of(F.col("_text")).alias("_words")).where(F.size("_words") >= settings.words)
     n, depth = F.size("_words"), F.lit(settings.depth)
     leaf = F.xxhash64(n, F.slice("_words", 1, settings.depth))
-    columns = ["_row", "_pos", n.alias("_n"), leaf.alias("_leaf"), F.xxhash64("_words").alias("_line")]
-    if parts:
-        rest = F.greatest(n - depth, F.lit(0))
-        packed = F.lit(0).cast("long")
-        for p in range(_PARTS):
-            begin = F.floor(rest * p / _PARTS).cast("int")
-            size = F.floor(rest * (p + 1) / _PARTS).cast("int") - begin
-            packed = packed + F.shiftleft(F.xxhash64(F.lit(p), F.slice("_words", begin + depth + 1, size)).bitwiseAND(0xFF), 8 * p)
-        columns.append(packed.alias("_parts"))
-    return read.select(*columns)
+    rest = F.greatest(n - depth, F.lit(0))
+    packed = F.lit(0).cast("long")
+    for p in range(_PARTS):
+        begin = F.floor(rest * p / _PARTS).cast("int")
+        size = F.floor(rest * (p + 1) / _PARTS).cast("int") - begin
+        packed = packed + F.shiftleft(F.xxhash64(F.lit(p), F.slice("_words", begin + depth + 1, size)).bitwiseAND(0xFF), 8 * p)
+    parts = F.when(n >= settings.general_words, packed).otherwise(F.lit(0).cast("long"))
+    return read.select("_row", "_pos", n.alias("_n"), leaf.alias("_leaf"), F.xxhash64("_words").alias("_line"), parts.alias("_parts"))
 
 
 def _part(p: Column) -> Column:
@@ -74,10 +79,11 @@ def _part(p: Column) -> Column:
 
 def templates(docs: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_row``, ``_positions``: the lines that go, by document."""
-    lines = _parsed(docs, key, text, settings, False)
+    lines = stored(_parsed(docs, key, text, settings), "parsed")
     counted = lines.groupBy("_leaf").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
     hot = stored(counted.where((F.col("n") >= settings.documents) & (F.col("a") != F.col("b"))).select("_leaf"), "leaves")
-    near = _parsed(docs, key, text, settings, True).join(hot, "_leaf", "left_semi")
+    # dealt by document as well: a line of very many documents is not one task
+    near = lines.join(hot, "_leaf", "left_semi").repartition("_leaf", "_row")
     # one row for each document and line; copies inside a document go together
     seen = stored(near.groupBy("_leaf", "_line", "_row", "_n", "_parts").agg(F.collect_set("_pos").alias("_pos")), "lines")
     equal = seen.groupBy("_leaf", "_line").agg(F.count("*").alias("_documents"), F.min("_row").alias("_first"))
@@ -105,6 +111,30 @@ def _generalised(seen: DataFrame, equal: DataFrame, settings: Settings) -> DataF
     return member.join(first, "_leaf").where("_row != _first").select("_row", "_pos")
 
 
+def cut_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``_doc`` (the row of ``docs``, its text without the lines that go), ``n_lines``,
+    ``n_dropped`` and ``own_share``, the share of the text's words that stay (1 without
+    words). The text is shuffled once, and only here."""
+    gone = templates(docs, settings, key, text)
+    own = docs.select(boxed(docs).alias("_doc"), row_key(F.col(key), F.col(text)).alias("_row"))
+    joined = own.join(gone, "_row", "left")
+    before = F.col("_doc").getField(text)
+    lines = F.split(before, "\n")
+    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
+    rest = F.array_join(F.transform(F.array_except(numbers, F.col("_positions")), lambda i: F.get(lines, i)), "\n")
+    dropped = F.coalesce(F.size("_positions"), F.lit(0))
+    cut = joined.select(
+        "_doc",
+        F.coalesce(F.when(before.isNotNull(), F.size(lines)), F.lit(0)).alias("n_lines"),
+        dropped.alias("n_dropped"),
+        F.when(dropped > 0, rest).alias("_rest"),
+    )
+    words = lambda column: F.regexp_count(column, F.lit(WORD))
+    share = F.when(F.col("_rest").isNull() | (words(before) == 0), 1.0).otherwise(words(F.col("_rest")) / words(before))
+    changed = F.when(F.col("_rest").isNotNull(), F.col("_doc").withField(text, F.col("_rest"))).otherwise(F.col("_doc"))
+    return cut.select(changed.alias("_doc"), "n_lines", "n_dropped", share.alias("own_share"))
+
+
 def drop_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without the lines of recurring templates, in ``text``; ``n_lines`` and
     ``n_dropped`` are added and all other columns kept.
@@ -115,17 +145,4 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc
     key and text are one document and have equal results. Columns named ``n_lines`` or
     ``n_dropped`` are replaced.
     """
-    gone = templates(docs, settings, key, text)
-    own = docs.select(boxed(docs).alias("_doc"), row_key(F.col(key), F.col(text)).alias("_row"), F.col(text).alias("_text"))
-    joined = own.join(gone, "_row", "left")
-    lines = F.split("_text", "\n")
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    rest = F.array_join(F.transform(F.array_except(numbers, F.col("_positions")), lambda i: F.get(lines, i)), "\n")
-    cut = joined.withColumns(
-        {
-            "n_lines": F.coalesce(F.when(F.col("_text").isNotNull(), F.size(lines)), F.lit(0)),
-            "n_dropped": F.coalesce(F.size("_positions"), F.lit(0)),
-        }
-    )
-    changed = cut.withColumn("_doc", F.when(F.col("n_dropped") > 0, F.col("_doc").withField(text, rest)).otherwise(F.col("_doc")))
-    return unboxed(changed, docs.columns, ["n_lines", "n_dropped"])
+    return unboxed(cut_lines(docs, settings, key, text), docs.columns, ["n_lines", "n_dropped"])
