@@ -69,9 +69,11 @@ def grams(text: str | None) -> np.ndarray | None:
             if size <= 0:
                 break
             mixed = mixed[:size] * np.uint32(0x9E3779B1) + codes[n - 1 :] * np.uint32(0x85EBCA6B) + np.uint32(n)
-            good = good[:size] & ((codes[n - 2 : -1] if n > 1 else codes) != 0) | (good[:size] & (codes[n - 1 :] != 0))
+            if n > 1:
+                good = good[:size] & ((codes[n - 2 : -1] != 0) | (codes[n - 1 :] != 0))
             places = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0xC2B2AE35)
-            kept = places[:ends][good[:ends]] >> np.uint32(17)
+            counted = good if n > 1 else codes != 0
+            kept = places[:ends][counted[:ends]] >> np.uint32(17)
             total += np.bincount(kept, minlength=BUCKETS)
     return total
 
