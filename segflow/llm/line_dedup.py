@@ -57,10 +57,10 @@ def words_of(line: Column) -> Column:
 
 def _parsed(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
     """``_row``, ``_pos``, ``_n``, ``_leaf``, ``_line`` and ``_parts``, a byte of hash for each
-    part (0 for lines that are not generalised), of every line with enough words."""
+    part (0 for lines that are not generalised), of every line."""
     own = F.coalesce(F.col(text), F.lit(""))
     lines = docs.select(row_key(F.col(key), F.col(text)).alias("_row"), F.posexplode(F.split(own, "\n")).alias("_pos", "_text"))
-    read = lines.select("_row", "_pos", words_of(F.col("_text")).alias("_words")).where(F.size("_words") >= settings.words)
+    read = lines.select("_row", "_pos", words_of(F.col("_text")).alias("_words"))
     n, depth = F.size("_words"), F.lit(settings.depth)
     leaf = F.xxhash64(n, F.slice("_words", 1, settings.depth))
     rest = F.greatest(n - depth, F.lit(0))
@@ -79,7 +79,8 @@ def _part(p: Column) -> Column:
 
 def templates(docs: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_row``, ``_positions``: the lines that go, by document."""
-    lines = stored(_parsed(docs, key, text, settings), "parsed")
+    # filtered after it is stored: before, the filter would split every line a second time
+    lines = stored(_parsed(docs, key, text, settings), "parsed").where(F.col("_n") >= settings.words)
     counted = lines.groupBy("_leaf").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
     hot = stored(counted.where((F.col("n") >= settings.documents) & (F.col("a") != F.col("b"))).select("_leaf"), "leaves")
     # dealt by document as well: a line of very many documents is not one task
