@@ -161,15 +161,23 @@ def mixed_texts(docs: DataFrame, **settings) -> DataFrame:
     """
     pieces = mix(stored(sized(docs), "sizes"), **settings).where("first is not null")
     passes = pieces.groupBy("doc_id", "_hash", group_key(F.col("source")).alias("_group"), "copy", "epoch", "size").agg(F.sort_array(F.collect_list(F.struct("first", "until"))).alias("_spans"))
-    number = Window.partitionBy("_id", "_own_hash", "_own_group").orderBy(F.lit(0))
-    own = docs.select(boxed(docs).alias("_doc"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.xxhash64("text").alias("_own_hash"), group_key(F.col("source").cast("string")).alias("_own_group"))
+    passes = passes.select(F.xxhash64("doc_id", "_hash", "_group").alias("_key"), "doc_id", "_hash", "copy", "_spans", "size")
+    group = group_key(F.col("source").cast("string"))
+    own = docs.select(boxed(docs).alias("_doc"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_own_hash"), group.alias("_own_group"))
+    own = own.withColumn("_own_key", F.xxhash64("_id", "_own_hash", "_own_group")).repartition("_own_key")
+    number = Window.partitionBy("_own_key", "_id", "_own_hash", "_own_group").orderBy(F.lit(0))
     own = own.withColumn("_own_copy", (F.row_number().over(number) - 1).cast("long"))
-    same = own["_id"].eqNullSafe(passes["doc_id"]) & (own["_own_hash"] == passes["_hash"]) & (own["_own_group"] == passes["_group"]) & (own["_own_copy"] == passes["copy"])
-    joined = own.join(passes, same).select("_doc", "_text", "_spans", "size")
-    tokens = F.regexp_extract_all("_text", F.lit(WORD + r"[\x20\x09-\x0D]*+"), F.lit(0))
-    cut = F.transform("_spans", lambda s: F.array_join(F.slice(tokens, (s["first"] + 1).cast("int"), (s["until"] - s["first"]).cast("int")), ""))
-    whole = (F.size("_spans") == 1) & (F.element_at("_spans", 1)["first"] == 0) & (F.element_at("_spans", 1)["until"] == F.col("size"))
-    taken = joined.withColumn("_text", F.when(whole, F.col("_text")).otherwise(F.array_join(cut, "")))
+    # one key for numbering and join, so that texts are shuffled once; the rest is compared bit by bit
+    other = F.col("_own_hash").bitwiseXOR(F.col("_hash")).bitwiseOR(F.col("_own_copy").bitwiseXOR(F.col("copy")))
+    joined = own.join(passes, (F.col("_own_key") == F.col("_key")) & (other == 0)).select("_doc", "_spans", "size")
+    before = F.col("_doc")["text"]
+    tokens = F.regexp_extract_all(before, F.lit(WORD + r"[\x20\x09-\x0D]*+"), F.lit(0))
+    first, last = F.array_min(F.transform("_spans", lambda s: s["first"])), F.array_max(F.transform("_spans", lambda s: s["until"]))
+    length = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s["until"] - s["first"])
+    cut = joined.withColumns({"_whole": (length == F.col("size")) & (first == 0) & (last == F.col("size"))}).withColumn("_tokens", F.when(~F.col("_whole"), tokens))
+    piece = F.transform("_spans", lambda s: F.array_join(F.slice(F.col("_tokens"), (s["first"] + 1).cast("int"), (s["until"] - s["first"]).cast("int")), ""))
+    text = F.when(F.col("_whole"), before).otherwise(F.array_join(piece, ""))
+    taken = cut.select("_doc", text.alias("_text"))
     filled = F.col("_doc").withField("text", F.col("_text"))
     if "n_chars" in docs.columns:
         filled = filled.withField("n_chars", F.length("_text").cast(docs.schema["n_chars"].dataType))
