@@ -32,7 +32,7 @@ PIECE = 1 << 20
 #: Bytes of the longest word that enters the trie, and states that a task keeps (and
 #: half as many words) before it starts a new trie. They bound memory and change
 #: no result.
-TRIE_BYTES, TRIE_STATES = 64, 900_000
+TRIE_BYTES, TRIE_STATES = 64, 700_000
 #: Below this code point case, composition and classes are the same in all versions
 #: of Unicode in use here; other texts go through the tokenizer file's own steps.
 SETTLED = 0x530
@@ -250,9 +250,9 @@ class Encoder:
         self.specials = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.from_letter = {c: chr(b) for b, c in byte_letters().items()}
         self.library = None
-        self._reset()
+        self.reset()
 
-    def _reset(self) -> None:
+    def reset(self) -> None:
         self.trie = Trie(self.vocabulary, self.endings)
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -291,7 +291,7 @@ class Encoder:
     def _encode_chunks(self, chunks: list[str], out: array) -> None:
         """Chunks lie between white space, which no word crosses."""
         if max(len(self.trie.last), 2 * len(self.known)) > TRIE_STATES:
-            self._reset()
+            self.reset()
         known, long = self.known, {}
         for c in sorted(set(chunks).difference(known)):
             (known if len(c) <= TRIE_BYTES else long)[c] = self._encode_words(self._words(c))
@@ -349,20 +349,24 @@ def _little(ids: array) -> bytes:
     return ids.tobytes()
 
 
-def _encode_batch(shared, with_text: bool):
-    encoder = _encoder(shared)
+class _Batches:
+    """Encodes batches of texts; the tries go with the task, the vocabulary stays."""
+
+    def __init__(self, shared, with_text: bool):
+        self.encoder, self.with_text = _encoder(shared), with_text
 
-    def work(texts: list[str | None]) -> list:
+    def __call__(self, texts: list[str | None]) -> list:
         counts, packed, decoded = [], [], []
         for text in texts:
-            ids = encoder.encode(text)
+            ids = self.encoder.encode(text)
             counts.append(len(ids))
             packed.append(_little(ids))
-            if with_text:
-                decoded.append(encoder.decode(ids))
-        return [counts, packed] + ([decoded] if with_text else [])
+            if self.with_text:
+                decoded.append(self.encoder.decode(ids))
+        return [counts, packed] + ([decoded] if self.with_text else [])
 
-    return work
+    def close(self) -> None:
+        self.encoder.reset()
 
 
 def encode(docs: DataFrame, vocabulary, text: str = "text", decoded: bool = False, drop: Sequence[str] = ()) -> DataFrame:
@@ -376,7 +380,7 @@ def encode(docs: DataFrame, vocabulary, text: str = "text", decoded: bool = Fals
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     if decoded:
         fields.append(T.StructField("decoded", T.StringType()))
-    return with_python(docs, [text], fields, partial(_encode_batch, vocabulary, decoded), drop)
+    return with_python(docs, [text], fields, partial(_Batches, vocabulary, decoded), drop)
 
 
 def _decode_batch(shared):

@@ -14,6 +14,8 @@ from segflow.session import ship
 #: What separates words, and a word, in Java's and DuckDB's syntax.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of a batch of rows that is sent to Python at a time.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,10 +45,12 @@ def with_python(df: DataFrame, inputs: list[str], fields: list[T.StructField], m
     for those in ``drop``, which do not come back from Python.
 
     ``make`` runs once in each task and gives a function from the lists of the
-    input columns to the lists of the new ones. Columns with the names of new
-    ones are replaced.
+    input columns to the lists of the new ones; if that has a ``close``, the task ends
+    with it. Columns with the names of new ones are replaced. Batches are bounded by
+    bytes, as one row may be a long text.
     """
     ship(df.sparkSession)
+    bound_batches(df.sparkSession)
     kept = without(df, [*[f.name for f in fields], *drop])
     schema = T.StructType([*kept.schema.fields, *fields])
     more = [c for c in inputs if c not in kept.columns]
@@ -64,10 +68,19 @@ def with_python(df: DataFrame, inputs: list[str], fields: list[T.StructField], m
             made = work(*[batch.column(i).to_pylist() for i in places])
             new = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(made, kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], names=schema.names)
+        getattr(work, "close", lambda: None)()
 
     return fed.mapInArrow(run, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most :data:`BATCH_BYTES`, unless the session asks for less."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def _arrow_kinds(fields: list[T.StructField]) -> list[pa.DataType]:
     from pyspark.sql.pandas.types import to_arrow_type
 

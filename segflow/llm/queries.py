@@ -43,7 +43,7 @@ def op4_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts and digests of every text's ids and of what they decode to."""
     vocabulary = bpe.load(spark, public_tokenizers.path("word_bpe_49k.json"))
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    tokens = bpe.encode(docs, vocabulary, decoded=True)
+    tokens = bpe.encode(docs, vocabulary, decoded=True, drop=["text"])
     return tokens.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
     )
