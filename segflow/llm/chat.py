@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segflow.llm.common import WORD
+from segflow.session import stored
 
 #: Turn numbers of a block of prefix sums.
 TURNS = 1024
@@ -147,4 +148,5 @@ def format_conversations(conversations: DataFrame, budget: Budget = Budget(), ke
     Columns beyond these four are not read. Repeated rows are repeated turns; a null
     conversation is one conversation; an empty table has no window.
     """
-    return windows(turns(conversations, key), budget)
+    # stored once: spans, history and system turns are all made from it
+    return windows(stored(turns(conversations, key), "turns"), budget)
