@@ -32,7 +32,7 @@ PIECE = 1 << 20
 #: Bytes of the longest word that enters the trie, and states that a task keeps (and
 #: half as many words) before it starts a new trie. They bound memory and change
 #: no result.
-TRIE_BYTES, TRIE_STATES = 64, 700_000
+TRIE_BYTES, TRIE_STATES = 64, 350_000
 #: Below this code point case, composition and classes are the same in all versions
 #: of Unicode in use here; other texts go through the tokenizer file's own steps.
 SETTLED = 0x530
