@@ -3,10 +3,11 @@
 A line's path in the tree is its number of words, then its leading words to a fixed
 depth, where a word with a digit counts as a variable field. In a leaf there are two
 kinds of templates: lines that are equal but for such fields, and, of leaves with
-several of those, the generalised line: what follows the leading words is cut into
-eight parts, parts on which many of the leaf's documents agree are fixed, all others
-variable, and lines that share at least half of the parts belong to it. A template that
-recurs in enough documents is dropped from all but one of them.
+several of those, generalised lines: what follows the leading words is cut into eight
+parts, and every half of the parts that enough documents agree on is a template, whatever
+else the leaf holds; so is a half that another line shares with a line of such a template.
+A template that recurs in enough documents is dropped from all but one of them: a line
+goes if one that stays in another document shares a template with it.
 
 Texts are parsed once into hashes, which are stored; only they are shuffled until the
 end. Documents are counted by leaf first, and only lines of leaves that recur go further.
@@ -15,6 +16,8 @@ end. Documents are counted by leaf first, and only lines of leaves that recur go
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,20 +28,20 @@ from segflow.session import stored
 #: A word with a digit, found in linear time.
 _FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 _PARTS = 8
+#: Bits of a part's hash; four of them are one number.
+_BITS = 16
 
 
 @dataclass(frozen=True)
 class Settings:
     """``depth``: leading words in the path. ``words``: shorter lines are never
     dropped. ``documents``: how many have to share a template. ``general_words``:
-    shorter lines are not generalised. ``share``: of a leaf's documents, so many
-    that agree on a part make it fixed. ``alike``: parts of eight that a line shares with its template."""
+    shorter lines are not generalised. ``alike``: parts of eight that a line shares with its template."""
 
     depth: int = 4
     words: int = 3
     documents: int = 3
     general_words: int = 12
-    share: float = 0.25
     alike: int = 4
 
 
@@ -56,25 +59,32 @@ def words_of(line: Column) -> Column:
 
 
 def _parsed(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """``_row``, ``_pos``, ``_n``, ``_leaf``, ``_line`` and ``_parts``, a byte of hash for each
-    part (0 for lines that are not generalised), of every line."""
+    """``_row``, ``_pos``, ``_n``, ``_leaf``, ``_line`` and, of the lines that can be
+    generalised, the hashes of their parts in ``_a`` and ``_b``, for every line."""
     own = F.coalesce(F.col(text), F.lit(""))
     lines = docs.select(row_key(F.col(key), F.col(text)).alias("_row"), F.posexplode(F.split(own, "\n")).alias("_pos", "_text"))
     read = lines.select("_row", "_pos", words_of(F.col("_text")).alias("_words"))
     n, depth = F.size("_words"), F.lit(settings.depth)
     leaf = F.xxhash64(n, F.slice("_words", 1, settings.depth))
     rest = F.greatest(n - depth, F.lit(0))
-    packed = F.lit(0).cast("long")
+    packed = [F.lit(0).cast("long"), F.lit(0).cast("long")]
     for p in range(_PARTS):
         begin = F.floor(rest * p / _PARTS).cast("int")
         size = F.floor(rest * (p + 1) / _PARTS).cast("int") - begin
-        packed = packed + F.shiftleft(F.xxhash64(F.lit(p), F.slice("_words", begin + depth + 1, size)).bitwiseAND(0xFF), 8 * p)
-    parts = F.when(n >= settings.general_words, packed).otherwise(F.lit(0).cast("long"))
-    return read.select("_row", "_pos", n.alias("_n"), leaf.alias("_leaf"), F.xxhash64("_words").alias("_line"), parts.alias("_parts"))
+        part = F.xxhash64(F.lit(p), F.slice("_words", begin + depth + 1, size)).bitwiseAND((1 << _BITS) - 1)
+        packed[p // 4] = packed[p // 4] + F.shiftleft(part, _BITS * (p % 4))
+    a, b = [F.when(n >= settings.general_words, x).otherwise(F.lit(0).cast("long")) for x in packed]
+    return read.select("_row", "_pos", n.alias("_n"), leaf.alias("_leaf"), F.xxhash64("_words").alias("_line"), a.alias("_a"), b.alias("_b"))
 
 
-def _part(p: Column) -> Column:
-    return F.shiftrightunsigned(F.col("_parts"), 8 * p).bitwiseAND(0xFF)
+def _halves(settings: Settings) -> Column:
+    """A row for each way to choose the parts of a template: the bits of ``_a`` and ``_b`` it leaves."""
+    masks = []
+    for chosen in combinations(range(_PARTS), settings.alike):
+        bits = [sum(((1 << _BITS) - 1) << _BITS * (p % 4) for p in chosen if p // 4 == half) for half in (0, 1)]
+        signed = [x - (1 << 64) if x >> 63 else x for x in bits]
+        masks.append(F.struct(*[F.lit(x).cast("long").alias(c) for x, c in zip(signed, "ab")]))
+    return F.explode(F.array(*masks))
 
 
 def templates(docs: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -86,30 +96,56 @@ def templates(docs: DataFrame, settings: Settings, key: str = "doc_id", text: st
     # dealt by document as well: a line of very many documents is not one task
     near = lines.join(hot, "_leaf", "left_semi").repartition("_leaf", "_row")
     # one row for each document and line; copies inside a document go together
-    seen = stored(near.groupBy("_leaf", "_line", "_row", "_n", "_parts").agg(F.collect_set("_pos").alias("_pos")), "lines")
+    seen = stored(near.groupBy("_leaf", "_line", "_row", "_n", "_a", "_b").agg(F.collect_set("_pos").alias("_pos")), "lines")
     equal = seen.groupBy("_leaf", "_line").agg(F.count("*").alias("_documents"), F.min("_row").alias("_first"))
-    recurring = equal.where(F.col("_documents") >= settings.documents).select("_leaf", "_line", "_first")
-    gone = seen.join(recurring, ["_leaf", "_line"]).where("_row != _first").select("_row", "_pos")
-    dropped = gone.unionByName(_generalised(seen, equal, settings))
+    recurring = equal.where(F.col("_documents") >= settings.documents)
+    judged = stored(seen.join(recurring, ["_leaf", "_line"], "left"), "judged")
+    gone = judged.where("_row != _first").select("_row", "_pos")
+    dropped = gone.unionByName(_generalised(judged, settings))
     return dropped.groupBy("_row").agg(F.array_distinct(F.flatten(F.collect_list("_pos"))).alias("_positions"))
 
 
-def _generalised(seen: DataFrame, equal: DataFrame, settings: Settings) -> DataFrame:
-    """Lines that belong to the generalised template of their leaf."""
-    several = equal.groupBy("_leaf").agg(F.count("*").alias("_kinds"), F.sum("_documents").alias("_total"))
-    several = several.where((F.col("_kinds") > 1) & (F.col("_total") >= settings.documents)).select("_leaf", "_total")
-    open_lines = stored(seen.where(F.col("_n") >= settings.general_words).join(several, "_leaf"), "open")
-    each = open_lines.select("_leaf", "_total", F.posexplode(F.array(*[_part(p) for p in range(_PARTS)])).alias("_p", "_value"))
-    voted = each.groupBy("_leaf", "_total", "_p", "_value").agg(F.count("*").alias("_votes"))
-    fixed = voted.where((F.col("_votes") >= settings.documents) & (F.col("_votes") >= settings.share * F.col("_total")))
-    # ties go to the smaller value
-    fixed = fixed.groupBy("_leaf", "_p").agg(F.max_by("_value", F.struct("_votes", -F.col("_value"))).alias("_value"))
-    template = fixed.groupBy("_leaf").agg(F.map_from_entries(F.collect_list(F.struct("_p", "_value"))).alias("_template"))
-    same = sum((F.coalesce(F.element_at("_template", F.lit(p)) == _part(p), F.lit(False)).cast("int") for p in range(_PARTS)), F.lit(0))
-    member = open_lines.join(template, "_leaf").where(same >= settings.alike).select("_leaf", "_row", "_pos")
-    first = member.groupBy("_leaf").agg(F.min("_row").alias("_first"), F.count_distinct("_row").alias("_documents"))
-    first = first.where(F.col("_documents") >= settings.documents).select("_leaf", "_first")
-    return member.join(first, "_leaf").where("_row != _first").select("_row", "_pos")
+def _generalised(judged: DataFrame, settings: Settings) -> DataFrame:
+    """Lines that belong to a generalised template which a line of another document keeps.
+
+    Of a line that recurs as it is only the row that stays takes part, and stands for all
+    its documents.
+    """
+    several = judged.groupBy("_leaf").agg(F.min("_line").alias("a"), F.max("_line").alias("b")).where("a != b").select("_leaf")
+    able = judged.where((F.col("_n") >= settings.general_words) & (F.col("_first").isNull() | (F.col("_row") == F.col("_first"))))
+    lines = able.join(several, "_leaf", "left_semi").withColumn("_documents", F.coalesce("_documents", F.lit(1).cast("long")))
+    key = F.xxhash64("_leaf", "_line", "_row").alias("_key")
+    lines = stored(lines.select(key, "_leaf", "_row", "_pos", "_a", "_b", "_documents"), "open")
+    each = lines.select("_key", "_leaf", "_row", "_a", "_b", "_documents", _halves(settings).alias("_mask"))
+    left = [F.col(f"_{c}").bitwiseAND(F.col("_mask")[c]) for c in "ab"]
+    each = each.select("_key", "_row", "_documents", F.xxhash64("_leaf", "_mask", *left).alias("_template"))
+    shared = each.groupBy("_template").agg(F.max("_documents").alias("_most"), F.count_distinct("_row").alias("_rows")).where("_rows > 1")
+    members = stored(each.join(shared.select("_template", F.greatest("_most", "_rows").alias("_found")), "_template"), "shared")
+    # a line may agree with each line of a family on another half
+    family = members.where(F.col("_found") >= settings.documents).select("_key").distinct()
+    found = members.join(family, "_key", "left_semi").select("_template").distinct()
+    goes = _all_but_one(members.join(found, "_template", "left_semi").select("_key", "_row", "_template"))
+    return lines.join(goes, "_key").select("_row", "_pos")
+
+
+def _all_but_one(members: DataFrame) -> DataFrame:
+    """``_key`` of the lines that go, such that no template stays in two documents and each
+    line that goes shares a template with one that stays.
+
+    A line that comes first in all its templates stays, and those that share one with it
+    go; then again with the lines left. Documents are in the order of their hashes, so
+    few rounds settle all.
+    """
+    members, gone = stored(members, "members"), []
+    while not members.isEmpty():
+        least = members.groupBy("_template").agg(F.min("_row").alias("_least"))
+        stay = members.join(least, "_template").groupBy("_key").agg(F.bool_and(F.col("_row") == F.col("_least")).alias("_stays"))
+        stay = stored(stay.where("_stays").select("_key"), "stay")
+        keeper = members.join(stay, "_key", "left_semi").groupBy("_template").agg(F.min("_row").alias("_keeper"))
+        goes = stored(members.join(keeper, "_template").where("_row != _keeper").select("_key").distinct(), "goes")
+        gone.append(goes)
+        members = stored(members.join(stay.unionByName(goes), "_key", "left_anti"), "members")
+    return reduce(DataFrame.unionByName, gone) if gone else members.select("_key")
 
 
 def cut_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:

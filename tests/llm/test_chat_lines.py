@@ -79,6 +79,23 @@ def test_variable_fields_without_digits_are_generalised(spark):
     assert sum(got[i] for i in range(6)) == 5 and all(got[50 + i] == 0 for i in range(6))
 
 
+def family(words, names, first):
+    """Lines of 16 words that share their leading words and four of eight parts."""
+    rest = [" ".join(w + n if i % 3 == 1 else w for i, w in enumerate(words.split())) for n in names]
+    return [(first + k, f"Error while reading file {r}", "en", "a", 0) for k, r in enumerate(rest)]
+
+
+def test_two_families_and_a_hot_line_in_one_leaf(spark):
+    many = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(300)]
+    big = family("ab ac ad ae af ag ah ai aj ak al am", many, 100)
+    small = family("pb pc pd pe pf pg ph pi pj pk pl pm", many[:6], 0)
+    hot = [(1000 + i, "Error while reading file the same line in very many of the documents at hand here", "en", "a", 0) for i in range(900)]
+    loose = [(5000 + i, " ".join(["Error while reading file", *[c + w for w in "abcdefghijkl"]]), "en", "a", 0) for i, c in enumerate("qrstu")]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_lines(documents(spark, big + small + hot + loose)).collect()}
+    dropped = lambda first, n: sum(got[first + k] for k in range(n))
+    assert [dropped(0, 6), dropped(100, 300), dropped(1000, 900), dropped(5000, 5)] == [5, 299, 899, 0]
+
+
 def test_awkward_lines(spark):
     docs = documents(spark)
     got = line_dedup.drop_lines(docs)
