@@ -7,7 +7,8 @@ several of those, generalised lines: what follows the leading words is cut into
 parts, and every half of the parts that enough documents agree on is a template, whatever
 else the leaf holds; so is a half that another line shares with a line of such a template.
 A template that recurs in enough documents is dropped from all but one of them: a line
-goes if one that stays in another document shares a template with it.
+goes if one that stays in another document shares a template with it. Long lines go from the
+second document on.
 
 Texts are parsed once into hashes, which are stored; only they are shuffled until the
 end. Documents are counted by leaf first, and only lines of leaves that recur go further.
@@ -35,12 +36,14 @@ _BITS = 16
 @dataclass(frozen=True)
 class Settings:
     """``depth``: leading words in the path. ``words``: shorter lines are never
-    dropped. ``documents``: how many have to share a template. ``general_words``:
+    dropped. ``documents``: how many have to share a template; lines of more than
+    ``long_words`` go from the second document on. ``general_words``:
     shorter lines are not generalised. ``alike``: parts of eight that a line shares with its template."""
 
     depth: int = 4
     words: int = 3
     documents: int = 3
+    long_words: int = 50
     general_words: int = 12
     alike: int = 4
 
@@ -87,18 +90,23 @@ def _halves(settings: Settings) -> Column:
     return F.explode(F.array(*masks))
 
 
+def _enough(settings: Settings) -> Column:
+    """How many documents have to share a line of ``_n`` words."""
+    return F.when(F.col("_n") > settings.long_words, min(2, settings.documents)).otherwise(settings.documents)
+
+
 def templates(docs: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_row``, ``_positions``: the lines that go, by document."""
     # filtered after it is stored: before, the filter would split every line a second time
     lines = stored(_parsed(docs, key, text, settings), "parsed").where(F.col("_n") >= settings.words)
-    counted = lines.groupBy("_leaf").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
-    hot = stored(counted.where((F.col("n") >= settings.documents) & (F.col("a") != F.col("b"))).select("_leaf"), "leaves")
+    counted = lines.groupBy("_leaf", "_n").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
+    hot = stored(counted.where((F.col("n") >= _enough(settings)) & (F.col("a") != F.col("b"))).select("_leaf"), "leaves")
     # dealt by document as well: a line of very many documents is not one task
     near = lines.join(hot, "_leaf", "left_semi").repartition("_leaf", "_row")
     # one row for each document and line; copies inside a document go together
     seen = stored(near.groupBy("_leaf", "_line", "_row", "_n", "_a", "_b").agg(F.collect_set("_pos").alias("_pos")), "lines")
-    equal = seen.groupBy("_leaf", "_line").agg(F.count("*").alias("_documents"), F.min("_row").alias("_first"))
-    recurring = equal.where(F.col("_documents") >= settings.documents)
+    equal = seen.groupBy("_leaf", "_line", "_n").agg(F.count("*").alias("_documents"), F.min("_row").alias("_first"))
+    recurring = equal.where(F.col("_documents") >= _enough(settings)).drop("_n")
     judged = stored(seen.join(recurring, ["_leaf", "_line"], "left"), "judged")
     gone = judged.where("_row != _first").select("_row", "_pos")
     dropped = gone.unionByName(_generalised(judged, settings))
@@ -115,14 +123,14 @@ def _generalised(judged: DataFrame, settings: Settings) -> DataFrame:
     able = judged.where((F.col("_n") >= settings.general_words) & (F.col("_first").isNull() | (F.col("_row") == F.col("_first"))))
     lines = able.join(several, "_leaf", "left_semi").withColumn("_documents", F.coalesce("_documents", F.lit(1).cast("long")))
     key = F.xxhash64("_leaf", "_line", "_row").alias("_key")
-    lines = stored(lines.select(key, "_leaf", "_row", "_pos", "_a", "_b", "_documents"), "open")
-    each = lines.select("_key", "_leaf", "_row", "_a", "_b", "_documents", _halves(settings).alias("_mask"))
+    lines = stored(lines.select(key, "_leaf", "_row", "_pos", "_n", "_a", "_b", "_documents"), "open")
+    each = lines.select("_key", "_leaf", "_row", "_n", "_a", "_b", "_documents", _halves(settings).alias("_mask"))
     left = [F.col(f"_{c}").bitwiseAND(F.col("_mask")[c]) for c in "ab"]
-    each = each.select("_key", "_row", "_documents", F.xxhash64("_leaf", "_mask", *left).alias("_template"))
+    each = each.select("_key", "_row", "_n", "_documents", F.xxhash64("_leaf", "_mask", *left).alias("_template"))
     shared = each.groupBy("_template").agg(F.max("_documents").alias("_most"), F.count_distinct("_row").alias("_rows")).where("_rows > 1")
     members = stored(each.join(shared.select("_template", F.greatest("_most", "_rows").alias("_found")), "_template"), "shared")
     # a line may agree with each line of a family on another half
-    family = members.where(F.col("_found") >= settings.documents).select("_key").distinct()
+    family = members.where(F.col("_found") >= _enough(settings)).select("_key").distinct()
     found = members.join(family, "_key", "left_semi").select("_template").distinct()
     goes = _all_but_one(members.join(found, "_template", "left_semi").select("_key", "_row", "_template"))
     return lines.join(goes, "_key").select("_row", "_pos")

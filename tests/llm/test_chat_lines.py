@@ -96,6 +96,15 @@ def test_two_families_and_a_hot_line_in_one_leaf(spark):
     assert [dropped(0, 6), dropped(100, 300), dropped(1000, 900), dropped(5000, 5)] == [5, 299, 899, 0]
 
 
+def test_a_long_line_goes_from_the_second_document(spark):
+    passage = " ".join(chr(97 + i // 26) + chr(97 + i % 26) for i in range(60))
+    near = passage.replace(" bc ", " other ")
+    rows = [(i, f"all about {n} alone\n{p}\nwhat {n} has to say\nshared by only two", "en", "a", 0) for i, (n, p) in enumerate([("anna", passage), ("bert", passage)])]
+    rows += [(10 + i, "w " + p, "en", "a", 0) for i, p in enumerate([passage, near])]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.drop_lines(documents(spark, rows)).collect()}
+    assert got[0] + got[1] == 1 and got[10] + got[11] == 1
+
+
 def test_awkward_lines(spark):
     docs = documents(spark)
     got = line_dedup.drop_lines(docs)
