@@ -174,6 +174,17 @@ def test_stages_keep_clean_documents(spark):
     assert [n for n, _ in kept] == ["language_id", "line_dedup", "simhash_near_dedup", "mix_sources", "bpe_encode"]
 
 
+def test_own_words_beside_a_shared_passage_stay(spark):
+    passage = "\n".join(" ".join(f"{chr(97 + i)}{chr(97 + j)}" for j in range(20)) for i in range(15))
+    own = {i: " ".join(f"own{n}{chr(97 + j)}" for j in range(25)) for i, n in enumerate(["anna", "bert", "cleo", "dora"])}
+    rows = [(i, f"{passage}\n{t}", "en", "a", 0) for i, t in own.items()] + [(9 + i, passage, "en", "a", 0) for i in range(3)]
+    got = corpus_pipeline.drop_repeated_lines(spark, documents(spark, rows), "").collect()
+    assert all(sum(t in r.text for r in got) == 1 for t in own.values())
+    assert all(sum(line in r.text for r in got) == 1 for line in passage.split("\n"))
+    # a copy without a word left goes, one that keeps lines does not
+    assert len(got) == 4 + sum(r.doc_id >= 9 for r in got) <= 5 and all(r.text.split() for r in got)
+
+
 def test_stages_take_awkward_and_empty_tables(spark):
     for docs in (documents(spark), empty(spark)):
         columns = docs.columns
