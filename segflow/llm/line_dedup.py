@@ -4,11 +4,11 @@ A line's path in the tree is its number of words, then its leading words to a fi
 depth, where a word with a digit counts as a variable field. In a leaf there are two
 kinds of templates: lines that are equal but for such fields, and, of leaves with
 several of those, generalised lines: what follows the leading words is cut into eight
-parts, and every half of the parts that enough documents agree on is a template, whatever
-else the leaf holds; so is a half that another line shares with a line of such a template.
-A template that recurs in enough documents is dropped from all but one of them: a line
-goes if one that stays in another document shares a template with it. Long lines go from the
-second document on.
+parts (in short lines fewer, of one word each), and every half of the parts that enough
+documents agree on is a template, whatever else the leaf holds; so is a half that another
+line shares with a line of such a template. A template that recurs in enough documents is
+dropped from all but one of them: a line goes if one that stays in another document shares
+a template with it. Long lines go from the second document on.
 
 Texts are parsed once into hashes, which are stored; only they are shuffled until the
 end. Documents are counted by leaf first, and only lines of leaves that recur go further.
@@ -35,16 +35,16 @@ _BITS = 16
 
 @dataclass(frozen=True)
 class Settings:
-    """``depth``: leading words in the path. ``words``: shorter lines are never
-    dropped. ``documents``: how many have to share a template; lines of more than
-    ``long_words`` go from the second document on. ``general_words``:
-    shorter lines are not generalised. ``alike``: parts of eight that a line shares with its template."""
+    """``depth``: leading words in the path. ``words``: shorter lines are dropped only if
+    they hold a letter outside of fields. ``documents``: how many have to share a
+    template; lines of more than ``long_words`` go from the second document on.
+    ``alike``: parts of eight that a line shares with its template; of fewer parts as
+    large a share, but one may always differ."""
 
     depth: int = 4
     words: int = 3
     documents: int = 3
     long_words: int = 50
-    general_words: int = 12
     alike: int = 4
 
 
@@ -76,18 +76,27 @@ def _parsed(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFra
         size = F.floor(rest * (p + 1) / _PARTS).cast("int") - begin
         part = F.xxhash64(F.lit(p), F.slice("_words", begin + depth + 1, size)).bitwiseAND((1 << _BITS) - 1)
         packed[p // 4] = packed[p // 4] + F.shiftleft(part, _BITS * (p % 4))
-    a, b = [F.when(n >= settings.general_words, x).otherwise(F.lit(0).cast("long")) for x in packed]
-    return read.select("_row", "_pos", n.alias("_n"), leaf.alias("_leaf"), F.xxhash64("_words").alias("_line"), a.alias("_a"), b.alias("_b"))
+    a, b = [F.when(n > depth, x).otherwise(F.lit(0).cast("long")) for x in packed]
+    # 0 words: lines that stay in any case
+    counts = F.when((n >= settings.words) | F.array_join("_words", " ").rlike(r"\p{L}"), n).otherwise(0)
+    return read.select("_row", "_pos", counts.alias("_n"), leaf.alias("_leaf"), F.xxhash64("_words").alias("_line"), a.alias("_a"), b.alias("_b"))
 
 
 def _halves(settings: Settings) -> Column:
     """A row for each way to choose the parts of a template: the bits of ``_a`` and ``_b`` it leaves."""
-    masks = []
-    for chosen in combinations(range(_PARTS), settings.alike):
-        bits = [sum(((1 << _BITS) - 1) << _BITS * (p % 4) for p in chosen if p // 4 == half) for half in (0, 1)]
-        signed = [x - (1 << 64) if x >> 63 else x for x in bits]
-        masks.append(F.struct(*[F.lit(x).cast("long").alias(c) for x, c in zip(signed, "ab")]))
-    return F.explode(F.array(*masks))
+    ways = None
+    for rest in range(1, _PARTS + 1):
+        # a line of fewer words than parts leaves some empty
+        filled = [p for p in range(_PARTS) if rest * (p + 1) // _PARTS > rest * p // _PARTS]
+        alike = settings.alike if rest == _PARTS else min(-(-rest * settings.alike // _PARTS), rest - 1)
+        masks = []
+        for chosen in combinations(filled, alike):
+            bits = [sum(((1 << _BITS) - 1) << _BITS * (p % 4) for p in chosen if p // 4 == half) for half in (0, 1)]
+            signed = [x - (1 << 64) if x >> 63 else x for x in bits]
+            masks.append(F.struct(*[F.lit(x).cast("long").alias(c) for x, c in zip(signed, "ab")]))
+        of = F.least(F.col("_n") - settings.depth, F.lit(_PARTS)) == rest
+        ways = F.when(of, F.array(*masks)) if ways is None else ways.when(of, F.array(*masks))
+    return F.explode(ways)
 
 
 def _enough(settings: Settings) -> Column:
@@ -98,7 +107,7 @@ def _enough(settings: Settings) -> Column:
 def templates(docs: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_row``, ``_positions``: the lines that go, by document."""
     # filtered after it is stored: before, the filter would split every line a second time
-    lines = stored(_parsed(docs, key, text, settings), "parsed").where(F.col("_n") >= settings.words)
+    lines = stored(_parsed(docs, key, text, settings), "parsed").where("_n > 0")
     counted = lines.groupBy("_leaf", "_n").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
     hot = stored(counted.where((F.col("n") >= _enough(settings)) & (F.col("a") != F.col("b"))).select("_leaf"), "leaves")
     # dealt by document as well: a line of very many documents is not one task
@@ -120,7 +129,7 @@ def _generalised(judged: DataFrame, settings: Settings) -> DataFrame:
     its documents.
     """
     several = judged.groupBy("_leaf").agg(F.min("_line").alias("a"), F.max("_line").alias("b")).where("a != b").select("_leaf")
-    able = judged.where((F.col("_n") >= settings.general_words) & (F.col("_first").isNull() | (F.col("_row") == F.col("_first"))))
+    able = judged.where((F.col("_n") > settings.depth) & (F.col("_first").isNull() | (F.col("_row") == F.col("_first"))))
     lines = able.join(several, "_leaf", "left_semi").withColumn("_documents", F.coalesce("_documents", F.lit(1).cast("long")))
     key = F.xxhash64("_leaf", "_line", "_row").alias("_key")
     lines = stored(lines.select(key, "_leaf", "_row", "_pos", "_n", "_a", "_b", "_documents"), "open")
@@ -186,7 +195,8 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc
 
     Of the documents that share a template, the one whose hash is smallest keeps it.
     Documents without such a line are unchanged to the byte; a null text stays null and
-    has no line. Lines are cut at line feeds; empty and short lines stay. Rows with equal
+    has no line. Lines are cut at line feeds; empty lines and those of
+    one or two words without a letter stay. Rows with equal
     key and text are one document and have equal results. Columns named ``n_lines`` or
     ``n_dropped`` are replaced.
     """

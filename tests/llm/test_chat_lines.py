@@ -105,6 +105,17 @@ def test_a_long_line_goes_from_the_second_document(spark):
     assert got[0] + got[1] == 1 and got[10] + got[11] == 1
 
 
+def test_short_lines_are_compared_word_by_word(spark):
+    names = ["anna", "bert", "cleo", "dora", "emil"]
+    rows = [(i, f"Job was started by {n} today\nthe last word is {n}\nHome\nPage {i}\n{i}\n---", "en", "a", 0) for i, n in enumerate(names)]
+    rows += [(10 + i, f"Job was started by {n} {n}", "en", "a", 0) for i, n in enumerate("pqrst")]
+    got = line_dedup.drop_lines(documents(spark, rows)).collect()
+    short = [r for r in got if r.doc_id < 10]
+    assert sorted(r.n_dropped for r in short) == [0, 4, 4, 4, 4]
+    assert all(r.text == f"{r.doc_id}\n---" for r in short if r.n_dropped)
+    assert all(r.n_dropped == 0 for r in got if r.doc_id >= 10)
+
+
 def test_awkward_lines(spark):
     docs = documents(spark)
     got = line_dedup.drop_lines(docs)
