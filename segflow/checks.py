@@ -318,8 +318,7 @@ order by p.VOL desc, p.STATION_ID, p.measurement_tstamp, p.tmc_code limit 10""",
     "county_lookup": "select name, population from county_population where lower(name) like '%county 7%' order by name limit 1",
     # aggregates
     "station_counts": "select STATION_ID, count(measurement_tstamp) as n from predictions group by STATION_ID",
-    "availability_month": """pivot (select STATION_ID, concat('m', cast(YEAR*100+MONTH as varchar)) as month from count_hourly)
-on month using count(*) group by STATION_ID""",
+    "availability_month": "select STATION_ID, YEAR, MONTH, count(*) as n from count_hourly where STATION_ID is not null group by all",
     "availability_hour": "select STATION_ID, " + ", ".join(
         f"count(*) filter (HOUR = {h}) as h{h}" for h in range(24)
     ) + " from count_hourly group by STATION_ID",

@@ -37,6 +37,14 @@ def availability_by_month(df: DataFrame, months: list[tuple[int, int]]) -> DataF
     return availability(df, key, [y * 100 + m for y, m in months], "m")
 
 
+def availability_long(df: DataFrame) -> DataFrame:
+    """Hours per station and month that have data, as rows: ``STATION_ID``, ``YEAR``,
+    ``MONTH``, ``n``. Nothing has to be known of the months beforehand, and stations by
+    months may be any number. A missing year or month is a month of its own."""
+    named = df.where("STATION_ID is not null")
+    return named.groupBy("STATION_ID", "YEAR", "MONTH").agg(F.count("measurement_tstamp").alias("n"))
+
+
 def availability_by_hour(df: DataFrame) -> DataFrame:
     """Hours per station and hour of the day."""
     return availability(df, F.col("HOUR"), list(range(24)), "h")

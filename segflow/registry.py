@@ -352,8 +352,7 @@ def station_counts(t):
 
 @query
 def availability_month(t):
-    counts = readers.as_counts(t.count_hourly)
-    return report.availability_by_month(counts, report.months_present(counts))
+    return report.availability_long(readers.as_counts(t.count_hourly))
 
 
 @query

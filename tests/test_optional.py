@@ -4,13 +4,16 @@ import os
 import subprocess
 import sys
 
+import pytest
+
 import __spark_entry__ as entry
 
 ROOT = os.path.dirname(os.path.abspath(entry.__file__))
 
 
-def test_entry_imports_without_the_optional_part():
-    code = "import sys; sys.modules['segflow.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+@pytest.mark.parametrize("gone", ["segflow.llm", "public_tokenizers", "corpus_pipeline"])
+def test_entry_imports_without_the_optional_part(gone):
+    code = f"import sys; sys.modules['{gone}'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
     known = set(entry.queries()) - set(entry.LLM_QUERIES)
     assert done.stdout.split()[-2:] == [str(len(known)), str(len(set(entry.oracle_sql()) - set(entry.LLM_SQL)))]

@@ -208,6 +208,7 @@ def test_availability_and_months(spark):
     months = report.months_present(c)
     assert months == [(22, 1), (22, 3)]
     assert [tuple(r) for r in report.availability_by_month(c, months).collect()] == [("1", 2, 1)]
+    assert sorted(tuple(r) for r in report.availability_long(c).collect()) == [("1", 22, 1, 2), ("1", 22, 3, 1)]
     hours = report.availability_by_hour(c).first()
     assert (hours.h0, hours.h5, hours.h7) == (1, 2, 0)
 
@@ -226,10 +227,11 @@ def test_selections(spark):
 
 
 def test_top_stations_keep_ties_at_the_maximum(spark):
-    df = rows(spark, [("1", 5.0, H[1]), ("1", 5.0, H[2]), ("1", 4.0, H[3]), ("2", 9.0, H[1]), (None, 99.0, H[1])],
-              "STATION_ID string, VOL double, measurement_tstamp timestamp")
+    df = rows(spark, [("1", 5.0, H[1], "b"), ("1", 5.0, H[2], "a"), ("1", 5.0, H[1], "a"), ("1", 4.0, H[3], "a"), ("2", 9.0, H[1], "z"), (None, 99.0, H[1], "a")],
+              "STATION_ID string, VOL double, measurement_tstamp timestamp, tmc_code string")
     assert [(r.STATION_ID, r.VOL) for r in report.top_stations(df, 2).collect()] == [("2", 9.0), ("1", 5.0)]
-    assert report.top_stations(df).count() == 3
+    # among equals the earlier hour comes first, then the smaller segment
+    assert [(r.measurement_tstamp, r.tmc_code) for r in report.top_stations(df).collect()] == [(H[1], "z"), (H[1], "a"), (H[1], "b"), (H[2], "a")]
 
 
 def test_sanity(spark):
