@@ -56,3 +56,41 @@ select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) |
   (sum(t.chars) + coalesce(any_value(h.chars), 0))::bigint as formatted_chars
 from t left join h using (conv_id) group by conv_id
 """
+
+
+def collocation_sql(support: int = 100, longest: int = 5, first: int = 2000) -> str:
+    lengths = range(2, longest + 1)
+    leads = ", ".join(f"lead(w, {i}) over p as w{i}" for i in range(1, longest))
+    grams = " union all ".join(
+        ["select lang, 1 as k, w as phrase from t"]
+        + [f"select lang, {k}, concat_ws(' ', w, {', '.join(f'w{i}' for i in range(1, k))}) from t where w{k - 1} is not null" for k in lengths]
+    )
+    cuts = " union all ".join(
+        f"select lang, phrase, k, n as a, {c} as c, array_to_string(string_split(phrase, ' ')[:{c}], ' ') as p1, array_to_string(string_split(phrase, ' ')[{c + 1}:], ' ') as p2 from f where k = {k}"
+        for k in lengths
+        for c in range(1, k)
+    )
+    inner = " union all ".join(
+        f"select lang, n, array_to_string(string_split(phrase, ' ')[{at}:{at + size - 1}], ' ') as phrase from f where k = {k}"
+        for k in range(3, longest + 1)
+        for size in range(2, k)
+        for at in range(1, k - size + 2)
+    )
+    return rf"""
+with d as (select row_number() over () as rn, coalesce(lang, 'und') as lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
+s as (select rn, lang, unnest(regexp_extract_all(text, '[^.,;:!?\x0A-\x0D]+')) as piece, generate_subscripts(regexp_extract_all(text, '[^.,;:!?\x0A-\x0D]+'), 1) as i from d),
+x as (select rn, lang, i, unnest(regexp_extract_all(piece, '[^\x20\x09]+')) as w, generate_subscripts(regexp_extract_all(piece, '[^\x20\x09]+'), 1) as j from s),
+t as (select lang, w, {leads} from x window p as (partition by rn, i order by j)),
+g as ({grams}),
+f as (select lang, k, phrase, count(*) as n from g group by all having count(*) >= {support}),
+m as (select lang, count(*) as n from x group by lang),
+c as ({cuts}),
+v as (select c.lang, c.phrase, c.a, l.n as l, r.n as r, m.n, c.c, ((1000::hugeint * c.a * m.n) // (l.n::hugeint * r.n))::bigint as score
+  from c join f l on l.lang = c.lang and l.phrase = c.p1 join f r on r.lang = c.lang and r.phrase = c.p2 join m on m.lang = c.lang),
+b as (select * from v qualify row_number() over (partition by lang, phrase order by score, c) = 1),
+o as (select lang, phrase, max(n) as most from ({inner}) group by all),
+k as (select b.* from b left join o using (lang, phrase) where o.most is null or 100 * o.most < 100 * b.a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score
+from k qualify rank <= {first}
+"""

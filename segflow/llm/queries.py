@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from segflow.llm import ann, bpe, chat, language_id, line_dedup, mixing, pii, quality, sharding, simhash
-from segflow.llm.checks import chat_sql, quality_sql
+from segflow.llm import ann, bpe, chat, collocations, language_id, line_dedup, mixing, pii, quality, sharding, simhash
+from segflow.llm.checks import chat_sql, collocation_sql, quality_sql
 from segflow.llm.common import table
 from segflow.session import stored
 
@@ -100,13 +100,18 @@ def op10_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), width=3, distance=2)
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2,000 best collocations of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 _ALL = (
     op1_language_id, op2_mix_sources, op3_learned_partitions, op4_bpe_round_trip, op5_line_templates, op6_shard_by_bytes,
-    op7_quality_rules, op8_personal_data, op9_chat_windows, op10_simhash_near_dedup, pipeline,
+    op7_quality_rules, op8_personal_data, op9_chat_windows, op10_simhash_near_dedup, op11_phrase_collocations, pipeline,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
-SQL: dict[str, str] = {"op7_quality_rules": quality_sql(), "op9_chat_windows": chat_sql()}
+SQL: dict[str, str] = {"op7_quality_rules": quality_sql(), "op9_chat_windows": chat_sql(), "op11_phrase_collocations": collocation_sql()}
