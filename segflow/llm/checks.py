@@ -94,3 +94,30 @@ k as (select b.* from b left join o using (lang, phrase) where o.most is null or
 select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score
 from k qualify rank <= {first}
 """
+
+
+def exact_search_sql(k: int = 5, each: int = 50) -> str:
+    return f"""
+with e as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::hugeint) as v from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, 1 + least(len(q.v), len(c.v))), lambda i: q.v[i] * c.v[i])), 0)::bigint as score
+  from e q join e c on c.vec_id <> q.vec_id where q.vec_id % {each} = 0)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from s qualify rank <= {k}
+"""
+
+
+def lexical_sql(k: int = 50) -> str:
+    terms = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+with t as (select rn, doc_id, unnest({terms}) as term from (select row_number() over () as rn, doc_id, text from documents)),
+p as (select rn, any_value(doc_id) as doc_id, term, count(*) as tf from t group by rn, term),
+n as (select rn, sum(tf)::bigint as n from p group by rn),
+g as (select count(*) as docs, sum(n)::bigint as len from n),
+q as (select distinct item_id, unnest({terms}) as term from benchmark),
+w as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint as w
+  from (select term, count(*) as df from p where term in (select term from q) group by term), g),
+s as (select q.item_id, p.rn, any_value(p.doc_id) as doc_id,
+  sum(w.w * ((1000000000 * p.tf) // (1000 * p.tf + 20 * (100 - 50 + ((50 * n.n * g.docs) // g.len)))))::bigint as score
+  from q join w using (term) join p using (term) join n on n.rn = p.rn, g group by q.item_id, p.rn)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from s where score > 0 qualify rank <= {k}
+"""

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 import corpus_pipeline
-from segflow.llm import ann, bpe, chat, collocations, language_id, line_dedup, mixing, pii, quality, sharding, simhash
-from segflow.llm.checks import chat_sql, collocation_sql, quality_sql
+from segflow.llm import ann, bpe, chat, collocations, exact_search, language_id, lexical, line_dedup, mixing, pii, quality, sharding, simhash
+from segflow.llm.checks import chat_sql, collocation_sql, exact_search_sql, lexical_sql, quality_sql
 from segflow.llm.common import table
 from segflow.session import stored
 
@@ -105,13 +105,30 @@ def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The 5 rows with the largest whole-number inner product for every 50th embedding."""
+    return exact_search.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), k=50)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 _ALL = (
     op1_language_id, op2_mix_sources, op3_learned_partitions, op4_bpe_round_trip, op5_line_templates, op6_shard_by_bytes,
-    op7_quality_rules, op8_personal_data, op9_chat_windows, op10_simhash_near_dedup, op11_phrase_collocations, pipeline,
+    op7_quality_rules, op8_personal_data, op9_chat_windows, op10_simhash_near_dedup, op11_phrase_collocations, op12_exact_top_k,
+    op13_ranked_search, pipeline,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}
-SQL: dict[str, str] = {"op7_quality_rules": quality_sql(), "op9_chat_windows": chat_sql(), "op11_phrase_collocations": collocation_sql()}
+SQL: dict[str, str] = {
+    "op7_quality_rules": quality_sql(),
+    "op9_chat_windows": chat_sql(),
+    "op11_phrase_collocations": collocation_sql(),
+    "op12_exact_top_k": exact_search_sql(),
+    "op13_ranked_search": lexical_sql(),
+}
