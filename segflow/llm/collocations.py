@@ -34,8 +34,9 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(_CAPITALS + _ENDS + b"\t", _CAPITALS.lower() + b"." * len(_ENDS) + b" ")
 #: No word holds this mark, so it may stand between words as the end of a piece.
 _END = b"."
-#: Bytes of a text that are cut into words at a time, at the end of a piece.
-SEGMENT = 4 << 20
+#: Bytes of a text that are cut into words at a time, at the end of a piece, and words of a
+#: stream that are counted at a time; longer texts and pieces come whole.
+SEGMENT, STREAM = 1 << 20, 1 << 18
 #: Odd multipliers that mix 64-bit numbers.
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: Low bits of a key that number the shard.
@@ -87,7 +88,7 @@ def _read_words(texts: pa.Array) -> Iterator[_Words]:
             lengths.append(len(words))
             rows.append(i)
             size += len(words)
-            if size >= SEGMENT // 4:
+            if size >= STREAM:
                 yield _coded(flat, lengths, rows)
                 flat, lengths, rows, size = [], [], [], 0
     if flat:
@@ -164,14 +165,19 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(language[own]), pa.array(shard[own]), packed], names=["language", "shard", "words"])
 
 
-def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words, language and shard of each."""
+def _streams(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashes of the words, language and shard of each, for a few rows at a time."""
     column = batch.column("words")
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
     hashes = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.uint64)
-    lengths = np.diff(offsets) // 8
-    language = np.repeat(batch.column("language").to_numpy(zero_copy_only=False).view(np.uint64), lengths)
-    return hashes, language, np.repeat(batch.column("shard").to_numpy(zero_copy_only=False).astype(np.uint64), lengths)
+    offsets = (offsets - offsets[0]) // 8
+    language, shard = batch.column("language").to_numpy().view(np.uint64), batch.column("shard").to_numpy().astype(np.uint64)
+    first = 0
+    while first < len(column):
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + STREAM, side="right")) - 1)
+        lengths = np.diff(offsets[first : last + 1])
+        yield hashes[offsets[first] : offsets[last]], np.repeat(language[first:last], lengths), np.repeat(shard[first:last], lengths)
+        first = last
 
 
 def _counted(keys: np.ndarray, language: np.ndarray) -> pa.RecordBatch:
@@ -189,18 +195,16 @@ def _mine(length: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     """Counts of the phrases of ``length`` words whose two ends, one word shorter, are in
     the table of their shard."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        hashes, language, shard = _unpacked(batch)
-        shorter = None
-        for n, (grams, whole) in enumerate(_grams(hashes, length), 1):
-            if n == length - 1:
-                shorter = np.zeros(len(grams), bool)
-                at = np.flatnonzero(whole)
-                shorter[at] = shared.value.holds(_keys(grams[at], language[at]) | shard[at])
-            if n == length:
-                at = np.flatnonzero(whole if shorter is None else whole & shorter[:-1] & shorter[1:])
-                yield _counted(_keys(grams[at], language[at]) | shard[at], language[at])
+        for hashes, language, shard in _streams(batch) if batch.num_rows else ():
+            shorter = None
+            for n, (grams, whole) in enumerate(_grams(hashes, length), 1):
+                if n == length - 1:
+                    shorter = np.zeros(len(grams), bool)
+                    at = np.flatnonzero(whole)
+                    shorter[at] = shared.value.holds(_keys(grams[at], language[at]) | shard[at])
+                if n == length:
+                    at = np.flatnonzero(whole if shorter is None else whole & shorter[:-1] & shorter[1:])
+                    yield _counted(_keys(grams[at], language[at]) | shard[at], language[at])
 
 
 def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
