@@ -34,9 +34,9 @@ class Settings:
     whose scores are held at a time. ``scale``: what a component is multiplied by before it
     is rounded down. ``tasks``: most tasks that blocks and lots meet in."""
 
-    block: int = 8192
+    block: int = 4096
     lot: int = 4096
-    at_once: int = 128
+    at_once: int = 32
     scale: int = 256
     tasks: int = 8192
 
@@ -126,7 +126,8 @@ class _Postings:
 def _scores(rows: _Postings, queries: _Postings, first: int, last: int) -> np.ndarray:
     """Scores of the queries in places ``first`` to ``last`` with all rows of a block."""
     terms = min(len(rows.offsets), len(queries.offsets)) - 1
-    kind = np.int64 if rows.most() * queries.most() * max(terms, 1) < 2**63 else object
+    most = rows.most() * queries.most() * max(terms, 1)
+    kind = np.int32 if most < 2**31 else np.int64 if most < 2**63 else object
     scores = np.zeros((last - first, len(rows.key)), kind)
     for term in range(terms):
         asked, weights = queries.of(term)
@@ -140,7 +141,7 @@ def _scores(rows: _Postings, queries: _Postings, first: int, last: int) -> np.nd
             scores += added
         else:
             scores[asked[:, None], places[None, :]] += added
-    return scores if kind is np.int64 else np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64)
+    return (np.clip(scores, -(2**63), 2**63 - 1) if kind is object else scores).astype(np.int64)
 
 
 def _select(k: int, scores: np.ndarray, query: int, key: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
