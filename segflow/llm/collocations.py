@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segflow.llm.common import bound_batches
+from segflow.llm.common import MOST_BITS, bit_table, bound_batches
 from segflow.session import ship, stored
 
 #: Capitals become small letters, the marks that end a piece one mark, tabs spaces.
@@ -47,12 +47,12 @@ _SHARD_BITS = 3
 class Settings:
     """``support``: occurrences a phrase needs. ``longest``: words of a phrase. ``shards``:
     parts that are mined on their own, 8 at most. ``most_bits``: size of the largest bit
-    table, 16 MB, which is what is broadcast."""
+    table, which is what is broadcast."""
 
     support: int = 100
     longest: int = 5
     shards: int = 8
-    most_bits: int = 1 << 27
+    most_bits: int = MOST_BITS
 
 
 # ---- words and keys ---------------------------------------------------------
@@ -123,30 +123,9 @@ def _keys(grams: np.ndarray, language: np.ndarray) -> np.ndarray:
     return x >> np.uint64(_SHARD_BITS) << np.uint64(_SHARD_BITS)
 
 
-@dataclass
-class _Bits:
-    """A table of bits over keys; its size is two to the power of ``width``."""
-
-    table: np.ndarray
-    width: int
-
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        shard = keys & np.uint64((1 << _SHARD_BITS) - 1)
-        place = (keys >> np.uint64(64 - self.width)) ^ (shard << np.uint64(self.width - _SHARD_BITS))
-        return (self.table[(place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
-
-
-def _bits_of(keys: DataFrame, most_bits: int) -> _Bits:
-    """The table of all ``key``. It is put together in tasks; a row of what comes to the
-    driver is 64 bits of it, at most ``most_bits`` in all."""
-    width = min(most_bits.bit_length() - 1, max(16, (16 * keys.count()).bit_length()))
-    shard = F.col("key").bitwiseAND((1 << _SHARD_BITS) - 1)
-    place = F.shiftrightunsigned("key", 64 - width).bitwiseXOR(F.shiftleft(shard, width - _SHARD_BITS))
-    one = F.expr("shiftleft(1L, cast(place & 63 as int))")
-    found = keys.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
-    table = np.zeros(1 << (width - 6), np.uint64)
-    table[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return _Bits(table, width)
+def _in_shard(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """What the bit table of a length knows a key of a shard by."""
+    return keys ^ (shard << np.uint64(64 - _SHARD_BITS))
 
 
 # ---- mining -----------------------------------------------------------------
@@ -201,7 +180,7 @@ def _mine(length: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
                 if n == length - 1:
                     shorter = np.zeros(len(grams), bool)
                     at = np.flatnonzero(whole)
-                    shorter[at] = shared.value.holds(_keys(grams[at], language[at]) | shard[at])
+                    shorter[at] = shared.value.holds(_in_shard(_keys(grams[at], language[at]), shard[at]))
                 if n == length:
                     at = np.flatnonzero(whole if shorter is None else whole & shorter[:-1] & shorter[1:])
                     yield _counted(_keys(grams[at], language[at]) | shard[at], language[at])
@@ -214,6 +193,7 @@ def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
     read = docs.select(F.xxhash64("lang").alias("language"), shard, "text")
     words = stored(read.mapInArrow(_hashed, "language long, shard long, words binary"), "words")
     own = F.col("key").bitwiseAND((1 << _SHARD_BITS) - 1).alias("shard")
+    in_shard = F.col("key").bitwiseXOR(F.shiftleft(own, 64 - _SHARD_BITS))
     found, needs, shared = [], None, None
     for length in range(1, settings.longest + 1):
         each = words.mapInArrow(partial(_mine, length, shared), "language long, key long, n long")
@@ -228,7 +208,7 @@ def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
         frequent = counts.select("language", "key", "n", own).join(needs, ["language", "shard"]).where("n >= needed")
         found.append(stored(frequent.select("key"), "frequent"))
         if length < settings.longest:
-            shared = spark.sparkContext.broadcast(_bits_of(found[-1], settings.most_bits))
+            shared = spark.sparkContext.broadcast(bit_table(found[-1], in_shard, settings.most_bits))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -277,7 +257,7 @@ def phrase_counts(docs: DataFrame, settings: Settings = Settings(), key: str = "
     own = docs.select(F.col(key).alias("key"), F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     bare = F.col("key").bitwiseAND(-1 << _SHARD_BITS)
     candidates = _frequent(own, settings).select(bare.alias("key")).distinct()
-    shared = spark.sparkContext.broadcast(_bits_of(candidates, settings.most_bits))
+    shared = spark.sparkContext.broadcast(bit_table(candidates, F.col("key"), settings.most_bits))
     read = own.select("lang", F.xxhash64("lang").alias("language"), "text")
     each = read.mapInArrow(partial(_count, settings.longest, shared), "lang string, phrase string, n long")
     counts = each.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))

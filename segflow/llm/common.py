@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of a batch of rows that is sent to Python at a time.
 BATCH_BYTES = 8 << 20
+#: Bits of the largest bit table that is broadcast, 16 MB.
+MOST_BITS = 1 << 27
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -92,6 +96,32 @@ def group_key(column: Column) -> Column:
     return F.when(column.isNull(), "n").otherwise(F.concat(F.lit("v"), column.cast("string")))
 
 
+@dataclass
+class Bits:
+    """A table of bits over 64-bit hashes; its size is two to the power of ``width``."""
+
+    table: np.ndarray
+    width: int
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        """Whether each key, unsigned, may be in the table; what is in it always is."""
+        place = keys >> np.uint64(64 - self.width)
+        return (self.table[(place >> np.uint64(6)).view(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
+
+
+def bit_table(keys: DataFrame, key: Column, most_bits: int = MOST_BITS) -> Bits:
+    """The table of all hashes ``key``, by their highest bits, of which it has 16 for each key and
+    ``most_bits`` at most. It is put together in tasks; a row that comes to the
+    driver is 64 bits of it. Keys may also be found that were not put in."""
+    width = min(most_bits.bit_length() - 1, max(16, (16 * keys.count()).bit_length()))
+    place = keys.select(F.shiftrightunsigned(key, 64 - width).alias("place"))
+    one = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    found = place.groupBy(F.shiftright("place", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+    table = np.zeros(1 << (width - 6), np.uint64)
+    table[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return Bits(table, width)
+
+
 def bucket_of(*columns: Column) -> Column:
     """One of 65,536 buckets, by hash."""
     return F.shiftrightunsigned(F.xxhash64(F.lit("bucket"), *columns), 48).cast("int")

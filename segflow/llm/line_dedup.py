@@ -1,51 +1,53 @@
 """Line dedup by a tree of line templates.
 
 A line's path in the tree is its number of words, then its leading words to a fixed
-depth, where a word with a digit counts as a variable field. In a leaf there are two
-kinds of templates: lines that are equal but for such fields, and, of leaves with
-several of those, generalised lines: what follows the leading words is cut into eight
-parts (in short lines fewer, of one word each), and every half of the parts that enough
-documents agree on is a template, whatever else the leaf holds; so is a half that another
-line shares with a line of such a template. A template that recurs in enough documents is
-dropped from all but one of them: a line goes if one that stays in another document shares
-a template with it. Long lines go from the second document on.
-
-Texts are parsed once into hashes, which are stored; only they are shuffled until the
-end. Documents are counted by leaf first, and only lines of leaves that recur go further.
+depth, where a word with a digit counts as a variable field. In a leaf there are two kinds
+of templates. Lines that are equal but for such fields are one. For the other, what follows
+the leading words is cut into sixteen parts (in shorter lines fewer, of one word each): a part
+that recurs at its place in the leaf is fixed, the others are fields, and lines with the
+same fixed parts share a template, if their fields are short. A template that recurs in enough
+documents is dropped from all but one of them. Long lines go from the second document
+on where they are equal.
+
+Texts are parsed twice, without a shuffle: first the leaves are counted, then only lines of
+leaves that recur are written out, which tasks tell by a bit table of bounded size. What
+it lets through besides is never dropped, as all counts are of whole hashes.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
-from itertools import combinations
+from functools import partial
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segflow.llm.common import WORD, boxed, unboxed
-from segflow.session import stored
+from segflow.llm.common import WORD, bit_table, boxed, bound_batches, unboxed
+from segflow.session import ship, stored
 
 #: A word with a digit, found in linear time.
-_FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
-_PARTS = 8
-#: Bits of a part's hash; four of them are one number.
-_BITS = 16
+_FIELD = re.compile(rb"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+")
+_DIGIT = re.compile(rb"[0-9]")
+_PARTS = 16
 
 
 @dataclass(frozen=True)
 class Settings:
     """``depth``: leading words in the path. ``words``: shorter lines are dropped only if
     they hold a letter outside of fields. ``documents``: how many have to share a
-    template; lines of more than ``long_words`` go from the second document on.
-    ``alike``: parts of eight that a line shares with its template; of fewer parts as
-    large a share, but one may always differ."""
+    template; equal lines of more than ``long_words`` go from the second document on.
+    ``fields``: words that fields may have, and at most one in ``fields_of`` of the line's."""
 
     depth: int = 4
     words: int = 3
     documents: int = 3
     long_words: int = 50
-    alike: int = 4
+    fields: int = 8
+    fields_of: int = 4
 
 
 def row_key(key: Column, text: Column) -> Column:
@@ -53,116 +55,135 @@ def row_key(key: Column, text: Column) -> Column:
     return F.xxhash64(F.lit("row"), key, text)
 
 
-def words_of(line: Column) -> Column:
-    """The words of a line, those with a digit as one variable field. Patterns are tried
-    only on lines that hold what they look for."""
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _FIELD, "<*>")).otherwise(line)
-    spaced = F.when(masked.rlike(r"[\x09-\x0D]"), F.regexp_replace(masked, r"[\x09-\x0D]", " ")).otherwise(masked)
-    return F.array_remove(F.split(spaced, " "), "")
-
-
-def _parsed(docs: DataFrame, key: str, text: str, settings: Settings) -> DataFrame:
-    """``_row``, ``_pos``, ``_n``, ``_leaf``, ``_line`` and, of the lines that can be
-    generalised, the hashes of their parts in ``_a`` and ``_b``, for every line."""
-    own = F.coalesce(F.col(text), F.lit(""))
-    lines = docs.select(row_key(F.col(key), F.col(text)).alias("_row"), F.posexplode(F.split(own, "\n")).alias("_pos", "_text"))
-    read = lines.select("_row", "_pos", words_of(F.col("_text")).alias("_words"))
-    n, depth = F.size("_words"), F.lit(settings.depth)
-    leaf = F.xxhash64(n, F.slice("_words", 1, settings.depth))
-    rest = F.greatest(n - depth, F.lit(0))
-    packed = [F.lit(0).cast("long"), F.lit(0).cast("long")]
-    for p in range(_PARTS):
-        begin = F.floor(rest * p / _PARTS).cast("int")
-        size = F.floor(rest * (p + 1) / _PARTS).cast("int") - begin
-        part = F.xxhash64(F.lit(p), F.slice("_words", begin + depth + 1, size)).bitwiseAND((1 << _BITS) - 1)
-        packed[p // 4] = packed[p // 4] + F.shiftleft(part, _BITS * (p % 4))
-    a, b = [F.when(n > depth, x).otherwise(F.lit(0).cast("long")) for x in packed]
-    # 0 words: lines that stay in any case
-    counts = F.when((n >= settings.words) | F.array_join("_words", " ").rlike(r"\p{L}"), n).otherwise(0)
-    return read.select("_row", "_pos", counts.alias("_n"), leaf.alias("_leaf"), F.xxhash64("_words").alias("_line"), a.alias("_a"), b.alias("_b"))
-
-
-def _halves(settings: Settings) -> Column:
-    """A row for each way to choose the parts of a template: the bits of ``_a`` and ``_b`` it leaves."""
-    ways = None
-    for rest in range(1, _PARTS + 1):
-        # a line of fewer words than parts leaves some empty
-        filled = [p for p in range(_PARTS) if rest * (p + 1) // _PARTS > rest * p // _PARTS]
-        alike = settings.alike if rest == _PARTS else min(-(-rest * settings.alike // _PARTS), rest - 1)
-        masks = []
-        for chosen in combinations(filled, alike):
-            bits = [sum(((1 << _BITS) - 1) << _BITS * (p % 4) for p in chosen if p // 4 == half) for half in (0, 1)]
-            signed = [x - (1 << 64) if x >> 63 else x for x in bits]
-            masks.append(F.struct(*[F.lit(x).cast("long").alias(c) for x, c in zip(signed, "ab")]))
-        of = F.least(F.col("_n") - settings.depth, F.lit(_PARTS)) == rest
-        ways = F.when(of, F.array(*masks)) if ways is None else ways.when(of, F.array(*masks))
-    return F.explode(ways)
+# ---- lines and their parts --------------------------------------------------
+
+
+def words_of(line: bytes) -> list[bytes]:
+    """The words of a line, those with a digit as one variable field."""
+    return (_FIELD.sub(b"<*>", line) if _DIGIT.search(line) else line).split()
+
+
+def parts_of(rest: int) -> list[int]:
+    """Where the parts of so many words begin, and the end."""
+    parts = min(rest, _PARTS)
+    return [rest * p // parts for p in range(parts + 1)] if parts else [0]
+
+
+def _lines(settings: Settings, text: bytes) -> Iterator[tuple[int, list[bytes]]]:
+    """Place and words of the lines that may go."""
+    for place, line in enumerate(text.split(b"\n")):
+        words = words_of(line)
+        if len(words) >= settings.words or (words and any(c.isalpha() for w in words for c in w.decode("utf-8", "replace"))):
+            yield place, words
+
+
+def _leaf(settings: Settings, words: list[bytes]) -> int:
+    import xxhash
+
+    return xxhash.xxh3_64_intdigest(b"%d %s" % (len(words), b" ".join(words[: settings.depth])))
+
+
+def _leaves(settings: Settings, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Leaf and number of words of every line."""
+    for batch in batches:
+        rows, leaves, counts = [], [], []
+        for row, text in zip(batch.column("_row").to_pylist(), batch.column("_text").cast(pa.binary()).to_pylist()):
+            for _, words in _lines(settings, text):
+                rows.append(row)
+                leaves.append(_leaf(settings, words))
+                counts.append(len(words))
+        columns = [pa.array(rows, pa.int64()), pa.array(np.array(leaves, np.uint64).view(np.int64)), pa.array(counts, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["_row", "_leaf", "_n"])
+
+
+def _near(settings: Settings, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line of a leaf in the table, with the hashes of the line and of its parts."""
+    import xxhash
+
+    of = xxhash.xxh3_64_intdigest
+    for batch in batches:
+        found, leaves = [], []
+        for row, text in zip(batch.column("_row").to_pylist(), batch.column("_text").cast(pa.binary()).to_pylist()):
+            for place, words in _lines(settings, text):
+                found.append((row, place, words))
+                leaves.append(_leaf(settings, words))
+        leaves = np.array(leaves, np.uint64)
+        kept = np.flatnonzero(shared.value.holds(leaves))
+        found = [found[i] for i in kept.tolist()]
+        parts, offsets = [], [0]
+        for _, _, words in found:
+            rest = words[settings.depth :]
+            ends = parts_of(len(rest))
+            parts.extend(of(b" ".join(rest[a:b]), p + 1) for p, (a, b) in enumerate(zip(ends, ends[1:])))
+            offsets.append(len(parts))
+        hashes = lambda values: pa.array(np.array(values, np.uint64).view(np.int64))
+        columns = [
+            pa.array([r for r, _, _ in found], pa.int64()),
+            pa.array([p for _, p, _ in found], pa.int32()),
+            pa.array([len(w) for _, _, w in found], pa.int64()),
+            hashes(leaves[kept]),
+            hashes([of(b" ".join(w)) for _, _, w in found]),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), hashes(parts)),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["_row", "_pos", "_n", "_leaf", "_line", "_parts"])
+
+
+# ---- templates --------------------------------------------------------------
 
 
 def _enough(settings: Settings) -> Column:
-    """How many documents have to share a line of ``_n`` words."""
+    """In how many documents a line of ``_n`` words has to be."""
     return F.when(F.col("_n") > settings.long_words, min(2, settings.documents)).otherwise(settings.documents)
 
 
 def templates(docs: DataFrame, settings: Settings, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``_row``, ``_positions``: the lines that go, by document."""
-    # filtered after it is stored: before, the filter would split every line a second time
-    lines = stored(_parsed(docs, key, text, settings), "parsed").where("_n > 0")
-    counted = lines.groupBy("_leaf", "_n").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
+    spark = docs.sparkSession
+    ship(spark)
+    bound_batches(spark)
+    read = docs.select(row_key(F.col(key), F.col(text)).alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    leaves = read.mapInArrow(partial(_leaves, settings), "_row long, _leaf long, _n long")
+    counted = leaves.groupBy("_leaf", "_n").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
     hot = stored(counted.where((F.col("n") >= _enough(settings)) & (F.col("a") != F.col("b"))).select("_leaf"), "leaves")
-    # dealt by document as well: a line of very many documents is not one task
-    near = lines.join(hot, "_leaf", "left_semi").repartition("_leaf", "_row")
+    shared = spark.sparkContext.broadcast(bit_table(hot, F.col("_leaf")))
+    near = read.mapInArrow(partial(_near, settings, shared), "_row long, _pos int, _n long, _leaf long, _line long, _parts array<long>")
     # one row for each document and line; copies inside a document go together
-    seen = stored(near.groupBy("_leaf", "_line", "_row", "_n", "_a", "_b").agg(F.collect_set("_pos").alias("_pos")), "lines")
-    equal = seen.groupBy("_leaf", "_line", "_n").agg(F.count("*").alias("_documents"), F.min("_row").alias("_first"))
-    recurring = equal.where(F.col("_documents") >= _enough(settings)).drop("_n")
-    judged = stored(seen.join(recurring, ["_leaf", "_line"], "left"), "judged")
+    seen = near.groupBy("_leaf", "_line", "_row", "_n").agg(F.collect_set("_pos").alias("_pos"), F.first("_parts").alias("_parts"))
+    seen = stored(seen, "lines")
+    lines = seen.groupBy("_leaf", "_line", "_n").agg(F.count("*").alias("_documents"), F.min("_row").alias("_first"), F.first("_parts").alias("_parts"))
+    lines = stored(lines, "different")
+    recurring = lines.where(F.col("_documents") >= _enough(settings)).select("_leaf", "_line", "_first")
+    judged = seen.drop("_parts", "_n").join(recurring, ["_leaf", "_line"], "left")
+    judged = stored(judged, "judged")
     gone = judged.where("_row != _first").select("_row", "_pos")
-    dropped = gone.unionByName(_generalised(judged, settings))
+    # of a line that recurs as it is only the row that stays takes part
+    left = judged.where("_first is null or _row = _first").select("_leaf", "_line", "_row", "_pos")
+    dropped = gone.unionByName(_generalised(left, lines, settings))
     return dropped.groupBy("_row").agg(F.array_distinct(F.flatten(F.collect_list("_pos"))).alias("_positions"))
 
 
-def _generalised(judged: DataFrame, settings: Settings) -> DataFrame:
-    """Lines that belong to a generalised template which a line of another document keeps.
+def _generalised(left: DataFrame, lines: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of ``left`` whose template, with fields, another document keeps.
 
-    Of a line that recurs as it is only the row that stays takes part, and stands for all
-    its documents.
-    """
-    several = judged.groupBy("_leaf").agg(F.min("_line").alias("a"), F.max("_line").alias("b")).where("a != b").select("_leaf")
-    able = judged.where((F.col("_n") > settings.depth) & (F.col("_first").isNull() | (F.col("_row") == F.col("_first"))))
-    lines = able.join(several, "_leaf", "left_semi").withColumn("_documents", F.coalesce("_documents", F.lit(1).cast("long")))
-    key = F.xxhash64("_leaf", "_line", "_row").alias("_key")
-    lines = stored(lines.select(key, "_leaf", "_row", "_pos", "_n", "_a", "_b", "_documents"), "open")
-    each = lines.select("_key", "_leaf", "_row", "_n", "_a", "_b", "_documents", _halves(settings).alias("_mask"))
-    left = [F.col(f"_{c}").bitwiseAND(F.col("_mask")[c]) for c in "ab"]
-    each = each.select("_key", "_row", "_n", "_documents", F.xxhash64("_leaf", "_mask", *left).alias("_template"))
-    shared = each.groupBy("_template").agg(F.max("_documents").alias("_most"), F.count_distinct("_row").alias("_rows")).where("_rows > 1")
-    members = stored(each.join(shared.select("_template", F.greatest("_most", "_rows").alias("_found")), "_template"), "shared")
-    # a line may agree with each line of a family on another half
-    family = members.where(F.col("_found") >= _enough(settings)).select("_key").distinct()
-    found = members.join(family, "_key", "left_semi").select("_template").distinct()
-    goes = _all_but_one(members.join(found, "_template", "left_semi").select("_key", "_row", "_template"))
-    return lines.join(goes, "_key").select("_row", "_pos")
-
-
-def _all_but_one(members: DataFrame) -> DataFrame:
-    """``_key`` of the lines that go, such that no template stays in two documents and each
-    line that goes shares a template with one that stays.
-
-    A line that comes first in all its templates stays, and those that share one with it
-    go; then again with the lines left. Documents are in the order of their hashes, so
-    few rounds settle all.
+    A part is fixed where ``documents`` pairs of a document and a line have it.
     """
-    members, gone = stored(members, "members"), []
-    while not members.isEmpty():
-        least = members.groupBy("_template").agg(F.min("_row").alias("_least"))
-        stay = members.join(least, "_template").groupBy("_key").agg(F.bool_and(F.col("_row") == F.col("_least")).alias("_stays"))
-        stay = stored(stay.where("_stays").select("_key"), "stay")
-        keeper = members.join(stay, "_key", "left_semi").groupBy("_template").agg(F.min("_row").alias("_keeper"))
-        goes = stored(members.join(keeper, "_template").where("_row != _keeper").select("_key").distinct(), "goes")
-        gone.append(goes)
-        members = stored(members.join(stay.unionByName(goes), "_key", "left_anti"), "members")
-    return reduce(DataFrame.unionByName, gone) if gone else members.select("_key")
+    several = lines.groupBy("_leaf").agg(F.count("*").alias("n")).where("n > 1").select("_leaf")
+    able = lines.where(F.col("_n") > settings.depth + 1).join(several, "_leaf", "left_semi")
+    each = stored(able.select("_leaf", "_line", "_n", "_documents", F.posexplode("_parts").alias("_at", "_part")), "parts")
+    fixed = each.groupBy("_leaf", "_at", "_part").agg(F.sum("_documents").alias("n")).where(F.col("n") >= settings.documents)
+    held = each.join(fixed.drop("n"), ["_leaf", "_at", "_part"])
+    rest = F.col("_n") - settings.depth
+    parts = F.least(rest, F.lit(_PARTS))
+    size = F.floor(rest * (F.col("_at") + 1) / parts) - F.floor(rest * F.col("_at") / parts)
+    # the fixed parts, by place, are the template
+    shape = F.xxhash64("_leaf", F.sort_array(F.collect_list(F.struct("_at", "_part")))).alias("_template")
+    formed = held.groupBy("_leaf", "_line", "_n").agg(F.sum(size).alias("_same"), shape)
+    fields = F.col("_n") - settings.depth - F.col("_same")
+    formed = formed.where((fields > 0) & (fields <= settings.fields) & (fields * settings.fields_of <= F.col("_n")))
+    members = stored(left.join(formed.select("_leaf", "_line", "_template"), ["_leaf", "_line"]).select("_template", "_row", "_pos"), "members")
+    shared = members.groupBy("_template").agg(F.count_distinct("_row").alias("n"), F.min("_row").alias("_keeper"))
+    shared = shared.where(F.col("n") >= settings.documents).drop("n")
+    return members.join(shared, "_template").where("_row != _keeper").select("_row", "_pos")
 
 
 def cut_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,8 +217,9 @@ def drop_lines(docs: DataFrame, settings: Settings = Settings(), key: str = "doc
     Of the documents that share a template, the one whose hash is smallest keeps it.
     Documents without such a line are unchanged to the byte; a null text stays null and
     has no line. Lines are cut at line feeds; empty lines and those of
-    one or two words without a letter stay. Rows with equal
-    key and text are one document and have equal results. Columns named ``n_lines`` or
-    ``n_dropped`` are replaced.
+    one or two words without a letter stay, and so do all lines that share no more than their
+    number of words and their leading words. Texts and lines of any length are read whole.
+    Rows with equal key and text are one document and have equal results; an empty table gives
+    one. Columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
     return unboxed(cut_lines(docs, settings, key, text), docs.columns, ["n_lines", "n_dropped"])
