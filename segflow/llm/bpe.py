@@ -2,20 +2,20 @@
 
 For every prefix of a word only the last token of the prefix's encoding is kept:
 it is the one token that ends there and may follow the last token of the rest.
-Distinct words share a trie, so the state of a shared prefix is computed once;
-words are added in sorted order, which visits the trie depth-first. The tokens of
-a word are read back from its end, last token by last token.
+Distinct words share a trie, so the state of a shared prefix is computed once: sorted
+words visit the trie depth-first, and only the path to the present word is held. The
+tokens of a word are read back from its end, last token by last token.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
-from array import array
 from collections.abc import Iterator, Sequence
 from functools import partial
 from itertools import chain
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,12 +27,12 @@ WORD_END = "</w>"
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: Fixed value: the word pattern of the vocabulary file that this module can read.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Characters of a text that are cut into words at a time.
-PIECE = 1 << 20
-#: Bytes of the longest word that enters the trie, and states that a task keeps (and
-#: half as many words) before it starts a new trie. They bound memory and change
-#: no result.
-TRIE_BYTES, TRIE_STATES = 64, 350_000
+#: Characters of a text that are cut into words at a time, and of texts whose words are
+#: walked together.
+PIECE, GROUP = 1 << 20, 4 << 20
+#: Bytes of the longest word whose ids are kept, and how many words and chunks a task keeps
+#: before it starts anew. They bound memory and change no result.
+TRIE_BYTES, TRIE_STATES = 64, 600_000
 #: Below this code point case, composition and classes are the same in all versions
 #: of Unicode in use here; other texts go through the tokenizer file's own steps.
 SETTLED = 0x530
@@ -179,32 +179,31 @@ class Endings:
 
 
 class Trie:
-    """Words with the last token of each prefix. A word's last letter is a node of its
-    own kind, as tokens at a word's end are tokens of their own."""
+    """A trie of words with the last token of each prefix, walked depth-first.
+
+    Sorted words are that walk: the path holds the states of the prefixes of one word, and the
+    next word keeps what both share. A word's last letter is of its own kind, as
+    tokens at a word's end are tokens of their own, and so never on the path.
+    """
 
     def __init__(self, vocabulary: Vocabulary, endings: Endings):
         self.vocabulary, self.endings = vocabulary, endings
-        self.next: dict[int, int] = {}
-        self.last, self.ending = [-1], [0]
-
-    def add(self, word: str) -> tuple[int, ...]:
-        """Insert a word of byte letters, with states for its new prefixes, and give
-        its tokens."""
-        node, lasts, codes = 0, [-1], word.encode("latin-1")
-        nodes, last, ending, end = self.next, self.last, self.ending, len(codes) - 1
-        for i, code in enumerate(codes):
-            if i == end:
-                code += 256
-            step = node << 9 | code
-            found = nodes.get(step)
-            if found is None:
-                state = self.endings.step(ending[node], code)
-                found = nodes[step] = len(last)
-                last.append(self._token(state, i + 1, lasts))
-                ending.append(state)
-            node = found
-            lasts.append(last[node])
-        return self._read(lasts)
+        self.packed = {t: t.to_bytes(4, "little") for t in vocabulary.strings}
+
+    def encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The packed ids of each of the sorted ``words`` of byte letters."""
+        step, token_of, go = self.endings.step, self._token, self.endings.go
+        codes = [w.encode("latin-1") for w in words]
+        path, lasts = [0], [-1]
+        for word, letters, keep in zip(words, codes, _shared(codes)):
+            del path[keep + 1 :], lasts[keep + 1 :]
+            state, end = path[keep], len(letters) - 1
+            for i in range(keep, end):
+                after = go.get(state << 9 | letters[i])
+                state = step(state, letters[i]) if after is None else after
+                lasts.append(token_of(state, i + 1, lasts))
+                path.append(state)
+            yield word, self._read(lasts, token_of(step(state, letters[end] + 256), end + 1, lasts))
 
     def _token(self, state: int, end: int, lasts: list[int]) -> int:
         """The one token that ends in the state and fits what comes before it."""
@@ -218,21 +217,26 @@ class Trie:
                 return token
         raise ValueError("no token ends here")
 
-    def chain(self, word: str) -> tuple[int, ...]:
-        """The tokens of a long word, from states that are not kept."""
-        lasts, state, codes = [-1], 0, word.encode("latin-1")
-        for i, code in enumerate(codes, 1):
-            state = self.endings.step(state, code + 256 * (i == len(codes)))
-            lasts.append(self._token(state, i, lasts))
-        return self._read(lasts)
-
-    def _read(self, lasts: list[int]) -> tuple[int, ...]:
-        out, end, width = [], len(lasts) - 1, self.vocabulary.width
+    def _read(self, lasts: list[int], token: int) -> bytes:
+        width, packed = self.vocabulary.width, self.packed
+        out, end = [packed[token]], len(lasts) - width[token]
         while end:
             token = lasts[end]
-            out.append(token)
+            out.append(packed[token])
             end -= width[token]
-        return tuple(out[::-1])
+        return b"".join(out[::-1]) if len(out) > 1 else out[0]
+
+
+def _shared(words: list[bytes]) -> list[int]:
+    """How many letters each word has in common with the one before, short of the last of either."""
+    if not words:
+        return []
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    width = min(int(lengths.max()), TRIE_BYTES)
+    letters = np.array([w[:width] for w in words], f"S{width}").view(np.uint8).reshape(len(words), width)
+    differ = letters[1:] != letters[:-1]
+    same = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return [0, *np.minimum(same, np.minimum(lengths[1:], lengths[:-1]) - 1).tolist()]
 
 
 class Encoder:
@@ -242,26 +246,35 @@ class Encoder:
         import regex
 
         self.vocabulary = Vocabulary(text)
-        self.endings = Endings(self.vocabulary)
-        self.words = regex.compile(WORDS)
+        self.trie = Trie(self.vocabulary, Endings(self.vocabulary))
+        # no word holds a line end, so it may stand between chunks
+        self.words = regex.compile(WORDS + r"|\n")
         # without the four control characters that only Python takes for white space
         self.plain = regex.compile(f"[\\x00-\\x1b\\x20-{chr(SETTLED - 1)}\\u2010-\\u2027]*+")
         special = self.vocabulary.special
         self.specials = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.from_letter = {c: chr(b) for b, c in byte_letters().items()}
+        strings = self.vocabulary.strings
+        self.strings = np.array([strings.get(i) for i in range(max(strings, default=-1) + 1)], object)
         self.library = None
         self.reset()
 
     def reset(self) -> None:
-        self.trie = Trie(self.vocabulary, self.endings)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _words(self, text: str) -> list[str]:
-        """Normalised words of a plain text, each as one letter for each byte."""
-        if text.isascii():
-            return self.words.findall(text.lower())
-        found = self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
-        return [w if w.isascii() else w.encode().decode("latin-1") for w in found]
+        """Forget what words and chunks, which lie between white space, are encoded to."""
+        self.known_words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+
+    def _words(self, chunks: list[str]) -> list[list[str]]:
+        """Normalised words of each plain chunk, as one letter for each byte."""
+        whole = "\n".join(chunks)
+        whole = whole.lower() if whole.isascii() else unicodedata.normalize("NFC", whole).replace("Σ", "σ").lower()
+        out = [own := []]
+        for w in self.words.findall(whole):
+            if w == "\n":
+                out.append(own := [])
+            else:
+                own.append(w if w.isascii() else w.encode().decode("latin-1"))
+        return out
 
     def _other_words(self, text: str) -> list[str]:
         """The same for any text, by the steps that the file names."""
@@ -282,47 +295,60 @@ class Encoder:
             at = cut
         yield text[at:]
 
-    def _encode_words(self, words: list[str]) -> tuple[int, ...]:
-        out = ()
-        for w in words:
-            out += (self.trie.add if len(w) <= TRIE_BYTES else self.trie.chain)(w)
-        return out
-
-    def _encode_chunks(self, chunks: list[str], out: array) -> None:
-        """Chunks lie between white space, which no word crosses."""
-        if max(len(self.trie.last), 2 * len(self.known)) > TRIE_STATES:
-            self.reset()
-        known, long = self.known, {}
-        for c in sorted(set(chunks).difference(known)):
-            (known if len(c) <= TRIE_BYTES else long)[c] = self._encode_words(self._words(c))
-        if long:
-            out.extend(chain.from_iterable(known[c] if c in known else long[c] for c in chunks))
-        else:
-            out.extend(chain.from_iterable(map(known.__getitem__, chunks)))
-
-    def encode(self, text: str | None) -> array:
-        out, at, text = array("I"), 0, text or ""
+    def _parts(self, text: str) -> Iterator[tuple[bytes | list[str] | tuple[str, ...], int]]:
+        """Ids of special tokens, lists of chunks, or words of other texts, and their length."""
+        at = 0
         for match in self.specials.finditer(text) if self.specials else ():
-            self._encode_text(text[at : match.start()], out)
-            out.append(self.vocabulary.special[match[0]])
+            yield from self._plain_parts(text[at : match.start()])
+            yield self.trie.packed[self.vocabulary.special[match[0]]], 0
             at = match.end()
-        self._encode_text(text[at:] if at else text, out)
-        return out
+        yield from self._plain_parts(text[at:] if at else text)
 
-    def _encode_text(self, text: str, out: array) -> None:
+    def _plain_parts(self, text: str) -> Iterator[tuple[list[str] | tuple[str, ...], int]]:
         for piece in self._pieces(text):
-            if self.plain.fullmatch(piece):
-                self._encode_chunks(piece.split(), out)
-            else:
-                out.extend(chain.from_iterable(self._encode_words([w]) for w in self._other_words(piece)))
+            yield piece.split() if self.plain.fullmatch(piece) else tuple(self._other_words(piece)), len(piece)
+
+    def encode_all(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Packed ids of every text; about :data:`GROUP` characters at a time."""
+        out, group, size = [[] for _ in texts], [], 0
+        for i, text in enumerate(texts):
+            for part, length in self._parts(text or ""):
+                group.append((out[i], part))
+                size += length
+                if size >= GROUP:
+                    self._encode_group(group)
+                    group, size = [], 0
+        self._encode_group(group)
+        return [b"".join(x) for x in out]
+
+    def _encode_group(self, group: list[tuple[list[bytes], bytes | list[str] | tuple[str, ...]]]) -> None:
+        if len(self.known) + len(self.known_words) > TRIE_STATES:
+            self.reset()
+        known, known_words = self.known, self.known_words
+        chunks = list(set().union(*(p for _, p in group if type(p) is list)).difference(known))
+        cut = self._words(chunks) if chunks else []
+        words = set(chain.from_iterable(cut)).union(*(p for _, p in group if type(p) is tuple)).difference(known_words)
+        known_words.update(self.trie.encode(sorted(words)))
+        for chunk, own in zip(chunks, cut):
+            known[chunk] = known_words[own[0]] if len(own) == 1 else b"".join(map(known_words.__getitem__, own))
+        for out, part in group:
+            out.append(part if type(part) is bytes else b"".join(map((known if type(part) is list else known_words).__getitem__, part)))
+        for names, kept in ((chunks, known), (words, known_words)):
+            for long in [x for x in names if len(x) > TRIE_BYTES]:
+                del kept[long]
+
+    def encode(self, text: str | None) -> list[int]:
+        return np.frombuffer(self.encode_all([text])[0], "<u4").tolist()
 
     def decode(self, ids) -> str:
         """The tokens' strings with a space between them, which is what the library
         does for a file without a decoder. Unknown ids are left out."""
+        ids = np.asarray(ids, np.int64)
+        found = self.strings[ids[ids < len(self.strings)]].tolist()
         try:
-            return " ".join(map(self.vocabulary.strings.__getitem__, ids))
-        except KeyError:
-            return self.decode([i for i in ids if i in self.vocabulary.strings])
+            return " ".join(found)
+        except TypeError:
+            return " ".join(x for x in found if x is not None)
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -343,27 +369,16 @@ def load(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def _little(ids: array) -> bytes:
-    if ids.itemsize != 4:
-        ids = array("L", ids)
-    return ids.tobytes()
-
-
 class _Batches:
-    """Encodes batches of texts; the tries go with the task, the vocabulary stays."""
+    """Encodes batches of texts; what words are encoded to goes with the task, the vocabulary stays."""
 
     def __init__(self, shared, with_text: bool):
         self.encoder, self.with_text = _encoder(shared), with_text
 
     def __call__(self, texts: list[str | None]) -> list:
-        counts, packed, decoded = [], [], []
-        for text in texts:
-            ids = self.encoder.encode(text)
-            counts.append(len(ids))
-            packed.append(_little(ids))
-            if self.with_text:
-                decoded.append(self.encoder.decode(ids))
-        return [counts, packed] + ([decoded] if self.with_text else [])
+        packed = self.encoder.encode_all(texts)
+        decoded = [[self.encoder.decode(np.frombuffer(x, "<u4")) for x in packed]] if self.with_text else []
+        return [[len(x) // 4 for x in packed], packed, *decoded]
 
     def close(self) -> None:
         self.encoder.reset()
@@ -373,9 +388,10 @@ def encode(docs: DataFrame, vocabulary, text: str = "text", decoded: bool = Fals
     """Add ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit numbers), and with
     ``decoded`` also ``decoded``, what :func:`decode` makes of them.
 
-    Columns in ``drop`` are read but not returned. Every text is encoded whole; null counts as empty and gives no token. Columns
-    with the new names are replaced, all others pass through. Nothing is shuffled,
-    and equal rows give equal rows.
+    Columns in ``drop`` are read but not returned. Every text, of any length, is encoded
+    whole; null counts as empty and gives no token. Columns with the new names are
+    replaced, all others pass through. Nothing is shuffled, equal rows give equal
+    rows, and an empty table gives one.
     """
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
     if decoded:
@@ -385,7 +401,7 @@ def encode(docs: DataFrame, vocabulary, text: str = "text", decoded: bool = Fals
 
 def _decode_batch(shared):
     encoder = _encoder(shared)
-    return lambda packed: [[encoder.decode(memoryview(x).cast("I")) if x is not None else None for x in packed]]
+    return lambda packed: [[encoder.decode(np.frombuffer(x, "<u4")) if x is not None else None for x in packed]]
 
 
 def decode(tokens: DataFrame, vocabulary, ids: str = "ids") -> DataFrame:
