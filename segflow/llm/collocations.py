@@ -51,7 +51,7 @@ class Settings:
 
     support: int = 100
     longest: int = 5
-    shards: int = 8
+    shards: int = 4
     most_bits: int = MOST_BITS
 
 
@@ -132,7 +132,7 @@ def _in_shard(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words' hashes of each text, in rows of a segment at most."""
+    """The words' hashes of each text and their number, in rows of a segment at most."""
     for batch in batches:
         language, shard = batch.column("language").to_numpy(), batch.column("shard").to_numpy()
         for words in _read_words(batch.column("text")):
@@ -141,7 +141,8 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.append(cuts[1:], len(hashes))
             own = words.row[cuts]
             packed = pa.array([hashes[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(language[own]), pa.array(shard[own]), packed], names=["language", "shard", "words"])
+            n = np.add.reduceat((hashes != 0).astype(np.int64), cuts)
+            yield pa.RecordBatch.from_arrays([pa.array(language[own]), pa.array(shard[own]), pa.array(n), packed], names=["language", "shard", "n", "words"])
 
 
 def _streams(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -191,20 +192,18 @@ def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
     spark = docs.sparkSession
     shard = F.pmod(F.xxhash64(F.lit("shard"), "key", "text"), F.lit(settings.shards)).alias("shard")
     read = docs.select(F.xxhash64("lang").alias("language"), shard, "text")
-    words = stored(read.mapInArrow(_hashed, "language long, shard long, words binary"), "words")
+    words = stored(read.mapInArrow(_hashed, "language long, shard long, n long, words binary"), "words")
     own = F.col("key").bitwiseAND((1 << _SHARD_BITS) - 1).alias("shard")
     in_shard = F.col("key").bitwiseXOR(F.shiftleft(own, 64 - _SHARD_BITS))
-    found, needs, shared = [], None, None
+    sizes = words.groupBy("language", "shard").agg(F.sum("n").alias("own"))
+    whole = sizes.groupBy("language").agg(F.sum("own").alias("whole")).where("whole > 0")
+    # the least whole number that is not below the shard's part of the support
+    share = F.expr(f"cast((cast(own as decimal(30, 0)) * {settings.support} + whole - 1) div whole as bigint)")
+    needs = stored(sizes.join(whole, "language").select("language", "shard", share.alias("needed")), "needs")
+    found, shared = [], None
     for length in range(1, settings.longest + 1):
-        each = words.mapInArrow(partial(_mine, length, shared), "language long, key long, n long")
+        each = words.select("language", "shard", "words").mapInArrow(partial(_mine, length, shared), "language long, key long, n long")
         counts = each.groupBy("language", "key").agg(F.sum("n").alias("n"))
-        if needs is None:
-            counts = stored(counts, "counts")
-            sizes = counts.groupBy("language", own).agg(F.sum("n").alias("own"))
-            whole = sizes.groupBy("language").agg(F.sum("own").alias("whole"))
-            # the least whole number that is not below the shard's part of the support
-            share = F.expr(f"cast((cast(own as decimal(30, 0)) * {settings.support} + whole - 1) div whole as bigint)")
-            needs = stored(sizes.join(whole, "language").select("language", "shard", share.alias("needed")), "needs")
         frequent = counts.select("language", "key", "n", own).join(needs, ["language", "shard"]).where("n >= needed")
         found.append(stored(frequent.select("key"), "frequent"))
         if length < settings.longest:
