@@ -39,8 +39,13 @@ _END = b"."
 SEGMENT, STREAM = 1 << 20, 1 << 18
 #: Odd multipliers that mix 64-bit numbers.
 _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: Bits of a key that are a hash; shorter keys are less to shuffle. Phrases whose keys collide
+#: are counted together, so no frequent one is lost, however large the corpus.
+_KEY_BITS = 40
 #: Low bits of a key that number the shard.
 _SHARD_BITS = 3
+#: Words that a task counts before it shuffles, on average.
+_TASK_WORDS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -120,7 +125,7 @@ def _keys(grams: np.ndarray, language: np.ndarray) -> np.ndarray:
     x = grams ^ language
     x = (x ^ (x >> np.uint64(31))) * _MIX
     x ^= x >> np.uint64(29)
-    return x >> np.uint64(_SHARD_BITS) << np.uint64(_SHARD_BITS)
+    return x >> np.uint64(64 - _KEY_BITS) << np.uint64(64 - _KEY_BITS)
 
 
 def _in_shard(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
@@ -199,10 +204,12 @@ def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
     whole = sizes.groupBy("language").agg(F.sum("own").alias("whole")).where("whole > 0")
     # the least whole number that is not below the shard's part of the support
     share = F.expr(f"cast((cast(own as decimal(30, 0)) * {settings.support} + whole - 1) div whole as bigint)")
+    total = sizes.agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
+    words = words.select("language", "shard", "words").coalesce(max(-(-total // _TASK_WORDS), spark.sparkContext.defaultParallelism))
     needs = stored(sizes.join(whole, "language").select("language", "shard", share.alias("needed")), "needs")
     found, shared = [], None
     for length in range(1, settings.longest + 1):
-        each = words.select("language", "shard", "words").mapInArrow(partial(_mine, length, shared), "language long, key long, n long")
+        each = words.mapInArrow(partial(_mine, length, shared), "language long, key long, n long")
         counts = each.groupBy("language", "key").agg(F.sum("n").alias("n"))
         frequent = counts.select("language", "key", "n", own).join(needs, ["language", "shard"]).where("n >= needed")
         found.append(stored(frequent.select("key"), "frequent"))
