@@ -225,6 +225,9 @@ changed as (
 CHECKS: dict[str, str] = {
     # sources
     "scan_counts": "select * from count_file",
+    "scan_cached": "select * from count_file",
+    "station_parts": "select * exclude (STATE_NAME, YEAR, VOL), STATE_NAME as state, '2024' as year, "
+    "case when cast(STATION_ID as int) % 2 = 0 then VOL else 0.0::double end as VOL from count_hourly",
     "scan_probe": f"select tmc_code, measurement_tstamp, speed, cast(null as double) as average_speed, "
     "travel_time_seconds, data_density from probe_all",
     "scan_segments": f"with {SEGMENTS} select tmc_code, DIR, {', '.join(_SEGMENT_ATTRIBUTES)}, active_start_date from seg",

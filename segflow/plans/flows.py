@@ -19,7 +19,7 @@ from segflow.plans.features import feature_table
 from segflow.plans.report import dataset_year
 from segflow.schema import DENSITY_COLUMNS, MATCH, TARGET, feature_columns
 from segflow.session import size_shuffle, stored
-from segflow.sources import readers, writers
+from segflow.sources import parts, readers, writers
 
 #: Columns that tell the rows of a feature table apart.
 ROW_KEY = ["tmc_code", "TMC_Value", "DIR", "measurement_tstamp"]
@@ -58,8 +58,9 @@ def match_files(
 
 
 def generate(spark: SparkSession, sources: Sources, output: str, training: bool) -> DataFrame:
-    """Join the sources into a dataset at ``output`` (Parquet). For training it
-    is also written by station below ``<output>_stations/year=<years>``."""
+    """Join the sources into a dataset at ``output`` (Parquet). For training it is also
+    written by station and year to ``<output>_stations``; a later run replaces only the stations
+    it has."""
     sources.require(training)
     paths = [sources.probe_all, sources.probe_pass, sources.probe_truck]
     size_shuffle(spark, paths)
@@ -74,7 +75,7 @@ def generate(spark: SparkSession, sources: Sources, output: str, training: bool)
     dataset = readers.dataset(spark, output)
     if training:
         year = dataset_year(dataset).first().dataset_year
-        writers.write_by_station(dataset, f"{output}_stations", year)
+        parts.write_stations(dataset, f"{output}_stations", year)
     return dataset
 
 
@@ -98,7 +99,7 @@ def _prepare(dataset: DataFrame, target: str) -> tuple[DataFrame, DataFrame, Dat
 
 
 def _log_importance(model: VolumeModel, test: DataFrame, target: str, epoch: int, output: str) -> None:
-    writers.append_importance(log_row(permutation_importance(model, test, target), epoch), f"{output}_featureimportance")
+    parts.write_importance(log_row(permutation_importance(model, test, target), epoch), f"{output}_featureimportance")
 
 
 def _keep(spark: SparkSession, best: BestModel, index: DataFrame, output: str, settings: dict) -> None:

@@ -29,7 +29,7 @@ from segflow.operators.tables import coerce_numeric, drop_blank, lost_ids, repai
 from segflow.plans import conflate as join
 from segflow.plans import evaluate, features, report
 from segflow.session import configure, scratch_path, stored
-from segflow.sources import readers, writers
+from segflow.sources import parts, readers, writers
 from segflow.standins import StandIns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,31 @@ def scan_counts(t):
     return readers.raw_counts(source.sparkSession, _stored(t, source, "counts"))
 
 
+@query
+def scan_cached(t):
+    """Three versions of a folder of count files, scanned one after the other: the second
+    changes every other month, the third lacks a file of the first."""
+    source, spark = t.count_file, t.spark
+    folder, cache = scratch_path(spark, "counts"), scratch_path(spark, "cache")
+    wrong = source.withColumn("VOL", F.col("VOL") + F.col("MONTH") % 2)
+    for part, rows in (("even", wrong.where("MONTH % 2 = 0")), ("odd", wrong.where("MONTH % 2 = 1")), ("old", wrong)):
+        writers.write_table(rows, f"{folder}/{part}.csv")
+    parts.cached_scan(spark, folder, cache).count()
+    writers.write_table(source.where("MONTH % 2 = 1"), f"{folder}/odd.csv")
+    parts.cached_scan(spark, folder, cache).count()
+    writers.delete(spark, f"{folder}/old.csv")
+    return parts.cached_scan(spark, folder, cache)
+
+
+@query
+def station_parts(t):
+    """Stations of a dataset folder after every other one was written anew."""
+    rows, folder = t.count_hourly.withColumnRenamed("STATE_NAME", "state").drop("YEAR"), scratch_path(t.spark, "stations")
+    parts.write_stations(rows.withColumn("VOL", F.lit(0.0)), folder, "2024")
+    parts.write_stations(rows.where("cast(STATION_ID as int) % 2 = 0"), folder, "2024")
+    return readers.dataset_folder(t.spark, folder)
+
+
 @query
 def scan_probe(t):
     source = t.probe_all

@@ -20,9 +20,10 @@ from segflow.operators.tables import union_all, union_ids
 Groups = dict[tuple[str, ...], list[str]]
 
 
-def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, groups: Groups | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, groups: Groups | None = None, *extra: Column) -> DataFrame:
     """CSV with a header and a declared schema; columns the files lack are null
     and extra ones are left out. A value that does not fit its type is an error.
+    ``extra`` columns, of a file's metadata say, are added.
 
     All files must have the header of the first one, and Spark checks that. For
     files whose columns come in different orders hand in their ``groups``.
@@ -35,11 +36,12 @@ def read_csv(spark: SparkSession, path: str | list[str], kind: T.StructType, gro
         names = T.StructType([_typed(n, wanted) for n in header])
         read = spark.read.schema(names).option("header", True).option("enforceSchema", False)
         part = read.option("mode", "FAILFAST").csv(files)
-        parts.append(part.select(*[c for c in part.columns if c.lower() in wanted]))
+        parts.append(part.select(*[c for c in part.columns if c.lower() in wanted], *extra))
     found = union_all(parts)
     have = {c.lower() for c in found.columns}
     return found.select(
-        *[F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields]
+        *[F.col(f.name) if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in kind.fields],
+        *[c for c in found.columns if c.lower() not in wanted],
     )
 
 
@@ -177,7 +179,12 @@ def table(spark: SparkSession, path: str) -> DataFrame:
 
 def dataset_folder(spark: SparkSession, folder: str) -> DataFrame:
     """All station files of a dataset folder written by
-    :func:`segflow.sources.writers.write_by_station`. Ids stay text."""
+    :func:`segflow.sources.writers.write_by_station`, or those in force of one written by
+    :func:`segflow.sources.parts.write_stations`. Ids stay text."""
+    from segflow.sources.parts import STATION_PART, has_parts, read_parts
+
+    if has_parts(spark, folder):
+        return read_parts(spark, folder, STATION_PART)
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(key, "true")
     spark.conf.set(key, "false")

@@ -70,6 +70,12 @@ def write_report(metrics: DataFrame, path: str) -> None:
     write_table(metrics, path if path.endswith(".csv") else f"{path}.csv")
 
 
+def delete(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder; whether there was one."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def list_models(spark: SparkSession, folder: str, suffix: str = ".model") -> list[str]:
     """Model folders below ``folder`` whose name ends in ``suffix``."""
     jvm = spark.sparkContext._jvm

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from segflow import schema
 from segflow.session import scratch_path, shared_folder, size_shuffle, stored
-from segflow.sources import readers, writers
+from segflow.sources import parts, readers, writers
 
 
 def put(path, text):
@@ -167,3 +167,85 @@ def test_scratch_follows_the_session(spark):
     assert named is None or shared_folder(spark) == named
     assert stored(spark.range(3)).count() == 3
     assert spark.sparkContext.applicationId in scratch_path(spark, "x")
+
+
+# ---- parts that are replaced --------------------------------------------------
+
+
+def count_rows(spark, folder, name, rows, extra=""):
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text("\n".join(["STATION_ID,HOUR,VOL" + (",note" if extra else ""), *[",".join(map(str, r)) + extra for r in rows]]) + "\n")
+
+
+def test_cached_scan_parses_only_what_changed(spark, tmp_path):
+    folder, cache = tmp_path / "in", str(tmp_path / "cache")
+    scan = lambda: sorted((r.STATION_ID, r.HOUR, r.VOL) for r in parts.cached_scan(spark, str(folder), cache).collect())
+    changed = lambda: sorted(r.path.rpartition("/")[2] for r in parts.changed_files(spark, str(folder), cache).collect())
+    count_rows(spark, folder, "a.csv", [("007", 1, 5.0)])
+    count_rows(spark, folder, "x/b.csv", [("008", 2, 6.5), ("008", 2, 6.5)], ",n")
+    count_rows(spark, folder, "none.csv", [])
+    assert changed() == ["a.csv", "b.csv", "none.csv"]
+    assert scan() == [("007", 1, 5.0), ("008", 2, 6.5), ("008", 2, 6.5)]
+    assert changed() == [] and scan()[0] == ("007", 1, 5.0)
+    before = {r.file_id: r.run for r in parts.parts(spark, cache).collect()}
+    # a changed file is replaced, a new one added, a vanished one dropped
+    count_rows(spark, folder, "a.csv", [("007", 1, 50.0), ("007", 3, 1.0)])
+    count_rows(spark, folder, "c.csv", [("009", 4, 7.0)])
+    (folder / "none.csv").unlink()
+    assert changed() == ["a.csv", "c.csv"]
+    assert scan() == [("007", 1, 50.0), ("007", 3, 1.0), ("008", 2, 6.5), ("008", 2, 6.5), ("009", 4, 7.0)]
+    after = {r.file_id: r.run for r in parts.parts(spark, cache).collect()}
+    assert len(set(before.items()) & set(after.items())) == 1
+    (folder / "x/b.csv").unlink()
+    assert [r[0] for r in scan()] == ["007", "007", "009"]
+    # a bad value changes nothing
+    count_rows(spark, folder, "bad.csv", [("010", "noon", 1.0)])
+    with pytest.raises(Exception):
+        parts.cached_scan(spark, str(folder), cache).collect()
+    (folder / "bad.csv").unlink()
+    assert changed() == [] and [r[0] for r in scan()] == ["007", "007", "009"]
+    assert parts.drop_unused(spark, cache) >= 1 and [r[0] for r in scan()] == ["007", "007", "009"]
+
+
+def test_a_rerun_replaces_only_its_stations(spark, tmp_path):
+    folder = str(tmp_path / "d")
+    parts.write_stations(located(spark), folder, "2022")
+    files = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "d").rglob("*.parquet") if "STATION_ID=010" in str(p)}
+    one = located(spark).where("STATION_ID = '007'").limit(1).withColumn("new", F.lit(1))
+    parts.write_stations(one, folder, "2022")
+    back = readers.dataset_folder(spark, folder)
+    assert sorted((r.STATION_ID, r.new) for r in back.collect()) == [("007", 1), ("010", None)]
+    assert all((tmp_path / f).stat().st_mtime_ns == t for f, t in files.items()) and files
+    parts.write_stations(located(spark), folder, "2023")
+    assert sorted(r.STATION_ID for r in readers.dataset_folder(spark, folder).collect()) == ["007", "007", "007", "010", "010"]
+    assert readers.stations_of_folders(spark, [folder]).count() == 2
+
+
+def test_a_write_that_stops_is_not_seen(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "d")
+    row = lambda v: spark.createDataFrame([(1, None, v), (2, "a/b=c", v)], "epoch int, name string, v int")
+    parts.replace_parts(row(1), folder, ["epoch", "name"])
+    with monkeypatch.context() as m:
+        m.setattr(parts, "_put_in_force", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            parts.replace_parts(row(2), folder, ["epoch", "name"])
+    read = lambda: sorted((r.epoch, r.name, r.v) for r in parts.read_parts(spark, folder, ["epoch", "name"]).collect())
+    assert read() == [(1, None, 1), (2, "a/b=c", 1)]
+    parts.replace_parts(row(3), folder, ["epoch", "name"])
+    assert read() == [(1, None, 3), (2, "a/b=c", 3)]
+    # a second writer that began before the first was done
+    with monkeypatch.context() as m:
+        names, first = parts._names, iter([parts._names(spark, folder)[:-1]])
+        m.setattr(parts, "_names", lambda s, f: next(first, None) or names(s, f))
+        with pytest.raises(parts.WriteConflict):
+            parts.replace_parts(row(4), folder, ["epoch", "name"])
+    assert read() == [(1, None, 3), (2, "a/b=c", 3)]
+    assert parts.drop_unused(spark, folder) == 3 and read() == [(1, None, 3), (2, "a/b=c", 3)]
+
+
+def test_importance_log_has_each_epoch_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for epoch, value in ((1, 1.0), (2, 2.0), (2, 2.5), (3, 3.0)):
+        parts.write_importance(spark.createDataFrame([(epoch, "a", value)], "epoch int, feature string, importance double"), log)
+    assert sorted((r.epoch, r.importance) for r in parts.read_importance(spark, log).collect()) == [(1, 1.0), (2, 2.5), (3, 3.0)]
