@@ -205,21 +205,55 @@ scaled as (select split.*, {z} from split, stats)"""
 SCALED = _scaled()
 
 
-def _importance() -> str:
+def _importance(repeats: int = 3, seed: int = 42) -> str:
     weights = fixed_weights()
     score = " + ".join(f"({w}) * z_{c}" for c, w in weights.items())
-    changes = ", ".join(
-        f"avg(power(a.VOL - (a.score + ({w}) * (b.z_{c} - a.z_{c})), 2)) - avg(power(a.VOL - a.score, 2)) as {c}"
-        for c, w in weights.items()
-    )
-    union = " union all ".join(f"select '{c}' as feature, round({c}, 4) as importance from changed" for c in weights)
+    values = ", ".join(f"('{c}', {w}, z_{c})" for c, w in weights.items())
     return f"""with {SCALED},
 tests as (
   select *, {score} as score, row_number() over (order by row_hash) - 1 as i, count(*) over () as n
   from scaled where test),
+long as (select i, n, VOL, score, v.c, v.w, v.z from tests, lateral (values {values}) as v(c, w, z)),
+digests as (
+  select c, r, md5(concat('{seed}|', c, '|', r)) as d, n from (select distinct c, n from long), range({repeats}) as x(r)),
+starts as (
+  select c, r, n, 1 + cast(concat('0x', substr(d, 1, 8)) as bigint) % n as least_factor, cast(concat('0x', substr(d, 9, 8)) as bigint) % n as b from digests),
+ways as (
+  select c, r, b, list_filter(range(least_factor, least_factor + 200), lambda x: gcd(x, n) = 1)[1] as a from starts),
 changed as (
-  select {changes} from tests a join tests b on b.i = (a.i + greatest(1, a.n // 3)) % a.n)
-{union}"""
+  select l.c, ways.r, avg(power(l.VOL - (l.score + l.w * (o.z - l.z)), 2)) - avg(power(l.VOL - l.score, 2)) as growth
+  from long l join ways on ways.c = l.c join long o on o.c = l.c and o.i = (ways.a * l.i + ways.b) % l.n group by l.c, ways.r)
+select c as feature, round(avg(growth), 4) as importance, round(stddev_pop(growth), 4) as deviation from changed group by c"""
+
+
+def _huber(result: str, inputs: tuple[str, str] = ("aadt", "speed_All"), bend: float = 20.0, rounds: int = 5) -> str:
+    """Rounds of reweighted least squares with two inputs, the equations solved by determinants."""
+    x, y = (f"z_{c}" for c in inputs)
+    texts = [f"learn as (select VOL, {x} as x, {y} as y from scaled where not test)"]
+    for t in range(1, rounds + 1):
+        error = "abs(VOL - (b0 + b1*x + b2*y))"
+        weight = "1.0" if t == 1 else f"case when {error} <= {bend} then 1.0 else {bend} / {error} end"
+        texts.append(f"""w{t} as (select VOL, x, y, {weight} as w from learn{'' if t == 1 else f', c{t - 1}'}),
+s{t} as (select sum(w) as n, sum(w*x) as a, sum(w*y) as b, sum(w*x*x) as aa, sum(w*x*y) as ab, sum(w*y*y) as bb,
+  sum(w*VOL) as v, sum(w*x*VOL) as av, sum(w*y*VOL) as bv from w{t}),
+d{t} as (select *, n*(aa*bb-ab*ab) - a*(a*bb-ab*b) + b*(a*ab-aa*b) as det from s{t}),
+c{t} as (select (v*(aa*bb-ab*ab) - a*(av*bb-ab*bv) + b*(av*ab-aa*bv)) / det as b0,
+  (n*(av*bb-ab*bv) - v*(a*bb-ab*b) + b*(a*bv-av*b)) / det as b1,
+  (n*(aa*bv-av*ab) - a*(a*bv-av*b) + v*(a*ab-aa*b)) / det as b2 from d{t})""")
+    return f"with {SCALED},\n" + ",\n".join(texts) + "\n" + result
+
+
+def _huber_rounds(rounds: int = 5) -> str:
+    names = (("intercept", "b0"), ("aadt", "b1"), ("speed_All", "b2"))
+    return _huber(" union all ".join(f"select cast({t} as int) as round, '{n}' as input, round({c}, 6) as weight from c{t}" for t in range(1, rounds + 1) for n, c in names))
+
+
+def _huber_measures(rounds: int = 5) -> str:
+    return _huber(" union all ".join(f"""select cast({t - 1} as int) as model,
+  round(avg(case when abs(VOL-score) <= 500 then 0.5*(VOL-score)*(VOL-score) else 500*(abs(VOL-score)-250) end), 6) as huber_loss,
+  round(1 - sum((VOL-score)*(VOL-score)) / (var_pop(VOL)*count(*)), 6) as r2,
+  round(count(*) filter (VOL <> 0 and abs(VOL-score)/VOL < 0.15) / count(*) * 100, 6) as pct_within
+  from (select VOL, b0 + b1*z_aadt + b2*z_speed_All as score from scaled, c{t} where test)""" for t in range(1, rounds + 1)))
 
 
 CHECKS: dict[str, str] = {
@@ -318,6 +352,10 @@ select p.STATION_ID, p.VOL, p.state, p.tmc_code, p.measurement_tstamp
 from predictions p join (select STATION_ID, max(VOL) as top from predictions group by STATION_ID) m
   on m.STATION_ID = p.STATION_ID and m.top = p.VOL
 order by p.VOL desc, p.STATION_ID, p.measurement_tstamp, p.tmc_code limit 10""",
+    "find_counties": f"""with {SEGMENTS},
+texts as (select tmc_code, case when f_system % 3 = 0 then upper(county) when f_system % 3 = 1 then concat(substr(county, 7, 9), ', s') else 'no such' end as part from seg)
+select tmc_code, part, (select min(p.name) from county_population p where contains(lower(p.name), lower(part))) as found_name,
+  (select min_by(p.population, p.name) from county_population p where contains(lower(p.name), lower(part))) as found_population from texts""",
     "county_lookup": "select name, population from county_population where lower(name) like '%county 7%' order by name limit 1",
     # aggregates
     "station_counts": "select STATION_ID, count(measurement_tstamp) as n from predictions group by STATION_ID",
@@ -409,6 +447,14 @@ rows_ as (
   from probe_all p join seg on seg.tmc_code = p.tmc_code)
 select *, {', '.join(f'case when DIR is not null then lead({c}) over w end as {c}_before, case when DIR is not null then lag({c}) over w end as {c}_after' for c in ('measurement_tstamp', 'speed', 'travel_time_seconds'))}
 from rows_ window w as (partition by tmc_code, TMC_Value, DIR order by measurement_tstamp)""",
+    "neighbour_hours": f"""with {SEGMENTS},
+rows_ as (
+  select {_number('p.tmc_code')} as tmc_code, {_variant('p.tmc_code')} as TMC_Value, seg.DIR,
+         cast(epoch(measurement_tstamp) as bigint) as measurement_tstamp, speed
+  from probe_truck p join seg on seg.tmc_code = p.tmc_code)
+select r.*, b.speed as speed_before, a.speed as speed_after from rows_ r
+left join rows_ b on b.tmc_code = r.tmc_code and b.TMC_Value = r.TMC_Value and b.DIR = r.DIR and b.measurement_tstamp = r.measurement_tstamp + 3600
+left join rows_ a on a.tmc_code = r.tmc_code and a.TMC_Value = r.TMC_Value and a.DIR = r.DIR and a.measurement_tstamp = r.measurement_tstamp - 3600""",
     "first_per_segment": f"""
 select {_PROBE_SELECT} from (
   select *, row_number() over (partition by tmc_code order by measurement_tstamp) as rn from probe_all) where rn = 1""",
@@ -493,6 +539,11 @@ select {', '.join(FEATURE_KEY)}, cast(('0x' || substr({_split(FEATURE_KEY)}, 1,
     "standardise": f"""with {SCALED}
 select row_hash, {', '.join(f'round(z_{c}, 6) as {c}' for c in feature_columns())} from scaled""",
     "permutation_importance": _importance(),
+    "huber_rounds": _huber_rounds(),
+    "evaluate_huber": _huber_measures(),
+    "fit_predict_huber": _huber(
+        f"select {', '.join(FEATURE_KEY)}, round(b0 + b1*z_aadt + b2*z_speed_All, 4) as score from scaled, c5 where test"
+    ),
     "evaluate_fixed": f"""with {SCALED},
 scored as (select VOL, {' + '.join(f'({w}) * z_{c}' for c, w in fixed_weights().items())} as score from scaled where test)
 select round(avg(case when abs(VOL-score) <= 500 then 0.5*(VOL-score)*(VOL-score) else 500*(abs(VOL-score)-250) end), 6) as huber_loss,

@@ -96,3 +96,28 @@ def _in_spans(cut: DataFrame, keys: list[str], seconds: str, columns: list[str],
         }
     )
     return near.where(inner).unionByName(edges)
+
+
+def with_hour_neighbours(
+    df: DataFrame, keys: list[str], seconds: str, columns: list[str], hour: int = 3_600, span: int = DAY
+) -> DataFrame:
+    """Add ``<c>_before`` and ``<c>_after`` for each column, named as by :func:`with_neighbours`,
+    from the rows exactly one hour later and earlier: a gap gives null, not the next row.
+
+    All series are cut into spans of ``span`` seconds, so a long one is spread over many tasks;
+    rows within an hour of another span are copied there, only to be looked at. Of
+    several rows of one hour the one with the smallest values counts. Rows without a key or a
+    time have no neighbours.
+    """
+    own = F.floor(F.col(seconds) / span)
+    reached = [F.floor((F.col(seconds) + shift) / span) for shift in (-hour, hour)]
+    usable = _named([*keys, seconds])
+    spans = F.when(usable, F.array_distinct(F.array(own, *reached))).otherwise(F.array(F.lit(None).cast("bigint")))
+    dealt = df.withColumn("_span", F.explode(spans)).withColumn("_own", ~usable | (F.col("_span") == own))
+    # rows in no series are spread by their values
+    apart = F.when(~usable, F.hash(*df.columns))
+    series = Window.partitionBy(*keys, "_span", apart).orderBy(F.col(seconds).cast("bigint"))
+    row = F.min(F.struct(*columns))
+    near = {side: F.when(usable, row.over(series.rangeBetween(shift, shift))) for side, shift in (("before", hour), ("after", -hour))}
+    found = dealt.withColumns({f"_{side}": value for side, value in near.items()}).where("_own")
+    return found.select(*df.columns, *[F.col(f"_{side}")[c].alias(f"{c}_{side}") for c in columns for side in near])

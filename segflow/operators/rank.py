@@ -19,6 +19,8 @@ PREFIX_DIGITS = 4
 PER_OCTAVE = 256
 #: Distinct values of a percentile bucket beyond which it is cut further.
 CROWD = 50_000
+#: Ranges to which an octave of the distance from an end of a crowded bucket is cut.
+END_STEPS = 16
 
 
 def key_hash(*columns: str) -> Column:
@@ -87,13 +89,20 @@ def _value_bucket(value: Column) -> Column:
 def _refined(counted: DataFrame, by: list[str]) -> DataFrame:
     """Add ``_s``, a second bucket below ``_b``: buckets with more than ``CROWD`` distinct
     values, which a narrow range of large or of tiny values makes, are cut into equal
-    ranges, about one for each ``CROWD`` values. All others have the one range 0."""
+    ranges, about one for each ``CROWD`` values, and each range by the distance from the nearer
+    end of the bucket on a logarithmic scale, as an outlier leaves all other values
+    at one end. All others have the one range 0."""
     crowds = counted.groupBy(*by, "_b").agg(F.count("*").alias("_k"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*by, "_b"]]
     joined = counted.alias("l").join(crowds.where(F.col("_k") > CROWD).alias("r"), same, "left")
     ranges = F.ceil(F.col("_k") / CROWD)
-    part = F.floor((F.col("_v") - F.col("_least")) / (F.col("_most") - F.col("_least")) * ranges)
-    fine = F.coalesce(F.least(part, ranges - 1), F.lit(0)).cast("long")
+    width = F.col("_most") - F.col("_least")
+    share = (F.col("_v") - F.col("_least")) / width
+    part = F.least(F.floor(share * ranges), ranges - 1)
+    # 64 octaves from either end; a value on an end has no logarithm
+    near = lambda distance: F.floor((F.greatest(F.coalesce(F.log2(distance / width), F.lit(-64.0)), F.lit(-64.0)) + 64) * END_STEPS)
+    inner = F.when(share <= 0.5, near(F.col("_v") - F.col("_least"))).otherwise(128 * END_STEPS - near(F.col("_most") - F.col("_v")))
+    fine = F.coalesce(part * (129 * END_STEPS) + inner, F.lit(0)).cast("long")
     return joined.select(*[F.col(f"l.{c}") for c in counted.columns], fine.alias("_s"))
 
 

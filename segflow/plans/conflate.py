@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segflow.functions.codes import direction_code, segment_number, segment_variant
+from segflow.operators.substring import first_containing
 from segflow.operators.rank import first_per_key, sample_by_hash
 from segflow.operators.spatial import lines_near_points
 from segflow.operators.tables import drop_blank
@@ -206,3 +207,9 @@ def county_population(populations: DataFrame, county: str) -> DataFrame:
     """First county, by name, whose name contains the text in any case."""
     hits = populations.where(F.contains(F.lower("name"), F.lower(F.lit(county))))
     return hits.orderBy("name").limit(1)
+
+
+def find_counties(rows: DataFrame, populations: DataFrame, text: str = "county") -> DataFrame:
+    """Rows with the first county, by name, whose name contains their text in any case, as
+    ``found_name`` and so on; :func:`county_population` for a whole column."""
+    return first_containing(rows, text, populations, "name", "found_")

@@ -18,12 +18,13 @@ from segflow.checks import FEATURE_KEY, fixed_weights
 from segflow.functions.codes import category_index, direction_code, encode_categories, segment_number, segment_variant
 from segflow.functions.shapes import vertices
 from segflow.functions.times import count_timestamp, epoch_seconds, with_calendar
-from segflow.model.data import fit_scaler, split
+from segflow.model.data import SCORE, fit_scaler, split
 from segflow.model.importance import permutation_importance as feature_importance
 from segflow.model.network import Settings, first_step
-from segflow.model.regress import LinearScorer, VolumeModel, evaluate as evaluate_model, fit_linear, fit_trees
+from segflow.model.regress import LinearScorer, VolumeModel, evaluate as evaluate_model, evaluate_many, fit_linear, fit_trees
+from segflow.model.robust import fit_huber
 from segflow.operators.histograms import fixed_width_histogram
-from segflow.operators.neighbours import with_neighbours
+from segflow.operators.neighbours import with_hour_neighbours, with_neighbours
 from segflow.operators.rank import first_per_key, in_test_share
 from segflow.operators.tables import coerce_numeric, drop_blank, lost_ids, repair_codes, union_all, union_ids
 from segflow.plans import conflate as join
@@ -357,6 +358,14 @@ def attach_counties(t):
     return join.attach_counties(rows, t.county_population, "county_name").select("tmc_code", "county", "county_population")
 
 
+@query
+def find_counties(t):
+    """Segments with the first county whose name contains a part of theirs."""
+    part = F.when(F.col("f_system") % 3 == 0, F.upper("county")).when(F.col("f_system") % 3 == 1, F.concat(F.substring("county", 7, 9), F.lit(", s"))).otherwise(F.lit("no such"))
+    rows = _segments(t).select("tmc_code", part.alias("part"))
+    return join.find_counties(rows, t.county_population, "part")
+
+
 @query
 def top_stations(t):
     return report.top_stations(t.predictions).select("STATION_ID", "VOL", "state", "tmc_code", "measurement_tstamp")
@@ -521,6 +530,14 @@ def neighbour_features(t):
     return with_neighbours(rows, features.SERIES, "measurement_tstamp", shifted)
 
 
+@query
+def neighbour_hours(t):
+    """Values of the hours just before and after; hours without a row are gaps."""
+    rows = join.attach_segments(t.probe_truck, _segments(t))
+    rows = features.code_step(rows).withColumn("measurement_tstamp", F.unix_timestamp("measurement_tstamp"))
+    return with_hour_neighbours(rows.select(*features.SERIES, "measurement_tstamp", "speed"), features.SERIES, "measurement_tstamp", ["speed"])
+
+
 @query
 def first_per_segment(t):
     return report.first_segments(t.probe_all)
@@ -712,6 +729,36 @@ def network_step(t):
     return train.sparkSession.createDataFrame(sizes, "kind string, layer int, numbers long, loss double, slope double")
 
 
+#: Two inputs keep the check, which solves the equations in SQL, short.
+HUBER = {"features": ["aadt", "speed_All"], "bend": 20.0, "rounds": 5, "tolerance": 0.0}
+
+
+@query
+def huber_rounds(t):
+    """Weights of a robust linear model after every round."""
+    train, _ = _train_and_test(t)
+    models: list[LinearScorer] = []
+    fit_huber(train, history=models, **HUBER)
+    rows = [(i, name, w) for i, m in enumerate(models, 1) for name, w in zip(["intercept", *HUBER["features"]], [m.intercept, *m.weights])]
+    return rounded(t.spark.createDataFrame(rows, "round int, input string, weight double"))
+
+
+@query
+def evaluate_huber(t):
+    """Measures of robust linear models by the number of rounds, from one pass over the test rows."""
+    train, test = _train_and_test(t)
+    models: list[LinearScorer] = []
+    fit_huber(train, history=models, **HUBER)
+    return rounded(evaluate_many(models, test))
+
+
+@query
+def fit_predict_huber(t):
+    train, test = _train_and_test(t)
+    scored = fit_huber(train, **HUBER).score(test)
+    return rounded(scored.select(*FEATURE_KEY, F.col(SCORE).alias("score")), 4)
+
+
 @query
 def evaluate_linear(t):
     train, test = _train_and_test(t)

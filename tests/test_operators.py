@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from segflow.operators import histograms, rank, spatial
-from segflow.operators.neighbours import with_neighbours
+from segflow.operators.neighbours import with_hour_neighbours, with_neighbours
+from segflow.operators.substring import first_containing
 
 
 def plan_of(df):
@@ -199,3 +200,53 @@ def test_narrow_ranges_of_values_use_many_buckets(spark, monkeypatch):
         counted = df.groupBy(F.col("v").alias("_v")).count().withColumn("_b", rank._value_bucket(F.col("_v")))
         sizes = [r["count"] for r in rank._refined(counted.drop("count"), []).groupBy("_b", "_s").count().collect()]
         assert max(sizes) < 1200 and len(sizes) >= 10
+
+
+def test_hour_neighbours_stop_at_gaps(spark):
+    rng = random.Random(4)
+    hours = [("a", 1, 1.0), ("a", 2, 2.0), ("a", 4, 4.0), ("a", 4, 3.0), ("a", 5, None), ("a", 23, 23.0), ("a", 24, 24.0), ("a", -1, 9.0), ("a", 0, 0.0), (None, 1, 5.0), (None, 2, 5.0), ("a", None, 5.0)]
+    hours += [("b", rng.randrange(400), float(i)) for i in range(300)] + [("c", 7, 1.0)] * 20 + [("c", 8, 2.0)]
+    df = spark.createDataFrame([(k, None if h is None else h * 3600, v, i) for i, (k, h, v) in enumerate(hours)], "k string, t long, v double, i int")
+    got = with_hour_neighbours(df, ["k"], "t", ["v", "i"], span=86_400)
+    assert got.columns == ["k", "t", "v", "i", "v_before", "v_after", "i_before", "i_after"]
+    at = {}
+    for i, (k, h, v) in enumerate(hours):
+        at.setdefault((k, h), []).append((v is not None, v, i))
+    near = lambda k, h: min(at.get((k, h), [(None, None, None)]))[1:] if k is not None else (None, None)
+    rows = sorted(got.collect(), key=lambda r: r.i)
+    assert [r.i for r in rows] == list(range(len(hours)))
+    for r, (k, h, _) in zip(rows, hours):
+        none = (None, None)
+        assert (r.v_before, r.i_before) == (near(k, h + 1) if h is not None else none)
+        assert (r.v_after, r.i_after) == (near(k, h - 1) if h is not None else none)
+
+
+def test_first_containing_equals_a_plain_search(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abÄ %_. ") for _ in range(n))
+    places = [(word(rng.randrange(12)), i) for i in range(80)] + [(None, 1), ("", 2), ("", 1), ("Norfolk County, MA", 6), ("Norfolk City", 7)]
+    texts = [word(rng.randrange(6)) for _ in range(150)] + [None, "", "NORFOLK", "folk co", "zz", "norfolk city and more", "a" * 40] + ["ab"] * 30
+    table = spark.createDataFrame(places, "name string, population int")
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    found = first_containing(rows, "t", table, "name", "found_")
+    assert found.columns == ["id", "t", "found_name", "found_population"]
+    plan = plan_of(found)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    got = sorted(found.collect(), key=lambda r: r.id)
+    assert [r.id for r in got] == list(range(len(texts)))
+    for r in got:
+        hits = sorted((n, p) for n, p in places if n is not None and r.t is not None and r.t.lower() in n.lower())
+        assert (r.found_name, r.found_population) == (hits[0] if hits else (None, None))
+    assert first_containing(rows, "t", table.limit(0), "name", "found_").where("found_name is not null").count() == 0
+
+
+def test_an_outlier_does_not_crowd_a_bucket(spark):
+    tiny = spark.range(400_000).select((F.col("id") * 1e-15).alias("v")).unionByName(spark.createDataFrame([(0.0025,)], "v double"))
+    high = tiny.select((0.0025 - F.col("v")).alias("v"))
+    for df in (tiny, high):
+        counted = df.select(F.col("v").alias("_v"), F.lit(1).alias("_c")).withColumn("_b", rank._value_bucket(F.col("_v")))
+        sizes = [r["count"] for r in rank._refined(counted, []).groupBy("_b", "_s").count().collect()]
+        assert max(sizes) <= 400_000 / 8
+        values = np.sort(np.array([r.v for r in df.collect()]))
+        got = {r.prob: r.value for r in rank.exact_percentiles(df, "v", [0.0, 0.3, 0.5, 1.0]).collect()}
+        assert all(got[p] == pytest.approx(np.percentile(values, 100 * p), rel=1e-12, abs=1e-20) for p in got)
