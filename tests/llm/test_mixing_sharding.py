@@ -108,12 +108,31 @@ def test_blocks_of_a_shard_are_multinomial_and_targets_stay_met(spark):
     per = defaultdict(Counter)
     for r in rows:
         per[r["_group"]][r["shard"]] += 1
+    sizes = Counter(r["shard"] for r in rows)
+    assert max(sizes.values()) - min(sizes.values()) <= 1 and max(sizes.values()) <= 1000 and len({(r["shard"], r["order"]) for r in rows}) == len(rows)
     for counts in per.values():
         mean = sum(counts.values()) / len(counts)
         spread = sum((n - mean) ** 2 for n in counts.values()) / len(counts) / mean
         assert 0.3 < spread < 3  # as thrown at random, neither even nor in runs
 
 
+def test_a_shard_is_rebuilt_from_its_slots(spark):
+    random.seed(9)
+    rows = [(i, " ".join(["w"] * random.choice([1, 30, 300])), "en", random.choice("aabc"), 0) for i in range(200)]
+    docs = documents(spark, rows)
+    plan = mixing.targets(mixing.sized(docs))
+    want = Counter()
+    for r in mixing.slots(plan, block=20, shard_slots=50).collect():
+        want[r["shard"]] += r["take"]
+    held = Counter()
+    for r in mixed(spark, docs, block=20, shard_slots=50):
+        assert r.taken == sum(p.words for p in r.pieces)
+        for p in r.pieces:
+            held[p["shard"]] += p.words
+    # a source's last block may be short of words
+    assert len(want) > 5 and all(0 <= want[k] - held[k] < 60 for k in want)
+
+
 def test_difference_is_exact_on_small_cases():
     assert sharding.difference([], 3) == [] and sharding.difference([5], 3) == [2]
     random.seed(1)
