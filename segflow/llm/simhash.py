@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segflow.llm.common import with_python
+from segflow.llm.common import boxed, unboxed, with_python
 from segflow.session import stored
 
 #: Bits of a fingerprint, of a segment of it, and of a count in a cell's number.
@@ -174,22 +174,30 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, key: str
     A null or empty text, or one without a word, has fingerprint zero. An empty
     table gives no row. Columns other than key and text are not read.
     """
-    read = docs.select(F.col(key).alias("doc_id"), F.col("text"))
+    judged = _grouped(docs, width, distance, key)
+    return judged.select("doc_id", as_hex(F.col("_code")).alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, width: int, distance: int, key: str) -> DataFrame:
+    """``doc_id``, ``_own`` (hash of the text), ``_code``, ``root`` and ``component_id`` of every row."""
+    read = docs.select(F.col(key).alias("doc_id"), F.col("text"), F.xxhash64("text").alias("_own"))
     coded = stored(with_fingerprint(read, width, drop=["text"]), "codes")
     classes = stored(coded.groupBy("_code").agg(F.min("doc_id").alias("first")), "classes")
     found = stored(links(classes.select("_code"), distance), "links")
     roots = components(found)
     rooted = classes.join(roots, classes["_code"] == roots["node"], "left").select("_code", "first", F.coalesce("root", "_code").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("_code", "component_id")
-    return coded.join(named, "_code").select("doc_id", as_hex(F.col("_code")).alias("fingerprint"), "component_id")
+    named = rooted.join(least, "root").select("_code", "root", "component_id")
+    return coded.join(named, "_code")
 
 
 def keep_one(docs: DataFrame, width: int = 3, distance: int = 2, key: str = "doc_id") -> DataFrame:
-    """The documents whose key is their component's id, all columns kept; of several
-    rows with that key one stays. Rows without a key cannot stand for a group or be
-    told apart: they are passed on."""
-    ids = near_duplicates(docs, width, distance, key)
-    firsts = stored(ids.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(key)).distinct(), "firsts")
-    kept = docs.where(F.col(key).isNotNull()).join(firsts, key, "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.where(F.col(key).isNull()))
+    """Of each component the row with the smallest key, of several with that key the one whose
+    text has the smallest hash; all columns kept. Different texts under one key are
+    told apart, equal rows are one. Rows without a key cannot be told apart: they are passed on."""
+    judged = _grouped(docs, width, distance, key).where("doc_id is not null")
+    firsts = judged.groupBy("root").agg(F.min(F.struct("doc_id", "_own")).alias("_first"))
+    firsts = stored(firsts.select(F.col("_first.doc_id").alias("_id"), F.col("_first._own").alias("_own")), "firsts")
+    named = docs.select(boxed(docs).alias("_doc"), F.col(key).alias("_id"), F.xxhash64("text").alias("_own"))
+    kept = named.join(firsts, ["_id", "_own"], "left_semi").dropDuplicates(["_id", "_own"])
+    return unboxed(kept, docs.columns).unionByName(docs.where(F.col(key).isNull()))

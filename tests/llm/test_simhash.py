@@ -88,6 +88,12 @@ def test_one_document_of_each_group_stays_with_its_columns(spark):
     assert sorted(r.doc_id or 99 for r in kept.collect()) == sorted([1, 3, 4, 7, 9, -10, 99])
 
 
+def test_different_texts_under_one_key_both_stay(spark):
+    rows = [(1, "one text of some words", "en", "a", 1), (1, "quite another one it is", "en", "b", 2), (1, "one text of some words", "en", "a", 1), (2, "one text of some words", "en", "c", 3)]
+    kept = simhash.keep_one(documents(spark, rows))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "one text of some words"), (1, "quite another one it is")]
+
+
 def test_near_copies_meet(spark):
     base = " ".join(f"w{i}" for i in range(400))
     rows = [(i, base.replace(f"w{i * 7} ", f"v{i} ", 1), "en", "a", 1) for i in range(20)]
