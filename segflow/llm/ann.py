@@ -250,8 +250,10 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, settings: Settings
 
     Null and zero vectors and those with a null or non-finite component take no part, nor
     do rows without a key or of another length than most. A row is never its own
-    neighbour, and neither is one with its key. With few rows all are found. Columns
-    other than key and vector are read only by ``queries``.
+    neighbour, and neither is one with its key. Repeated rows are found as often as they come;
+    of several queries with one key the one whose vector comes first in order is asked.
+    With few rows all are found; an empty table gives no row. Columns other than key and
+    vector are read only by ``queries``.
     """
     spark = vectors.sparkSession
     read = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("vector"), F.coalesce(queries, F.lit(False)).alias("_asks"))
@@ -264,7 +266,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, settings: Settings
     parts = shared.value.items.shape[1]
     counts = [sizes.get(p, (0, 0))[0] for p in range(parts)]
     total = sum(q for _, q in sizes.values())
-    asking = placed.where("_asks").select(F.col("vec_id").alias("query_id"), "vector")
+    asking = placed.where("_asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     routed = with_python(asking, ["vector"], [T.StructField("_parts", T.ArrayType(T.LongType()))], partial(_router, shared, counts, k))
     # blocks: every block of a part's rows meets every block of the part's queries
     blocks = F.array(*[F.lit(max(1, -(-c // settings.block))) for c in counts])
