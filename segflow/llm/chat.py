@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segflow.llm.common import WORD
 from segflow.session import stored
 
 #: Turn numbers of a block of prefix sums.
@@ -29,8 +28,8 @@ TURN = r"<turn:((?:[^\\<>]|\\[\s\S])*+)>((?:[^\\<]|\\[\s\S])*+)</turn>\n"
 
 @dataclass(frozen=True)
 class Budget:
-    """Tokens (words) of a window's new turns and of the history before them. A window
-    has at most both, the system turn, and what a single longer turn has in excess."""
+    """Tokens of a window's new turns and of the history before them. A window has at most
+    both, the system turn, and what a single longer turn, which is never cut, has in excess."""
 
     stride: int = 384
     history: int = 128
@@ -45,7 +44,9 @@ def unescaped(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD)).cast("long")
+    """What a turn costs: four code points of its text are a token, and its marks four, so turns
+    without a word and words of any length count as well."""
+    return (F.ceil(F.length(text) / 4) + 4).cast("long")
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -145,7 +146,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def format_conversations(conversations: DataFrame, budget: Budget = Budget(), key: str = "conv_id") -> DataFrame:
     """:func:`windows` of a table of turns (``conv_id``, ``turn``, ``role``, ``text``).
 
-    Columns beyond these four are not read. Repeated rows are repeated turns; a null
+    Columns beyond these four are not read. Texts of any length are one turn each. Repeated rows are repeated turns; a null
     conversation is one conversation; an empty table has no window.
     """
     # stored once: spans, history and system turns are all made from it

@@ -43,7 +43,7 @@ def chat_sql() -> str:
     return rf"""
 with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all values (-7, 0, 'user', {made}), (-7, 1, 'assistant', {made})),
-n as (select *, row_number() over w - 1 as seq, len(regexp_extract_all(text, '{WORD}')) as size,
+n as (select *, row_number() over w - 1 as seq, (length(text) + 3) // 4 + 4 as size,
   length('<turn:></turn>') + 1 + 2 * length(role || text) - length(translate(role || text, '\<>', '')) as chars
   from c window w as (partition by conv_id order by turn, role, text)),
 t as (select *, coalesce(sum(size) over (partition by conv_id order by seq rows between unbounded preceding and 1 preceding), 0)::bigint as b from n),

@@ -22,6 +22,9 @@ TURNS = [
     *[(9, i, "system" if i == 0 else ("user", "assistant")[i % 2], "word " * (i * 37 % 90), "x") for i in range(60)],
     (9, 60, "assistant", "w " * 3000, "x"),
     *[(10, i, ("user", "assistant")[i % 2], f"turn {i}", "x") for i in range(3000)],
+    *[(11, i, "user", "", "x") for i in range(1000)],
+    (12, 0, "user", "x" * 100_000, "x"),
+    (12, 1, "assistant", "y", "x"),
 ]
 
 
@@ -38,11 +41,11 @@ def test_windows_read_back(spark):
         turns = sorted(want[r.conv])
         assert [(t.role, t.text) for t in r.turns] == [t[1:] for t in turns]
         assert r.targets == "".join(text for _, role, text in turns if role == "assistant")
+    cost = lambda text: -(-len(re.sub(r"\\(.)", r"\1", text, flags=re.S)) // 4) + 4
     for w in formatted.collect():
-        system = 0 if w.first == 0 else 2
-        marks = len(re.findall(r"<turn:", w.formatted))
-        used = len(re.findall(r"[^\x20\x09-\x0D]+", re.sub(r"<turn:[^>]*>|</turn>\n", " ", w.formatted)))
-        assert used <= 140 + system or marks - w.context == 1
+        system = 0 if w.first == 0 else cost("")
+        said = re.findall(r"<turn:(?:[^\\>]|\\.)*>((?:[^\\<]|\\.)*)</turn>\n", w.formatted, flags=re.S)
+        assert sum(map(cost, said)) <= 140 + system or len(said) - w.context == 1
         assert all(w.formatted[m.end : m.end + 7] == "</turn>" for m in w.mask)
     first = [w for w in formatted.collect() if w.conv == 9 and w.first > 0]
     assert first and all(w.formatted.startswith("<turn:system>") for w in first)
