@@ -44,8 +44,9 @@ _MIX, _STEP = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _KEY_BITS = 40
 #: Low bits of a key that number the shard.
 _SHARD_BITS = 3
-#: Words that a task counts before it shuffles, on average.
-_TASK_WORDS = 1 << 22
+#: Words that a task counts before it shuffles, on average, counts that it holds at a time, and
+#: words whose counts come together in a bucket.
+_TASK_WORDS, _HELD, _BUCKET_WORDS = 1 << 22, 1 << 20, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -165,20 +166,20 @@ def _streams(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np
         first = last
 
 
-def _counted(keys: np.ndarray, language: np.ndarray) -> pa.RecordBatch:
-    """How often each key of a language occurs."""
+def _summed(language: np.ndarray, keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each key of a language once, in order, with the sum of its counts."""
     order = np.argsort(keys)
-    keys, language = keys[order], language[order]
+    language, keys, n = language[order], keys[order], n[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (language[1:] != language[:-1])
     first = np.flatnonzero(new)
-    columns = [language[first].view(np.int64), keys[first].view(np.int64), np.diff(np.append(first, len(keys)))]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["language", "key", "n"])
+    return language[first], keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _mine(length: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _mine(length: int, buckets: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases of ``length`` words whose two ends, one word shorter, are in
-    the table of their shard."""
+    the table of their shard; packed by bucket of the keys."""
+    held, size = [], 0
     for batch in batches:
         for hashes, language, shard in _streams(batch) if batch.num_rows else ():
             shorter = None
@@ -189,7 +190,43 @@ def _mine(length: int, shared, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
                     shorter[at] = shared.value.holds(_in_shard(_keys(grams[at], language[at]), shard[at]))
                 if n == length:
                     at = np.flatnonzero(whole if shorter is None else whole & shorter[:-1] & shorter[1:])
-                    yield _counted(_keys(grams[at], language[at]) | shard[at], language[at])
+                    held.append(_summed(language[at], _keys(grams[at], language[at]) | shard[at], np.ones(len(at), np.int64)))
+                    size += len(held[-1][1])
+            if size >= _HELD:
+                yield _packed(held, buckets)
+                held, size = [], 0
+    if size:
+        yield _packed(held, buckets)
+
+
+def _packed(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
+    """A row for each bucket and language: the bytes of the keys that are a hash, their shards
+    and counts, each packed; a row for each key would take twice the room."""
+    language, keys, n = _summed(*(np.concatenate(x) for x in zip(*held)))
+    names, number = np.unique(language, return_inverse=True)
+    cell = ((keys >> np.uint64(64 - _KEY_BITS)) % np.uint64(buckets)).astype(np.int64) * len(names) + number
+    order = np.argsort(cell, kind="stable")
+    cell, keys, n = cell[order], keys[order].astype("<u8"), n[order].astype("<i4")
+    hashed = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, 8 - _KEY_BITS // 8 :])
+    shard = (keys & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.uint8)
+    cuts = np.flatnonzero(np.diff(cell, prepend=-1))
+    spans = list(zip(cuts, np.append(cuts[1:], len(cell))))
+    packed = [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (hashed, shard, n)]
+    columns = [pa.array(cell[cuts] // len(names)), pa.array(names[cell[cuts] % len(names)].view(np.int64)), *packed]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "language", "keys", "shards", "counts"])
+
+
+def _sum_bucket(table: pa.Table) -> pa.Table:
+    """The keys of a bucket and language that are frequent in their shard."""
+    whole = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+    shard, n = whole("shards", np.uint8), whole("counts", "<i4").astype(np.int64)
+    keys = np.zeros((len(n), 8), np.uint8)
+    keys[:, 8 - _KEY_BITS // 8 :] = whole("keys", np.uint8).reshape(len(n), -1)
+    keys = keys.view("<u8").ravel() | shard
+    _, keys, n = _summed(np.zeros(len(n), np.uint8), keys, n)
+    needed = np.array(table.column("needed")[0].as_py())
+    frequent = keys[n >= needed[(keys & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.int64)]]
+    return pa.table({"key": frequent.astype(np.uint64).view(np.int64)})
 
 
 def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -206,13 +243,17 @@ def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
     share = F.expr(f"cast((cast(own as decimal(30, 0)) * {settings.support} + whole - 1) div whole as bigint)")
     total = sizes.agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
     words = words.select("language", "shard", "words").coalesce(max(-(-total // _TASK_WORDS), spark.sparkContext.defaultParallelism))
-    needs = stored(sizes.join(whole, "language").select("language", "shard", share.alias("needed")), "needs")
+    needs = sizes.join(whole, "language").select("language", "shard", share.alias("needed"))
+    by_shard = F.map_from_entries(F.collect_list(F.struct("shard", "needed")))
+    needs = needs.groupBy("language").agg(by_shard.alias("_by")).select("language", F.array(*[F.coalesce(F.try_element_at("_by", F.lit(i).cast("long")), F.lit(1).cast("long")) for i in range(1 << _SHARD_BITS)]).alias("needed"))
+    needs = stored(needs, "needs")
+    buckets = max(-(-total // _BUCKET_WORDS), 1)
+    kind = "bucket long, language long, keys binary, shards binary, counts binary"
     found, shared = [], None
     for length in range(1, settings.longest + 1):
-        each = words.mapInArrow(partial(_mine, length, shared), "language long, key long, n long")
-        counts = each.groupBy("language", "key").agg(F.sum("n").alias("n"))
-        frequent = counts.select("language", "key", "n", own).join(needs, ["language", "shard"]).where("n >= needed")
-        found.append(stored(frequent.select("key"), "frequent"))
+        each = words.mapInArrow(partial(_mine, length, buckets, shared), kind).join(needs, "language")
+        frequent = each.groupBy("bucket", "language").applyInArrow(_sum_bucket, "key long")
+        found.append(stored(frequent, "frequent"))
         if length < settings.longest:
             shared = spark.sparkContext.broadcast(bit_table(found[-1], in_shard, settings.most_bits))
     return reduce(DataFrame.unionByName, found)
