@@ -29,10 +29,10 @@ PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters of a text that are cut into words at a time, and of texts whose words are
 #: walked together.
-PIECE, GROUP = 1 << 20, 4 << 20
+PIECE, GROUP = 1 << 20, 1 << 20
 #: Bytes of the longest word whose ids are kept, and how many words and chunks a task keeps
 #: before it starts anew. They bound memory and change no result.
-TRIE_BYTES, TRIE_STATES = 64, 600_000
+TRIE_BYTES, TRIE_STATES = 64, 250_000
 #: Below this code point case, composition and classes are the same in all versions
 #: of Unicode in use here; other texts go through the tokenizer file's own steps.
 SETTLED = 0x530
