@@ -57,7 +57,7 @@ class Settings:
 
     support: int = 100
     longest: int = 5
-    shards: int = 4
+    shards: int = 3
     most_bits: int = MOST_BITS
 
 
