@@ -9,6 +9,7 @@ tokens of a word are read back from its end, last token by last token.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
 from collections.abc import Iterator, Sequence
@@ -16,6 +17,7 @@ from functools import partial
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -370,7 +372,7 @@ def load(spark: SparkSession, path: str):
 
 
 class _Batches:
-    """Encodes batches of texts; what words are encoded to goes with the task, the vocabulary stays."""
+    """Encodes batches of texts; vocabulary and what words are encoded to go with the task."""
 
     def __init__(self, shared, with_text: bool):
         self.encoder, self.with_text = _encoder(shared), with_text
@@ -381,7 +383,11 @@ class _Batches:
         return [[len(x) // 4 for x in packed], packed, *decoded]
 
     def close(self) -> None:
-        self.encoder.reset()
+        # the worker lives on and may run stages of other operators
+        self.encoder = None
+        _ENCODERS.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, vocabulary, text: str = "text", decoded: bool = False, drop: Sequence[str] = ()) -> DataFrame:
