@@ -25,7 +25,7 @@ def fit_huber(
     tolerance: float = 1e-9,
     history: list[LinearScorer] | None = None,
 ) -> LinearScorer:
-    """Least squares, reweighted until no weight changes by more than ``tolerance`` times the
+    """Least squares, reweighted until every weight changes by less than ``tolerance`` times the
     largest; rows with an error beyond the bend count by bend over error.
 
     A round is one pass: the sums of products of the features, weighted, are added up in
@@ -47,6 +47,6 @@ def fit_huber(
             history.append(model)
         if last is not None:
             now, before = ([*m.weights, m.intercept] for m in (model, last))
-            if max(abs(a - b) for a, b in zip(now, before)) <= tolerance * max(1.0, *map(abs, now)):
+            if max(abs(a - b) for a, b in zip(now, before)) < tolerance * max(1.0, *map(abs, now)):
                 break
     return model
