@@ -57,6 +57,8 @@ LABELERS = ["shape", "gazetteer", "context", "neighbour", "variety"]
 #: Code points before a span that count as its context, sums computed at a time,
 #: rounds of the two estimates, and the probability from which a span is kept.
 CONTEXT, RUN, EM_ROUNDS, FIT_ROUNDS, KEEP = 40, 256, 50, 400, 0.5
+#: Candidates have eleven code points or more, so a context reaches over four at most.
+REACH = 4
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -79,31 +81,52 @@ def running(lengths: Column) -> Column:
     return let(runs, place)
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """(``start``, ``end``, ``value``) of all matches from left to right, in code points.
+def _last(value: Column) -> Column:
+    return F.substring(value, -CONTEXT, CONTEXT)
 
-    What lies between matches has known lengths, and so have they: places are sums.
+
+def matches(text: Column, pattern: str, context: bool = False) -> Column:
+    """(``start``, ``end``, ``value``) of all matches from left to right, in code points,
+    with ``before``, the :data:`CONTEXT` code points in front, where it is asked for.
+
+    What lies between matches has known lengths, and so have they: places are sums. The
+    context is put together from the ends of the last gaps and matches, as cutting it out of
+    the text would count from its start for each match.
     """
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,value:string" + (",before:string>>" if context else ">>"))
 
     def placed(found: Column) -> Column:
-        gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
         steps = lambda gaps: F.transform(found, lambda v, i: F.get(gaps, i) + F.length(v))
 
-        def spans(gaps: Column) -> Column:
-            def one(starts: Column) -> Column:
+        def in_front(texts: Column) -> Column:
+            ends = F.transform(found, lambda v, i: _last(F.concat(_last(F.get(texts, i)), v)))
+
+            def one(ends: Column) -> Column:
+                near = lambda i: F.slice(ends, F.greatest(i - REACH + 1, F.lit(1)), F.least(i, F.lit(REACH)))
+                return F.transform(found, lambda v, i: _last(F.concat(F.array_join(near(i), ""), _last(F.get(texts, i)))))
+
+            return let(ends, one)
+
+        def spans(texts: Column) -> Column:
+            gaps = F.transform(texts, lambda g: F.length(g))
+
+            def one(gaps: Column, starts: Column, before: Column | None) -> Column:
                 return F.transform(
                     found,
                     lambda v, i: F.struct(
                         (F.get(starts, i) + F.get(gaps, i)).alias("start"),
                         (F.get(starts, i) + F.get(gaps, i) + F.length(v)).alias("end"),
                         v.alias("value"),
+                        *([] if before is None else [F.get(before, i).alias("before")]),
                     ),
                 )
 
-            return let(let(steps(gaps), running), one)
+            def at(before: Column | None) -> Column:
+                return let(gaps, lambda g: let(let(steps(g), running), lambda starts: one(g, starts, before)))
+
+            return let(in_front(texts), at) if context else at(None)
 
-        return F.when(F.size(found) > 0, let(gaps, spans)).otherwise(none)
+        return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), spans)).otherwise(none)
 
     return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
@@ -195,27 +218,38 @@ def votes(kind: str, value: Column, before: Column) -> list[Column]:
     return [shape, gazetteer, context, neighbour, variety]
 
 
+def _overlaps(spans: Column, m: Column) -> Column:
+    """Whether one of the spans, which ascend and don't overlap each other, overlaps ``m``. Jumps
+    of halving length count those that end before it; only the next one can reach it."""
+    jumps = F.filter(F.array(*[F.lit(1 << i) for i in reversed(range(29))]), lambda j: j <= F.size(spans))
+    ends_before = lambda n: F.coalesce(F.get(spans, n - 1)["end"] <= m["start"], F.lit(False))
+    passed = F.aggregate(jumps, F.lit(0), lambda n, j: F.when(ends_before(n + j), n + j).otherwise(n))
+    return F.coalesce(F.get(spans, passed)["start"] < m["end"], F.lit(False))
+
+
 def candidates(text: Column, base: Column) -> Column:
     """``kind``, ``start``, ``end``, ``wide`` (longer than 20) and ``votes`` of the
-    candidates that no base span overlaps."""
+    candidates that no base span overlaps. Candidates of different kinds may overlap
+    each other. The time grows with the text and the logarithm of its base spans."""
     none = F.array().cast("array<struct<kind:int,start:int,end:int,wide:int,votes:array<int>>>")
 
-    def of(kind: str, pattern: str) -> Column:
+    def of(kind: str, pattern: str, by_kind: Column) -> Column:
         def judged(m: Column) -> Column:
-            before = F.substring(text, F.greatest(m["start"] - CONTEXT + 1, F.lit(1)), F.least(m["start"], F.lit(CONTEXT)))
-            cast = F.array(*[v.cast("int") for v in votes(kind, m["value"], before)])
+            cast = F.array(*[v.cast("int") for v in votes(kind, m["value"], m["before"])])
             wide = (m["end"] - m["start"] > 20).cast("int")
             return F.struct(F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), wide.alias("wide"), cast.alias("votes"))
 
-        free = F.filter(matches(text, pattern), lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+        free = F.filter(matches(text, pattern, context=True), lambda m: ~F.exists(by_kind, lambda spans: _overlaps(spans, m)))
         return F.when(text.rlike(pattern), F.transform(free, judged)).otherwise(none)
 
-    return F.concat(*[of(kind, pattern) for kind, pattern in CANDIDATES.items()])
+    by_kind = F.transform(F.array(*[F.lit(k) for k in range(len(BASE))]), lambda k: F.filter(base, lambda b: b["kind"] == k))
+    return let(by_kind, lambda kinds: F.concat(*[of(kind, pattern, kinds) for kind, pattern in CANDIDATES.items()]))
 
 
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """``_doc`` (all columns but the text), ``_base`` and ``_candidates``: small rows, to be
-    stored. A null text is an empty one; neither has a span. Each row is read alone."""
+    stored. A null text is an empty one; neither has a span. Each row is read alone, so repeated
+    rows have equal spans; an empty table gives an empty one. Long texts are read whole."""
     own = F.coalesce(F.col(text), F.lit(""))
     read = docs.select(boxed(docs.drop(text)).alias("_doc"), own.alias("_own"))
     based = read.withColumn("_base", base_spans(F.col("_own")))
