@@ -199,30 +199,49 @@ def _mine(length: int, buckets: int, shared, batches: Iterator[pa.RecordBatch])
         yield _packed(held, buckets)
 
 
+def _bytes(numbers: np.ndarray, width: int) -> np.ndarray:
+    """The ``width`` lowest bytes of each number, the lowest first."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _numbers(planes: bytes, width: int) -> np.ndarray:
+    """The numbers of which ``planes`` holds all lowest bytes, then all next ones, and so on."""
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return out.view("<u8").ravel()
+
+
 def _packed(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
-    """A row for each bucket and language: the bytes of the keys that are a hash, their shards
-    and counts, each packed; a row for each key would take twice the room."""
+    """A row for each bucket and language, with its keys by shard and hash: the hashes as
+    steps from one to the next, their shards and counts.
+
+    A bucket is a range of hashes, so a step is about the range of all hashes over the keys held,
+    however many buckets there are. Bytes of one place stand together: the high ones of
+    steps and counts are nearly all zero, shards are runs, and the shuffle compresses both.
+    """
     language, keys, n = _summed(*(np.concatenate(x) for x in zip(*held)))
     names, number = np.unique(language, return_inverse=True)
-    cell = ((keys >> np.uint64(64 - _KEY_BITS)) % np.uint64(buckets)).astype(np.int64) * len(names) + number
-    order = np.argsort(cell, kind="stable")
-    cell, keys, n = cell[order], keys[order].astype("<u8"), n[order].astype("<i4")
-    hashed = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, 8 - _KEY_BITS // 8 :])
-    shard = (keys & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.uint8)
+    hashed, shard = keys >> np.uint64(64 - _KEY_BITS), (keys & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.int64)
+    cell = (hashed * np.uint64(buckets) >> np.uint64(_KEY_BITS)).astype(np.int64) * len(names) + number
+    order = np.argsort(cell << _SHARD_BITS | shard, kind="stable")
+    cell, hashed, shard, n = cell[order], hashed[order], shard[order].astype(np.uint8), n[order]
     cuts = np.flatnonzero(np.diff(cell, prepend=-1))
+    steps = np.diff(hashed, prepend=np.uint64(0))
+    steps[cuts] = hashed[cuts]
     spans = list(zip(cuts, np.append(cuts[1:], len(cell))))
-    packed = [pa.array([x[a:b].tobytes() for a, b in spans], pa.binary()) for x in (hashed, shard, n)]
-    columns = [pa.array(cell[cuts] // len(names)), pa.array(names[cell[cuts] % len(names)].view(np.int64)), *packed]
+    columns = [pa.array(cell[cuts] // len(names)), pa.array(names[cell[cuts] % len(names)].view(np.int64))]
+    for x in (_bytes(steps, _KEY_BITS // 8), shard, _bytes(n, 4)):
+        columns.append(pa.array([x[a:b].T.tobytes() for a, b in spans], pa.binary()))
     return pa.RecordBatch.from_arrays(columns, names=["bucket", "language", "keys", "shards", "counts"])
 
 
 def _sum_bucket(table: pa.Table) -> pa.Table:
     """The keys of a bucket and language that are frequent in their shard."""
-    whole = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    shard, n = whole("shards", np.uint8), whole("counts", "<i4").astype(np.int64)
-    keys = np.zeros((len(n), 8), np.uint8)
-    keys[:, 8 - _KEY_BITS // 8 :] = whole("keys", np.uint8).reshape(len(n), -1)
-    keys = keys.view("<u8").ravel() | shard
+    steps, shards, counts = (table.column(c).to_pylist() for c in ("keys", "shards", "counts"))
+    # sums and steps are modulo the range of hashes: a step back to the next shard's first is one forward
+    hashed = np.concatenate([np.cumsum(_numbers(s, _KEY_BITS // 8)) for s in steps])
+    n = np.concatenate([_numbers(c, 4) for c in counts]).astype(np.int64)
+    keys = hashed << np.uint64(64 - _KEY_BITS) | np.frombuffer(b"".join(shards), np.uint8)
     _, keys, n = _summed(np.zeros(len(n), np.uint8), keys, n)
     needed = np.array(table.column("needed")[0].as_py())
     frequent = keys[n >= needed[(keys & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.int64)]]
