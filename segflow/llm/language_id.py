@@ -172,8 +172,9 @@ def _margins_of(shared, code_row: dict[str, int]) -> Callable:
     return work
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """A model of all non-null languages of ``docs``.
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
+    """A model of the non-null languages of ``docs``; beyond ``languages`` of them, of those with
+    the most rows, ties to the smaller name.
 
     About ``sample`` texts of each language, chosen by a hash of the text, are read;
     equal texts count once. What comes to the driver is one number for each language
@@ -182,30 +183,29 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = S
     spark = docs.sparkSession
     ship(spark)
     rows = docs.where(F.col(lang).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    found = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
-    if len(found) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
+    found = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
     if not found:
         return Model([], np.ones((0, 1), np.int8), np.zeros((BUCKETS, 1)), np.ones(1), np.zeros(1), np.ones((0, 1)))
     place = F.xxhash64(F.lit("fit"), "text") / F.lit(2.0**64) + 0.5
+    # a language that is not learned has no bound, and no row of it is chosen
     bound = F.create_map(*[x for lang_, n in found.items() for x in (F.lit(lang_), F.lit(sample / n))])
     chosen = rows.where(place < F.element_at(bound, F.col("lang"))).withColumn("_hash", F.xxhash64("text")).dropDuplicates(["lang", "_hash"]).select("lang", "text")
     shares = chosen.mapInArrow(_count_grams, "lang string, bucket int, share double").groupBy("lang", "bucket").agg(F.sum("share").alias("share"))
-    languages = sorted(found)
-    number = {x: i for i, x in enumerate(languages)}
-    sums = np.zeros((len(languages), BUCKETS))
+    learned = sorted(found)
+    number = {x: i for i, x in enumerate(learned)}
+    sums = np.zeros((len(learned), BUCKETS))
     for r in shares.collect():
         sums[number[r["lang"]], r["bucket"]] = round(r["share"], 9)  # the order of adding leaves no trace
     texts = np.maximum(sums.sum(axis=1, keepdims=True), 1e-9)
     # smoothing as if each language had further text spread over all buckets
     likely = (sums / texts * BUCKETS + SMOOTH) / (BUCKETS * (1 + SMOOTH))
-    code = codewords(len(languages))
+    code = codewords(len(learned))
     weights = np.zeros((BUCKETS, code.shape[1]))
     for b in range(code.shape[1]):
         ones, zeros = likely[code[:, b] > 0], likely[code[:, b] < 0]
         if len(ones) and len(zeros):
             weights[:, b] = np.log(ones.mean(axis=0)) - np.log(zeros.mean(axis=0))
-    model = Model(languages, code, weights, np.ones(code.shape[1]), np.zeros(code.shape[1]), np.ones(code.shape))
+    model = Model(learned, code, weights, np.ones(code.shape[1]), np.zeros(code.shape[1]), np.ones(code.shape))
     return _calibrated(chosen, model, number)
 
 

@@ -26,8 +26,6 @@ from segflow.session import stored
 BITS, SEGMENT, COUNT = 64, 4, 3
 #: Bytes of a text that are cut into words at a time.
 PIECE = 1 << 20
-#: Rounds after which joining components gives up; each at least halves the longest path.
-ROUNDS = 64
 
 
 # ---- fingerprints -----------------------------------------------------------
@@ -142,11 +140,11 @@ def components(pairs: DataFrame, left: str = "a", right: str = "b") -> DataFrame
     """(``node``, ``root``) for every node of ``pairs``: the smallest node reachable.
 
     Each round links all larger neighbours of a node to its smallest one, then all
-    smaller ones, until nothing changes. Rounds are written to the shared folder, so
+    smaller ones, until nothing changes, which takes few rounds even on long chains. Rounds are written to the shared folder, so
     a lost executor costs one round. Neighbourhoods are aggregated, not collected.
     """
     edges = stored(pairs.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u != v").distinct(), "edges")
-    for _ in range(ROUNDS):
+    while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
@@ -158,8 +156,6 @@ def components(pairs: DataFrame, left: str = "a", right: str = "b") -> DataFrame
         edges = after
         if same:
             break
-    else:
-        raise RuntimeError("components did not settle")
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.union(edges.select(F.col("v"), F.col("v")).distinct())
 

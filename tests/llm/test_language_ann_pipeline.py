@@ -70,6 +70,15 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_most_languages_is_a_parameter(spark):
+    rows = [(f"{word} {i}", lang) for lang, word, n in [("a", "alpha", 3), ("b", "beta", 5), ("c", "gamma", 3), ("d", "delta", 1)] for i in range(n)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert language_id.fit(docs).languages == ["a", "b", "c", "d"]
+    model = language_id.fit(docs, languages=2)
+    assert model.languages == ["a", "b"]
+    assert {r.lang_pred for r in language_id.predict(docs, model).collect()} <= {"a", "b"}
+
+
 def test_awkward_languages(spark):
     docs = documents(spark)
     model = language_id.fit(docs.where(language_id.learns(F.col("doc_id"))))
