@@ -4,7 +4,8 @@ A bounded sample gives a neighbour graph, which is cut into parts of equal size
 edges between them. Two small classifiers learn the parts: one places every row, the
 other tells in which parts the neighbours of a query lie. A query is compared, exactly,
 with all rows of its most probable parts. How many parts that takes is measured on the
-sample. Parts are cut into blocks, so no task holds a whole part.
+sample. Parts are cut into blocks, so no task holds a whole part, and their number grows with
+the table. Rows meet only lots of queries that ask for their part.
 """
 
 from __future__ import annotations
@@ -25,21 +26,28 @@ from segflow.session import ship, stored
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample``: vectors, on average, that the index is fitted on; ``checks`` of them
-    measure recall. ``graph``: neighbours in the graph. ``recall``: share of sample
-    neighbours that the routed parts must hold. ``block``, ``query_block``: rows that are
-    compared at a time. ``rounds``: steps of cutting and of learning."""
+    """``parts``: of the index, at least; one for every ``part_rows`` rows beyond, as long as
+    the sample has 32 vectors for each. ``sample``: vectors, on average, that the index is
+    fitted on; ``checks`` of them measure recall. ``graph``: neighbours in the graph.
+    ``recall``: share of sample neighbours that the routed parts must hold. ``block``,
+    ``query_block``: rows and queries that meet in a task. ``rounds``: steps of cutting and
+    of learning."""
 
     parts: int = 16
+    part_rows: int = 65536
     sample: int = 8192
     checks: int = 512
     graph: int = 10
     recall: float = 0.95
-    block: int = 4096
-    query_block: int = 1024
+    block: int = 16384
+    query_block: int = 8192
     rounds: int = 150
 
 
+#: Scores that a task holds at a time.
+SCORES = 1 << 22
+
+
 # ---- vectors ----------------------------------------------------------------
 
 
@@ -161,7 +169,7 @@ def fit(rows: DataFrame, settings: Settings) -> Index:
     place = F.col("_hash") / F.lit(2.0**64) + 0.5
     chosen = dealt.where(place < settings.sample / max(number, 1)).groupBy("_hash").agg(F.first("vector").alias("vector")).orderBy("_hash").collect()
     vectors = np.array([r["vector"] for r in chosen], np.float64)
-    parts = max(1, min(settings.parts, len(vectors) // 32))
+    parts = max(1, min(max(settings.parts, number // settings.part_rows), len(vectors) // 32))
     if parts == 1:
         width = vectors.shape[1] if len(vectors) else len((rows.select("vector").first() or [[]])[0])
         return Index(np.zeros((width + 2, 1)), np.zeros((width + 1, 1)), 1.0, 1)
@@ -226,11 +234,13 @@ def _best(k: int, left: pa.Table, right: pa.Table) -> pa.Table:
     ids, queries, scores, ranks = left.column("vec_id").to_numpy(), right.column("query_id").to_numpy(), [], []
     if len(ids) and len(queries):
         rows, wanted = _matrix(left.column("vector")), _matrix(right.column("vector"))
-        rough = wanted @ rows.T
+        step = max(1, SCORES // len(ids))
         for i, q in enumerate(queries):
+            if i % step == 0:
+                rough = wanted[i : i + step] @ rows.T
             other = ids != q
             at = np.flatnonzero(other)
-            values = rough[i][other]
+            values = rough[i % step][other]
             if len(at) > k:
                 # all that may be among the best, then the exact measure, row by row
                 edge = np.partition(values, len(values) - k)[len(values) - k]
@@ -262,21 +272,21 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, settings: Settings
     rows = rows.where(F.col("_width") == (widths["_width"] if widths else 0)).drop("_width")
     shared = spark.sparkContext.broadcast(fit(rows, settings))
     placed = stored(with_python(rows, ["vector"], [T.StructField("part", T.LongType())], partial(_placer, shared)), "placed")
-    sizes = {r["part"]: (r["n"], r["q"]) for r in placed.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.col("_asks").cast("int")).alias("q")).collect()}
-    parts = shared.value.items.shape[1]
-    counts = [sizes.get(p, (0, 0))[0] for p in range(parts)]
-    total = sum(q for _, q in sizes.values())
+    sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    counts = [sizes.get(p, 0) for p in range(shared.value.items.shape[1])]
     asking = placed.where("_asks").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
-    routed = with_python(asking, ["vector"], [T.StructField("_parts", T.ArrayType(T.LongType()))], partial(_router, shared, counts, k))
-    # blocks: every block of a part's rows meets every block of the part's queries
-    blocks = F.array(*[F.lit(max(1, -(-c // settings.block))) for c in counts])
-    lots = max(1, -(-total // settings.query_block))
-    of = routed.withColumn("part", F.explode("_parts")).drop("_parts").withColumn("_lot", F.pmod(F.xxhash64(F.lit("lot"), "query_id"), F.lit(lots)))
-    of = of.withColumn("_block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("part").cast("int")) - 1)))
-    rows = placed.select("vec_id", "vector", "part").withColumn("_block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.get(blocks, F.col("part").cast("int"))).cast("int"))
-    rows = rows.withColumn("_lot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long"))))
+    routed = stored(with_python(asking, ["vector"], [T.StructField("_parts", T.ArrayType(T.LongType()))], partial(_router, shared, counts, k)), "routed")
+    asked = {r["part"]: r["n"] for r in routed.select(F.explode("_parts").alias("part")).groupBy("part").agg(F.count("*").alias("n")).collect()}
+    # every block of a part's rows meets every lot of the queries that ask for the part
+    number_of = lambda some: F.get(F.array(*[F.lit(n) for n in some]), F.col("part").cast("int"))
+    blocks, lots = number_of([max(1, -(-c // settings.block)) for c in counts]), number_of([-(-asked.get(p, 0) // settings.query_block) for p in range(len(counts))])
+    dealt = lambda name, key, among: F.pmod(F.xxhash64(F.lit(name), key), among).cast("int")
+    numbers = lambda n: F.sequence(F.lit(0), n - 1)
+    of = routed.withColumn("part", F.explode("_parts")).drop("_parts").withColumn("_lot", dealt("lot", "query_id", lots))
+    of = of.withColumn("_block", F.explode(numbers(blocks)))
+    rows = placed.select("vec_id", "vector", "part").where(lots > 0).withColumn("_block", dealt("block", "vec_id", blocks))
+    rows = rows.withColumn("_lot", F.explode(numbers(lots)))
     cell = ["part", "_block", "_lot"]
-    # several times the cells' number of tasks keeps cells that share a task few
     met = rows.groupBy(*cell).cogroup(of.groupBy(*cell)).applyInArrow(partial(_best, k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +140,43 @@ def test_awkward_vectors(spark):
     assert ann.search(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def clustered(spark, n):
+    """Rows around 128 centres."""
+    random = np.random.default_rng(3)
+    centres = random.normal(size=(128, 12))
+    vectors = centres[np.arange(n) % 128] + 0.05 * random.normal(size=(n, 12))
+    return spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>"), vectors
+
+
+def test_parts_grow_with_the_table(spark):
+    settings = ann.Settings(parts=8, part_rows=250, sample=6000, rounds=300)
+    read = []
+    for n in (2_000, 8_000):
+        frame, vectors = clustered(spark, n)
+        index = ann.fit(frame.select(F.col("embedding").alias("vector")), settings)
+        assert index.items.shape[1] == max(8, n // 250)
+        read.append(n * index.probes / index.items.shape[1])
+    # four times the rows, but a query reads about as many
+    assert read[1] <= 2 * read[0] and read[1] <= 0.3 * 8_000
+    found = {}
+    for r in ann.search(frame, F.col("vec_id") % 20 == 0, settings=settings).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(found) == set(range(0, 8_000, 20))
+    ids = np.arange(8_000)
+    hits = sum(len(found[q] & {v for v, _ in plain_nearest(ids, vectors, q, 20)}) for q in found)
+    assert hits >= 0.9 * 20 * len(found)
+
+
+def test_scores_of_few_queries_at_a_time(monkeypatch):
+    random = np.random.default_rng(4)
+    vectors = random.normal(size=(60, 5))
+    left = pa.table({"vec_id": np.arange(60), "vector": list(vectors)})
+    right = pa.table({"query_id": np.arange(0, 60, 4), "vector": list(vectors[::4])})
+    whole = ann._best(7, left, right)
+    monkeypatch.setattr(ann, "SCORES", 130)
+    assert ann._best(7, left, right).equals(whole) and whole.num_rows == 15 * 7
+
+
 def test_blocks_change_nothing(spark):
     random = np.random.default_rng(2)
     rows = [(i, [float(x) for x in random.normal(size=8)]) for i in range(400)] + [(1000 + i, [0.5] * 8) for i in range(200)]
