@@ -5,7 +5,10 @@ patterns. Further candidates (written-out addresses, national phone numbers, soc
 security numbers, bank accounts, credentials) are judged: labelers that look at the
 shape, at gazetteers and at the words before vote for, against or not at all;
 expectation-maximisation over the counts of vote patterns estimates how reliable each
-labeler is; its posteriors train a logistic span classifier, which decides.
+labeler is; its posteriors train a logistic span classifier, which decides. Candidates are
+taken widely: bare digits in the form of a number or an address in plain words are
+candidates too, and it takes an announcing word to keep them. The classifier sees the
+votes and traits of the span that no labeler uses.
 
 The tables of vote patterns have a fixed number of possible rows, so only they come
 to the driver, whatever the data. All else runs in Spark expressions.
@@ -13,6 +16,7 @@ to the driver, whatever the data. All else runs in Spark expressions.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -36,9 +40,9 @@ BASE = {
 _SIGN = {"email": "@", "phone": "+"}
 #: Patterns of further candidates.
 CANDIDATES = {
-    "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]{{1,63}}(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{{1,63}}){{1,8}}",
-    "phone": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "email": rf"(?<!{_LOCAL}){_LOCAL}{{1,64}}(?:\x20?[\[(]at[\])]\x20?|\x20at\x20)[A-Za-z0-9-]{{1,63}}(?:(?:\x20?[\[(]dot[\])]\x20?|\x20dot\x20)[A-Za-z0-9-]{{1,63}}){{1,8}}",
+    "phone": r"(?<![0-9+(.-])(?:\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}|[0-9]{10})(?![0-9])",
+    "ssn": r"(?<![0-9-])(?:[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}\x20[0-9]{2}\x20[0-9]{4})(?![0-9-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "secret": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|token|secret|api[_-]?key)\x20?[=:]\x20?[\"']?[A-Za-z0-9/+_.-]{8,200}",
 }
@@ -54,10 +58,17 @@ CUES = {
     "secret": "login|user|credential|key|auth",
 }
 LABELERS = ["shape", "gazetteer", "context", "neighbour", "variety"]
+#: Candidates without the marks of their kind: plain words, bare digits, blanks for dashes.
+LOOSE = {"email": r"\x20(?:at|dot)\x20", "phone": "^[0-9]{10}$", "ssn": r"\x20"}
+#: Traits of a span, with the number of values of each: length, lack of the marks of its
+#: kind, share of digits, word before.
+WORDS = 8
+TRAITS = {"wide": 2, "loose": 2, "digits": 3, "word": WORDS}
 #: Code points before a span that count as its context, sums computed at a time,
 #: rounds of the two estimates, and the probability from which a span is kept.
 CONTEXT, RUN, EM_ROUNDS, FIT_ROUNDS, KEEP = 40, 256, 50, 400, 0.5
-#: Candidates have eleven code points or more, so a context reaches over four at most.
+#: Candidates of a kind have ten code points or more and do not touch, so a context reaches over
+#: four at most; where those of ten touch others, the gaps between make up for it.
 REACH = 4
 
 
@@ -193,9 +204,17 @@ def _iban_holds(value: Column) -> Column:
     return let(let(plain, lambda p: F.concat(F.substring(p, F.lit(5), F.length(p)), F.substring(p, 1, 4))), rest)
 
 
+def _loose(kind: str, value: Column) -> Column:
+    return value.rlike(LOOSE[kind]) if kind in LOOSE else F.lit(False)
+
+
 def votes(kind: str, value: Column, before: Column) -> list[Column]:
-    """One vote (1, -1 or 0) of each labeler on a candidate."""
+    """One vote (1, -1 or 0) of each labeler on a candidate. On a loose one shape and
+    gazetteer, which judge little more than its digits, do not vote, and context does
+    either way."""
     number = digits(value)
+    loose = _loose(kind, value)
+    strict = lambda vote: F.when(loose, 0).otherwise(vote)
     shape = {
         "email": lambda: _vote(value.rlike(r"[A-Za-z]{2,24}$"), ~value.rlike(r"[A-Za-z]{2,24}$")),
         "phone": lambda: _vote(number.rlike("^[2-9][0-9]{2}[2-9]"), ~number.rlike("^[2-9][0-9]{2}[2-9]")),
@@ -210,12 +229,23 @@ def votes(kind: str, value: Column, before: Column) -> list[Column]:
         "iban": lambda: _vote(value.rlike(f"^(?:{COUNTRIES})"), ~value.rlike(f"^(?:{COUNTRIES})")),
         "secret": lambda: _vote(value.rlike("(?i)^(?:password|passwd|token|secret)")),
     }[kind]()
-    context = _vote(before.rlike(f"(?i)(?:{CUES[kind]})"))
+    cue = before.rlike(f"(?i)(?:{CUES[kind]})")
+    context = _vote(cue, loose)
     neighbour = _vote(F.lit(False), before.rlike(r"[$€£#§№=/]\s?$"))
     changing = number if kind in ("phone", "ssn", "iban") else F.regexp_replace(value, r"^.*[=:]", "")
     kinds_of = F.size(F.array_distinct(F.split(changing, "")))
-    variety = _vote(kinds_of >= 4, kinds_of < 3)
-    return [shape, gazetteer, context, neighbour, variety]
+    variety = _vote(F.lit(False), kinds_of < 3)
+    return [strict(shape), strict(gazetteer), context, neighbour, variety]
+
+
+def traits(kind: str, value: Column, before: Column) -> list[Column]:
+    """The value of each of :data:`TRAITS`: longer than 20; loose; under a third, under two
+    thirds or more of it digits; a hash of the last word before, 0 if there is none."""
+    length = F.length(value)
+    share = F.least(F.floor(F.lit(3) * F.length(digits(value)) / length), F.lit(2))
+    word = F.lower(F.regexp_extract(before, r"([A-Za-z]+)[^A-Za-z]*$", 1))
+    hashed = F.when(word == "", 0).otherwise(1 + F.pmod(F.xxhash64(word), F.lit(WORDS - 1)))
+    return [length > 20, _loose(kind, value), share, hashed]
 
 
 def _overlaps(spans: Column, m: Column) -> Column:
@@ -228,16 +258,16 @@ def _overlaps(spans: Column, m: Column) -> Column:
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """``kind``, ``start``, ``end``, ``wide`` (longer than 20) and ``votes`` of the
+    """``kind``, ``start``, ``end``, ``traits`` and ``votes`` of the
     candidates that no base span overlaps. Candidates of different kinds may overlap
     each other. The time grows with the text and the logarithm of its base spans."""
-    none = F.array().cast("array<struct<kind:int,start:int,end:int,wide:int,votes:array<int>>>")
+    none = F.array().cast("array<struct<kind:int,start:int,end:int,traits:array<int>,votes:array<int>>>")
 
     def of(kind: str, pattern: str, by_kind: Column) -> Column:
         def judged(m: Column) -> Column:
             cast = F.array(*[v.cast("int") for v in votes(kind, m["value"], m["before"])])
-            wide = (m["end"] - m["start"] > 20).cast("int")
-            return F.struct(F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), wide.alias("wide"), cast.alias("votes"))
+            own = F.array(*[x.cast("int") for x in traits(kind, m["value"], m["before"])])
+            return F.struct(F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), own.alias("traits"), cast.alias("votes"))
 
         free = F.filter(matches(text, pattern, context=True), lambda m: ~F.exists(by_kind, lambda spans: _overlaps(spans, m)))
         return F.when(text.rlike(pattern), F.transform(free, judged)).otherwise(none)
@@ -259,72 +289,75 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
 # ---- reliabilities and classifier -------------------------------------------
 
 
+#: Votes, traits and how many candidates have them.
+Pattern = tuple[tuple[int, ...], tuple[int, ...], int]
+
+
 @dataclass
 class Model:
     """``weights[kind]``: the intercept, then for each labeler the weight of the votes
-    -1, 0, 1, then that of a wide span. ``reliability[kind][labeler]``: estimated share of
-    right votes among those cast."""
+    -1, 0, 1, then for each trait that of each value. ``reliability[kind][labeler]``:
+    estimated share of right votes among those cast."""
 
     weights: dict[int, list[float]]
     reliability: dict[int, list[float]]
 
 
-def _estimate(rows: list[tuple[tuple[int, ...], int, int]]) -> tuple[dict[tuple[int, ...], float], list[float]]:
-    """Expectation-maximisation over (votes, wide, count): posteriors by vote pattern
-    and reliabilities. Starts from the sign of the summed votes."""
+def _estimate(rows: list[Pattern]) -> tuple[dict[tuple[int, ...], float], list[float]]:
+    """Expectation-maximisation over the counts of votes: posteriors by vote pattern
+    and reliabilities, the share of a labeler's votes that are right; one that does not vote
+    says nothing. No labeler is taken to err more often than not and both classes are as
+    likely beforehand, so that they neither change names nor run dry. Starts from the sign of the summed votes."""
     patterns: dict[tuple[int, ...], float] = {}
     for cast, _, n in rows:
         patterns[cast] = patterns.get(cast, 0) + n
     post = {p: 0.9 if sum(p) > 0 else 0.1 if sum(p) < 0 else 0.5 for p in patterns}
-    likely: list[list[dict[int, float]]] = []
+    right: list[float] = []
     for _ in range(EM_ROUNDS):
-        mass = [sum(n * (1 - post[p]) for p, n in patterns.items()) + 1, sum(n * post[p] for p, n in patterns.items()) + 1]
-        likely = []
-        for j in range(len(LABELERS)):
-            # one pseudo-vote for the expected side keeps the two classes from changing names
-            of = [{-1: 2.0, 0: 2.0, 1: 1.0}, {-1: 1.0, 0: 2.0, 1: 2.0}]
-            for p, n in patterns.items():
-                of[0][p[j]] += n * (1 - post[p])
-                of[1][p[j]] += n * post[p]
-            likely.append([{v: x / sum(d.values()) for v, x in d.items()} for d in of])
+        right = []
+        for j in range(len(next(iter(patterns)))):
+            good = sum(n * (post[p] if p[j] > 0 else 1 - post[p]) for p, n in patterns.items() if p[j])
+            cast = sum(n for p, n in patterns.items() if p[j])
+            # as if it had voted an eighth more often, three times in four rightly
+            right.append(max((good + 0.75 * (cast / 8 + 1)) / (cast + cast / 8 + 1), 0.5))
         for p in patterns:
-            logs = [math.log(mass[c]) + sum(math.log(likely[j][c][v]) for j, v in enumerate(p)) for c in (0, 1)]
-            post[p] = 1 / (1 + math.exp(min(700.0, logs[0] - logs[1])))
-    right = []
-    for j in range(len(LABELERS)):
-        good = sum(n * (post[p] if p[j] > 0 else 1 - post[p]) for p, n in patterns.items() if p[j])
-        cast = sum(n for p, n in patterns.items() if p[j])
-        right.append(good / cast if cast else 0.5)
+            odds = sum(v * math.log(r / (1 - r)) for v, r in zip(p, right))
+            post[p] = 1 / (1 + math.exp(-max(-700.0, min(700.0, odds))))
     return post, right
 
 
-def _features(cast: tuple[int, ...], wide: int) -> list[int]:
+#: Place of the first weight of each trait; the last one is the number of weights.
+_FIRST = list(itertools.accumulate([1 + 3 * len(LABELERS), *TRAITS.values()]))
+
+
+def _features(cast: tuple[int, ...], own: tuple[int, ...]) -> list[int]:
     """Places of a candidate's features in the list of weights."""
-    return [0, *[1 + 3 * j + v + 1 for j, v in enumerate(cast)], *([1 + 3 * len(LABELERS)] if wide else [])]
+    return [0, *[1 + 3 * j + v + 1 for j, v in enumerate(cast)], *[first + v for first, v in zip(_FIRST, own)]]
 
 
-def _train(rows: list[tuple[tuple[int, ...], int, int]], post: dict[tuple[int, ...], float]) -> list[float]:
+def _train(rows: list[Pattern], post: dict[tuple[int, ...], float]) -> list[float]:
     """Logistic weights for the posteriors as soft targets, by gradient descent."""
-    weights, total = [0.0] * (2 + 3 * len(LABELERS)), sum(n for *_, n in rows)
+    weights, total = [0.0] * _FIRST[-1], sum(n for *_, n in rows)
+    each = [(_features(cast, own), post[cast], n / total) for cast, own, n in rows]
     for _ in range(FIT_ROUNDS):
         slope = [1e-4 * w for w in weights]
-        for cast, wide, n in rows:
-            at = _features(cast, wide)
+        for at, target, share in each:
             guess = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(weights[i] for i in at)))))
             for i in at:
-                slope[i] += n / total * (guess - post[cast])
-        weights = [w - s for w, s in zip(weights, slope)]
+                slope[i] += share * (guess - target)
+        # ten features at most: a longer step would swing
+        weights = [w - s / 2 for w, s in zip(weights, slope)]
     return weights
 
 
 def fit(found: DataFrame) -> Model:
-    """Estimate from all candidates of a table made by :func:`find`. Vote patterns are
-    counted in Spark; a kind has at most 486 of them."""
+    """Estimate from all candidates of a table made by :func:`find`. Patterns of votes and
+    traits are counted in Spark; a kind has at most 243 x 96 of them."""
     each = found.select(F.explode("_candidates").alias("c")).select("c.*")
-    rows = each.groupBy("kind", "votes", "wide").agg(F.count("*").alias("n")).orderBy("kind", "votes", "wide").collect()
+    rows = each.groupBy("kind", "votes", "traits").agg(F.count("*").alias("n")).orderBy("kind", "votes", "traits").collect()
     by_kind: dict[int, list] = {}
     for r in rows:
-        by_kind.setdefault(r["kind"], []).append((tuple(r["votes"]), r["wide"], r["n"]))
+        by_kind.setdefault(r["kind"], []).append((tuple(r["votes"]), tuple(r["traits"]), r["n"]))
     model = Model({}, {})
     for kind, seen in by_kind.items():
         post, model.reliability[kind] = _estimate(seen)
@@ -332,13 +365,16 @@ def fit(found: DataFrame) -> Model:
     return model
 
 
-def probability(model: Model, kind: Column, cast: Column, wide: Column) -> Column:
+def probability(model: Model, kind: Column, cast: Column, own: Column) -> Column:
     """The classifier as an expression; a kind that was not seen has probability 0."""
     out = None
     for number, weights in model.weights.items():
-        score = F.lit(weights[0]) + wide * weights[-1]
+        weigh = lambda some, at: F.element_at(F.array(*[F.lit(w) for w in some]), at)
+        score = F.lit(weights[0])
         for j in range(len(LABELERS)):
-            score = score + F.element_at(F.array(*[F.lit(w) for w in weights[1 + 3 * j : 4 + 3 * j]]), F.get(cast, F.lit(j)) + 2)
+            score = score + weigh(weights[1 + 3 * j : 4 + 3 * j], F.get(cast, F.lit(j)) + 2)
+        for j, (first, until) in enumerate(itertools.pairwise(_FIRST)):
+            score = score + weigh(weights[first:until], F.get(own, F.lit(j)) + 1)
         out = F.when(kind == number, score) if out is None else out.when(kind == number, score)
     return F.lit(0.0) if out is None else F.coalesce(1 / (1 + F.exp(-out)), F.lit(0.0))
 
@@ -346,7 +382,7 @@ def probability(model: Model, kind: Column, cast: Column, wide: Column) -> Colum
 def decide(found: DataFrame, model: Model) -> DataFrame:
     """The columns of the documents but the text, ``base`` and ``spans`` (``kind``, ``start``, ``end``; by kind, then start), the
     latter with the candidates that the classifier keeps."""
-    kept = F.filter("_candidates", lambda c: probability(model, c["kind"], c["votes"], c["wide"]) >= KEEP)
+    kept = F.filter("_candidates", lambda c: probability(model, c["kind"], c["votes"], c["traits"]) >= KEEP)
     added = F.transform(kept, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     columns = found.schema["_doc"].dataType.names
     both = found.withColumns({"base": F.array_sort("_base"), "spans": F.array_sort(F.concat("_base", added))})

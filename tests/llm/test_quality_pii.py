@@ -1,6 +1,7 @@
 """Counts, verdicts and spans against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -127,6 +128,36 @@ def test_further_spans_are_judged_and_masked(spark):
     assert rows[25].names == "" and rows[25].masked == other and rows[40].masked == ""
 
 
+def test_loose_candidates_need_an_announcing_word(spark):
+    said = ["call 4155552671 now", "my ssn is 123 45 6789 ok", "mail joe at example dot com please"]
+    bare = ["order 4155552671 shipped", "rows 123 45 6789 ok", "look at example dot com please"]
+    rows = [(i, said[i % 3], "en", "a", 0) for i in range(30)] + [(100 + i, bare[i % 3], "en", "a", 0) for i in range(60)]
+    got = {r.doc_id: r.names for r in spans(spark, documents(spark, rows)).select("doc_id", pii.names_of(F.col("spans")).alias("names")).collect()}
+    assert [got[i] for i in range(3)] == ["phone:5:15", "ssn:10:21", "email:5:27"]
+    assert {v for k, v in got.items() if k >= 100} == {""}
+    found = pii.find(documents(spark, rows))
+    assert found.select(F.sum(F.size("_candidates"))).first()[0] == 90
+
+
+def test_traits_and_their_weights(spark):
+    rows = spark.createDataFrame([("12345678901234567890x", "my Card: "), ("abc", ""), ("a1b2", "12 "), ("4155552671", "x")], "v string, b string")
+    got = [tuple(r.t) for r in rows.select(F.array(*[x.cast("int") for x in pii.traits("phone", F.col("v"), F.col("b"))]).alias("t")).collect()]
+    assert [t[:3] for t in got] == [(1, 0, 2), (0, 0, 0), (0, 0, 1), (0, 1, 2)]
+    assert got[0][3] > 0 and got[1][3] == got[2][3] == 0 and got[3][3] > 0
+    places = [pii._features((v,) * 5, t) for v in (-1, 0, 1) for t in ((0, 0, 0, 0), (1, 1, 2, 7))]
+    assert max(map(max, places)) == pii._FIRST[-1] - 1 and all(len(set(p)) == 10 for p in places)
+    # equal votes, but the word before tells them apart
+    votes = (1, 0, 0, 0, 0), (-1, 0, 0, 0, 0), (0, 0, 0, 0, 0)
+    seen = [(votes[0], (0, 0, 0, 1), 50), (votes[1], (0, 0, 0, 2), 50), (votes[2], (0, 0, 0, 1), 5), (votes[2], (0, 0, 0, 2), 5)]
+    weights = pii._train(seen, {votes[0]: 0.95, votes[1]: 0.05, votes[2]: 0.5})
+    model = pii.Model({1: weights}, {})
+    asked = spark.createDataFrame([(1, list(votes[2]), [0, 0, 0, w]) for w in (1, 2)] + [(2, list(votes[2]), [0, 0, 0, 1])], "k int, v array<int>, t array<int>")
+    first, second, unseen = [r[0] for r in asked.select(pii.probability(model, F.col("k"), F.col("v"), F.col("t"))).collect()]
+    assert first > 0.5 > second and unseen == 0.0
+    for (votes_, traits_), p in zip([(votes[2], (0, 0, 0, 1)), (votes[2], (0, 0, 0, 2))], [first, second]):
+        assert p == pytest.approx(1 / (1 + math.exp(-sum(weights[i] for i in pii._features(votes_, traits_)))))
+
+
 def test_context_and_overlaps_on_a_very_long_text(spark):
     # the context of a match is what stands before it in the text, also across earlier matches
     random.seed(6)
