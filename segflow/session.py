@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime settings. Spark broadcasts a side only when its (estimated, then measured)
 #: size is under these thresholds and falls back to a shuffled join with skew splitting
-#: beyond them. The library hints a broadcast in one place, behind a count (spatial join).
+#: beyond them. Outside the optional part the library hints a broadcast in one place,
+#: behind a count (spatial join).
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
