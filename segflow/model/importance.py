@@ -36,8 +36,9 @@ def permutation_importance(model: VolumeModel, test: DataFrame, target: str = TA
 
     Rows are numbered in hash order; every feature and repeat has its own permutation of the
     numbers. A row sends each value to the row that takes it: one join on the row
-    number moves all of them, and the variants are scored and summed where they arrive. ``test``
-    needs its ``row_hash``.
+    number moves all of them, and the variants are scored and summed where they arrive. The
+    join is a merge at any size: of an array of inputs Spark estimates one number, so it would
+    broadcast rows far beyond its threshold. ``test`` needs its ``row_hash``.
     """
     features = model.scaler.features
     n = max(1, test.count())
@@ -52,7 +53,7 @@ def permutation_importance(model: VolumeModel, test: DataFrame, target: str = TA
     to = F.pmod((F.col("row_no").cast(wide) - F.col("_way.start")) * F.col("_way.back"), F.lit(n).cast(wide)).cast("bigint")
     value = F.element_at(INPUTS, (F.col("_way.k") + 1).cast("int"))
     moved = sent.select(to.alias("row_no"), F.col("_way.i").alias("_i"), F.col("_way.k").alias("_k"), value.alias("_value"))
-    variants = moved.join(numbered, "row_no")
+    variants = moved.join(numbered.hint("merge"), "row_no")
     mixed = F.transform(INPUTS, lambda v, i: F.when(i == F.col("_k"), F.col("_value")).otherwise(v))
     error = F.col("_y") - F.col(SCORE)
     mse = F.avg(error * error).alias("_mse")
