@@ -11,13 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segflow.session import ship
+from segflow.session import bound_batches, ship
 
 #: What separates words, and a word, in Java's and DuckDB's syntax.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Bytes of a batch of rows that is sent to Python at a time.
-BATCH_BYTES = 8 << 20
 #: Bits of the largest bit table that is broadcast, 16 MB.
 MOST_BITS = 1 << 27
 
@@ -77,14 +75,6 @@ def with_python(df: DataFrame, inputs: list[str], fields: list[T.StructField], m
     return fed.mapInArrow(run, schema)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most :data:`BATCH_BYTES`, unless the session asks for less."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
-    if not 0 < now <= BATCH_BYTES:
-        spark.conf.set(key, f"{BATCH_BYTES}b")
-
-
 def _arrow_kinds(fields: list[T.StructField]) -> list[pa.DataType]:
     from pyspark.sql.pandas.types import to_arrow_type
 
