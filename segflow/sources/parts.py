@@ -1,6 +1,8 @@
 """Tables whose parts are replaced as a whole, and the cached scan of CSV files.
 
-A table lies in a folder as Parquet below ``run=<id>/<key>=<value>``. Every write is a new run;
+A table lies in a folder as Parquet below ``run=<id>/<key>=<value>``, or, where a write has more
+parts than :data:`FOLDERS`, below ``run=packed-<id>`` with its rows in order of their keys: files
+then follow the bytes, not the parts. Every write is a new run;
 a small record, written last and put in place by one rename, says which run each part
 is read from. So a rerun replaces only the parts that it makes, files of other parts
 are not touched, a reader sees all of a write or nothing of it, and a job that
@@ -11,6 +13,7 @@ apart: the later one gets an error. The rename must be atomic, as on HDFS and lo
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +23,10 @@ from segflow import schema
 from segflow.sources.readers import files_by_header, read_csv
 
 _RECORDS = "_commits"
+#: Most parts of a write that get a folder of their own.
+FOLDERS = 500
+#: How the name of a run without such folders begins.
+_PACKED = "packed-"
 
 
 class WriteConflict(RuntimeError):
@@ -62,11 +69,11 @@ def replace_parts(df: DataFrame, folder: str, keys: list[str], replaced: DataFra
     Columns may come and go between runs; a row lacks, as null, those its run did not have.
     """
     spark = df.sparkSession
-    names, run = _names(spark, folder), uuid.uuid4().hex
-    df.write.partitionBy(*keys).parquet(f"{folder}/run={run}")
+    names = _names(spark, folder)
+    run = _write(df, folder, keys, replaced)
     kinds = T.StructType([df.schema[k] for k in keys])
     if replaced is None:
-        replaced = _written(spark, folder, [run], df.schema).select(*keys).distinct()
+        replaced = _written(spark, folder, [run], df.schema, keys).select(*keys).distinct()
     made = replaced.select(*[F.col(f.name).cast(f.dataType) for f in kinds], *[c for c in replaced.columns if c not in keys], F.lit(run).alias("run"))
     known, fields = parts(spark, folder), df.schema
     if known is not None:
@@ -82,6 +89,27 @@ def replace_parts(df: DataFrame, folder: str, keys: list[str], replaced: DataFra
     _put_in_force(spark, folder, names, run, draft)
 
 
+def _write(df: DataFrame, folder: str, keys: list[str], replaced: DataFrame | None) -> str:
+    """Write the rows of a run; its name. Where it is not known how many parts there are, the rows
+    are written packed, and once more by folder if the parts are few."""
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    few = replaced is not None and replaced.limit(FOLDERS + 1).count() <= FOLDERS
+    if not few:
+        # an empty text is none, as in the name of a folder
+        text = {k: F.when(F.col(k) != "", F.col(k)) for k in keys if df.schema[k].dataType == T.StringType()}
+        path = f"{folder}/run={_PACKED}{run}"
+        df.withColumns(text).sortWithinPartitions(*keys).write.parquet(path)
+        rows = spark.read.schema(df.schema).parquet(path)
+        if rows.select(*keys).distinct().limit(FOLDERS + 1).count() > FOLDERS:
+            return _PACKED + run
+        df = rows
+    df.write.partitionBy(*keys).parquet(f"{folder}/run={run}")
+    if not few:
+        fs, place = _files(spark, path)
+        fs.delete(place, True)
+    return run
+
+
 def _put_in_force(spark: SparkSession, folder: str, names: list[str], run: str, draft: str) -> None:
     number = f"{int(names[-1].split('-')[0]) + 1 if names else 1:012d}-"
     fs, place = _files(spark, draft)
@@ -101,22 +129,26 @@ def _schema(spark: SparkSession, folder: str, name: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(spark.read.text(f"{folder}/{_RECORDS}/{name}/schema").first().value))
 
 
-def _written(spark: SparkSession, folder: str, runs: list[str], fields: T.StructType) -> DataFrame:
+def _written(spark: SparkSession, folder: str, runs: list[str], fields: T.StructType, keys: list[str]) -> DataFrame:
+    """The rows of the runs, their ``keys`` and ``run`` last."""
     kind = T.StructType([*fields.fields, T.StructField("run", T.StringType())])
-    if not runs:
-        return spark.createDataFrame([], kind)
-    return spark.read.schema(kind).option("basePath", folder).parquet(*[f"{folder}/run={r}" for r in runs])
+    found = []
+    for some in ([r for r in runs if not r.startswith(_PACKED)], [r for r in runs if r.startswith(_PACKED)]):
+        if some:
+            read = spark.read.schema(kind).option("basePath", folder).parquet(*[f"{folder}/run={r}" for r in some])
+            found.append(read.select(*[c for c in fields.names if c not in keys], *keys, "run"))
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], kind)
 
 
 def read_parts(spark: SparkSession, folder: str, keys: list[str]) -> DataFrame:
     """The rows of the parts in force. Only runs that a part is read from are listed; a filter on
-    the keys prunes folders."""
+    the keys prunes folders, and of packed runs row groups."""
     names = _names(spark, folder)
     if not names:
         raise FileNotFoundError(f"no record of parts in {folder}")
     live = parts(spark, folder)
     runs = sorted(r.run for r in live.select("run").distinct().collect())
-    rows = _written(spark, folder, runs, _schema(spark, folder, names[-1]))
+    rows = _written(spark, folder, runs, _schema(spark, folder, names[-1]), keys)
     return rows.alias("l").join(live.select(*keys, "run").alias("r"), _same([*keys, "run"]), "left_semi").drop("run")
 
 
@@ -188,7 +220,7 @@ STATION_PART = ["year", "STATION_ID", "state"]
 def write_stations(df: DataFrame, folder: str, year: str) -> None:
     """The rows of each station, state and year in place of earlier ones; all other stations
     stay as they are. A station's rows are gathered, and split where they are too many
-    for one task."""
+    for one task; more stations than :data:`FOLDERS` share files."""
     balanced = df.withColumn("year", F.lit(year)).hint("rebalance", "STATION_ID", "state")
     replace_parts(balanced, folder, STATION_PART)
 

@@ -249,3 +249,24 @@ def test_importance_log_has_each_epoch_once(spark, tmp_path):
     for epoch, value in ((1, 1.0), (2, 2.0), (2, 2.5), (3, 3.0)):
         parts.write_importance(spark.createDataFrame([(epoch, "a", value)], "epoch int, feature string, importance double"), log)
     assert sorted((r.epoch, r.importance) for r in parts.read_importance(spark, log).collect()) == [(1, 1.0), (2, 2.5), (3, 3.0)]
+
+
+def test_many_stations_share_files(spark, tmp_path):
+    folder, n = str(tmp_path / "d"), parts.FOLDERS + 1
+    rows = spark.range(n).select(F.col("id").cast("string").alias("STATION_ID"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("S"), F.col("id") % 3)).alias("state"), F.lit(1).alias("VOL"))
+    parts.write_stations(rows, folder, "2022")
+    files = lambda: [p for p in (tmp_path / "d").glob("run=*/**/*.parquet")]
+    assert len(files()) < 50
+    # a later run with folders, with another column and without a text
+    some = rows.where("VOL = 1 and cast(STATION_ID as int) < 4").withColumns({"VOL": F.lit(2), "new": F.lit("x")})
+    parts.write_stations(some.union(spark.createDataFrame([("", "S1", 3, "y")], some.schema)), folder, "2022")
+    assert len(files()) < 60
+    back = readers.dataset_folder(spark, folder)
+    assert back.columns == ["VOL", "new", "year", "STATION_ID", "state"]
+    got = sorted((r.STATION_ID or "", r.state, r.VOL, r.new, r.year) for r in back.collect())
+    state = lambda i: f"S{i % 3}" if i % 3 else None
+    want = [(str(i), state(i), 2 if i < 4 else 1, "x" if i < 4 else None, "2022") for i in range(n)]
+    assert got == sorted([*want, ("", "S1", 3, "y", "2022")])
+    assert parts.drop_unused(spark, folder) == 0
+    parts.write_stations(rows, folder, "2022")
+    assert parts.drop_unused(spark, folder) == 1 and readers.dataset_folder(spark, folder).count() == n + 1
