@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from segflow.operators import histograms, rank, spatial
 from segflow.operators.neighbours import with_hour_neighbours, with_neighbours
 from segflow.operators.substring import first_containing
+from segflow.standins import StandIns
 
 
 def plan_of(df):
@@ -250,3 +251,18 @@ def test_an_outlier_does_not_crowd_a_bucket(spark):
         values = np.sort(np.array([r.v for r in df.collect()]))
         got = {r.prob: r.value for r in rank.exact_percentiles(df, "v", [0.0, 0.3, 0.5, 1.0]).collect()}
         assert all(got[p] == pytest.approx(np.percentile(values, 100 * p), rel=1e-12, abs=1e-20) for p in got)
+
+
+def test_lines_fetch_the_pairs_found_from_their_files(spark):
+    lines = spark.createDataFrame([("a", "LINESTRING (0 0, 1 1)")], "name string, wkt string")
+    points = spark.createDataFrame([(0.5, 0.5)], "lon double, lat double")
+    got = spatial.lines_near_points(lines, points, "wkt", "lon", "lat", 0.01)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 1 and "Generate" not in text and "FileScan parquet" in text
+
+
+def test_segments_are_dealt_to_all_tasks(spark, tmp_path):
+    spark.range(20).select(F.col("id").alias("c_custkey")).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    t = StandIns(spark, str(tmp_path))
+    assert t.shape.count() == 20
+    assert t.shape.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
