@@ -46,7 +46,7 @@ _KEY_BITS = 40
 _SHARD_BITS = 3
 #: Words that a task counts before it shuffles, on average, counts that it holds at a time, and
 #: words whose counts come together in a bucket.
-_TASK_WORDS, _HELD, _BUCKET_WORDS = 1 << 22, 1 << 20, 1 << 21
+_TASK_WORDS, _HELD, _BUCKET_WORDS = 1 << 22, 1 << 20, 1 << 19
 
 
 @dataclass(frozen=True)
@@ -219,12 +219,19 @@ def _packed(held: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
     however many buckets there are. Bytes of one place stand together: the high ones of
     steps and counts are nearly all zero, shards are runs, and the shuffle compresses both.
     """
-    language, keys, n = _summed(*(np.concatenate(x) for x in zip(*held)))
+    joined = [np.concatenate(x) for x in zip(*held)]
+    held.clear()
+    language, keys, n = _summed(*joined)
+    del joined
     names, number = np.unique(language, return_inverse=True)
-    hashed, shard = keys >> np.uint64(64 - _KEY_BITS), (keys & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.int64)
+    del language
+    hashed, shard = keys >> np.uint64(64 - _KEY_BITS), (keys & np.uint64((1 << _SHARD_BITS) - 1)).astype(np.uint8)
+    del keys
     cell = (hashed * np.uint64(buckets) >> np.uint64(_KEY_BITS)).astype(np.int64) * len(names) + number
+    del number
     order = np.argsort(cell << _SHARD_BITS | shard, kind="stable")
-    cell, hashed, shard, n = cell[order], hashed[order], shard[order].astype(np.uint8), n[order]
+    cell, hashed, shard, n = cell[order], hashed[order], shard[order], n[order]
+    del order
     cuts = np.flatnonzero(np.diff(cell, prepend=-1))
     steps = np.diff(hashed, prepend=np.uint64(0))
     steps[cuts] = hashed[cuts]
@@ -273,6 +280,8 @@ def _frequent(docs: DataFrame, settings: Settings) -> DataFrame:
         each = words.mapInArrow(partial(_mine, length, buckets, shared), kind).join(needs, "language")
         frequent = each.groupBy("bucket", "language").applyInArrow(_sum_bucket, "key long")
         found.append(stored(frequent, "frequent"))
+        if shared is not None:
+            shared.destroy()  # else every worker keeps the tables of all lengths
         if length < settings.longest:
             shared = spark.sparkContext.broadcast(bit_table(found[-1], in_shard, settings.most_bits))
     return reduce(DataFrame.unionByName, found)
@@ -327,7 +336,9 @@ def phrase_counts(docs: DataFrame, settings: Settings = Settings(), key: str = "
     read = own.select("lang", F.xxhash64("lang").alias("language"), "text")
     each = read.mapInArrow(partial(_count, settings.longest, shared), "lang string, phrase string, n long")
     counts = each.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return stored(counts.where(F.col("phrase").isNull() | (F.col("n") >= settings.support)), "phrases")
+    counted = stored(counts.where(F.col("phrase").isNull() | (F.col("n") >= settings.support)), "phrases")
+    shared.destroy()
+    return counted
 
 
 # ---- scores -----------------------------------------------------------------

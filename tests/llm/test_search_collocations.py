@@ -190,3 +190,13 @@ def test_ranking_of_awkward_tables(spark):
 def test_long_products_of_document_lengths():
     n = np.array([10**7, 3], np.int64)
     assert lexical.share(n, 10**13, 5 * 10**15).tolist() == [50 + 50 * 10**20 // (5 * 10**15), 50]
+
+
+def test_tables_of_phrases_are_taken_back(spark, monkeypatch):
+    from pyspark import SparkContext
+
+    made, first = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: made.append(first(self, value)) or made[-1])
+    docs = spark.createDataFrame([(i, "a b c d e. a b", "x") for i in range(200)], "doc_id long, text string, lang string")
+    assert collocations.phrase_counts(docs).where("phrase = 'a b'").first().n == 400
+    assert len(made) == 5 and not any(b._jbroadcast.isValid() for b in made)
