@@ -3,7 +3,8 @@
 For every prefix of a word only the last token of the prefix's encoding is kept:
 it is the one token that ends there and may follow the last token of the rest.
 Distinct words share a trie, so the state of a shared prefix is computed once: sorted
-words visit the trie depth-first, and only the path to the present word is held. The
+words lie side by side as they do in the trie, and all of them take a letter at a time. Very long
+words visit it depth-first instead, and only the path to the present word is held. The
 tokens of a word are read back from its end, last token by last token.
 """
 
@@ -12,7 +13,8 @@ from __future__ import annotations
 import gc
 import json
 import unicodedata
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 from itertools import chain
 
@@ -32,9 +34,12 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters of a text that are cut into words at a time, and of texts whose words are
 #: walked together.
 PIECE, GROUP = 1 << 20, 1 << 20
-#: Bytes of the longest word whose ids are kept, and how many words and chunks a task keeps
-#: before it starts anew. They bound memory and change no result.
+#: Bytes of the longest word whose ids are kept and that takes its letters beside others, and how
+#: many words and chunks a task keeps before it starts anew. They bound memory and change no result.
 TRIE_BYTES, TRIE_STATES = 64, 250_000
+#: Words that take their letters side by side, and answers that a table of them keeps (a power of
+#: two). They bound memory and change no result.
+ABREAST, ANSWERS = 1 << 15, 1 << 18
 #: Below this code point case, composition and classes are the same in all versions
 #: of Unicode in use here; other texts go through the tokenizer file's own steps.
 SETTLED = 0x530
@@ -60,7 +65,7 @@ class Vocabulary:
         letters = {c: b for b, c in byte_letters().items()}
         self.inner: dict[str, int] = {}
         self.final: dict[str, int] = {}
-        self.width: dict[int, int] = {}
+        self.width = array("i", [0]) * (max(ids.values(), default=-1) + 1)
         for token, i in ids.items():
             ends = token.endswith(WORD_END) and len(token) > len(WORD_END)
             raw = "".join(chr(letters[c]) for c in (token[: -len(WORD_END)] if ends else token))
@@ -132,6 +137,25 @@ class Vocabulary:
         return True
 
 
+class Answers:
+    """Answers to whole arrays of questions, which are numbers from 0. A place of the table keeps
+    the newest answer of the questions that share it."""
+
+    def __init__(self, answer: Callable[[int], int]):
+        self.answer = answer
+        self.asked, self.told = np.full(ANSWERS, -1, np.int64), np.empty(ANSWERS, np.int32)
+
+    def __call__(self, questions: np.ndarray) -> np.ndarray:
+        at = (questions * 0x9E3779B97F4A7C1 >> 40) & (ANSWERS - 1)
+        out = self.told[at]
+        new = np.flatnonzero(self.asked[at] != questions)
+        if len(new):
+            fresh = questions[new]
+            out[new] = list(map(self.answer, fresh.tolist()))
+            self.asked[at[new]], self.told[at[new]] = fresh, out[new]
+        return out
+
+
 class Endings:
     """Which tokens end at a place of a word, longest first.
 
@@ -156,9 +180,13 @@ class Endings:
                         self.own.append(-1)
                     state = found
                 self.own[state] = token
-        self.width = vocabulary.width
         self._back: list[int | None] = [0] + [None] * (len(self.own) - 1)
-        self._ends: list[list[tuple[int, int]] | None] = [[]] + [None] * (len(self.own) - 1)
+        #: The nearest state with a token, at a state or behind it, and the nearest behind it;
+        #: 0 if there is none, -1 if not yet worked out. The other names are for whole arrays.
+        self.near, self.behind = array("i", [0]) + array("i", [-1]) * (len(self.own) - 1), array("i", [0]) * len(self.own)
+        self.own = array("i", self.own)
+        self.all_near, self.all_behind, self.all_own = (np.frombuffer(x, np.int32) for x in (self.near, self.behind, self.own))
+        self._steps = Answers(lambda pair: self.step(pair >> 9, pair & 511))
 
     def step(self, state: int, code: int) -> int:
         found = self.go.get(state << 9 | code)
@@ -172,28 +200,95 @@ class Endings:
             self._back[state] = self.step(self.back(parent), self.letter[state]) if parent else 0
         return self._back[state]
 
-    def ends(self, state: int) -> list[tuple[int, int]]:
-        """(length, token) of all tokens that end in the state."""
-        if self._ends[state] is None:
-            own = self.own[state]
-            self._ends[state] = ([(self.width[own], own)] if own >= 0 else []) + self.ends(self.back(state))
-        return self._ends[state]
+    def settle(self, state: int) -> int:
+        """Work out ``near`` and ``behind`` of the state and of those it falls back to."""
+        if self.near[state] < 0:
+            self.behind[state] = self.settle(self.back(state))
+            self.near[state] = state if self.own[state] >= 0 else self.behind[state]
+        return self.near[state]
+
+    def steps(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """:meth:`step` for each pair, and their ``near`` and ``behind`` worked out."""
+        found = self._steps(states.astype(np.int64) << 9 | codes)
+        for state in set(found[self.all_near[found] < 0].tolist()):
+            self.settle(state)
+        return found
 
 
 class Trie:
-    """A trie of words with the last token of each prefix, walked depth-first.
+    """A trie of words with the last token of each prefix.
 
-    Sorted words are that walk: the path holds the states of the prefixes of one word, and the
-    next word keeps what both share. A word's last letter is of its own kind, as
-    tokens at a word's end are tokens of their own, and so never on the path.
+    Sorted words are a depth-first walk of it: each keeps what it shares with the word before.
+    A word's last letter is of its own kind, as tokens at a word's end are tokens of
+    their own, and so never shared.
     """
 
     def __init__(self, vocabulary: Vocabulary, endings: Endings):
         self.vocabulary, self.endings = vocabulary, endings
-        self.packed = {t: t.to_bytes(4, "little") for t in vocabulary.strings}
+        self.widths = np.frombuffer(vocabulary.width, np.int32)
+        self._fits = Answers(self._fit)
 
     def encode(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         """The packed ids of each of the sorted ``words`` of byte letters."""
+        short = [w for w in words if len(w) <= TRIE_BYTES]
+        for at in range(0, len(short), ABREAST):
+            some = short[at : at + ABREAST]
+            yield from zip(some, self._abreast(some))
+        if len(short) < len(words):
+            yield from self._deep([w for w in words if len(w) > TRIE_BYTES])
+
+    def _abreast(self, words: list[str]) -> list[bytes]:
+        """All words take a letter at a time; only the first word with a prefix works it out."""
+        codes = [w.encode("latin-1") for w in words]
+        lengths = np.fromiter(map(len, codes), np.int64, len(codes))
+        width = int(lengths.max())
+        letters = _letters(codes, width)
+        keep, number = np.array(_shared(codes)), np.arange(len(codes))
+        states, lasts = np.zeros(len(codes), np.int32), np.full((len(codes), width + 1), -1, np.int32)
+        for i in range(width):
+            own = keep <= i
+            rows = np.flatnonzero(own & (i < lengths))
+            after = self.endings.steps(states[rows], letters[rows, i] + 256 * (lengths[rows] == i + 1))
+            states[rows] = after
+            lasts[rows, i + 1] = self._tokens(after, i + 1, rows, lasts)
+            first = np.maximum.accumulate(np.where(own, number, 0))
+            states, lasts[:, i + 1] = states[first], lasts[first, i + 1]
+        return self._read_all(lasts, lengths)
+
+    def _tokens(self, states: np.ndarray, end: int, rows: np.ndarray, lasts: np.ndarray) -> np.ndarray:
+        """:meth:`_token` for the states that words number ``rows`` are in."""
+        endings, out = self.endings, np.empty(len(states), np.int32)
+        open_, at = np.arange(len(states)), endings.all_near[states]
+        while len(open_):
+            if not at.all():
+                raise ValueError("no token ends here")
+            token = endings.all_own[at]
+            size = self.widths[token]
+            good = size == end
+            ask = np.flatnonzero(~good)
+            good[ask] = self._fits(lasts[rows[open_[ask]], end - size[ask]].astype(np.int64) << 20 | token[ask])
+            out[open_[good]] = token[good]
+            open_, at = open_[~good], endings.all_behind[at[~good]]
+        return out
+
+    def _read_all(self, lasts: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+        """The packed ids of all words, whose ``lasts`` are rows."""
+        rows, ends, taken, counts = np.arange(len(lengths)), lengths, [], np.zeros(len(lengths), np.int64)
+        while len(rows):
+            tokens = lasts[rows, ends]
+            taken.append((rows, tokens))
+            counts[rows] += 1
+            ends = ends - self.widths[tokens]
+            rows, ends = rows[ends > 0], ends[ends > 0]
+        until = np.cumsum(counts)
+        ids = np.empty(int(until[-1]), "<u4")
+        for i, (rows, tokens) in enumerate(taken, 1):
+            ids[until[rows] - i] = tokens
+        packed, bounds = ids.tobytes(), (4 * until).tolist()
+        return [packed[a:b] for a, b in zip([0, *bounds], bounds)]
+
+    def _deep(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Depth-first, one word after the other; the path holds the states of a word's prefixes."""
         step, token_of, go = self.endings.step, self._token, self.endings.go
         codes = [w.encode("latin-1") for w in words]
         path, lasts = [0], [-1]
@@ -207,26 +302,37 @@ class Trie:
                 path.append(state)
             yield word, self._read(lasts, token_of(step(state, letters[end] + 256), end + 1, lasts))
 
+    def _fit(self, pair: int) -> bool:
+        """:meth:`Vocabulary.fits` of two ids in one number."""
+        known = self.vocabulary.known_fits.get(pair)
+        return self.vocabulary.fits(pair >> 20, pair & 0xFFFFF) if known is None else known
+
     def _token(self, state: int, end: int, lasts: list[int]) -> int:
         """The one token that ends in the state and fits what comes before it."""
-        known = self.vocabulary.known_fits
-        for size, token in self.endings.ends(state):
+        endings, width = self.endings, self.vocabulary.width
+        at = endings.settle(state)
+        while at:
+            token = endings.own[at]
+            size = width[token]
             if size == end:
                 return token
-            before = lasts[end - size]
-            good = known.get(before << 20 | token)
-            if good or (good is None and self.vocabulary.fits(before, token)):
+            if self._fit(lasts[end - size] << 20 | token):
                 return token
+            at = endings.behind[at]
         raise ValueError("no token ends here")
 
     def _read(self, lasts: list[int], token: int) -> bytes:
-        width, packed = self.vocabulary.width, self.packed
-        out, end = [packed[token]], len(lasts) - width[token]
+        width, out = self.vocabulary.width, [token]
+        end = len(lasts) - width[token]
         while end:
-            token = lasts[end]
-            out.append(packed[token])
-            end -= width[token]
-        return b"".join(out[::-1]) if len(out) > 1 else out[0]
+            out.append(lasts[end])
+            end -= width[lasts[end]]
+        return np.array(out[::-1], "<u4").tobytes()
+
+
+def _letters(words: list[bytes], width: int) -> np.ndarray:
+    """A row of ``width`` letters for each word, with zeros behind the shorter ones."""
+    return np.array([w[:width] for w in words], f"S{width}").view(np.uint8).reshape(len(words), width)
 
 
 def _shared(words: list[bytes]) -> list[int]:
@@ -235,7 +341,7 @@ def _shared(words: list[bytes]) -> list[int]:
         return []
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     width = min(int(lengths.max()), TRIE_BYTES)
-    letters = np.array([w[:width] for w in words], f"S{width}").view(np.uint8).reshape(len(words), width)
+    letters = _letters(words, width)
     differ = letters[1:] != letters[:-1]
     same = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
     return [0, *np.minimum(same, np.minimum(lengths[1:], lengths[:-1]) - 1).tolist()]
@@ -266,17 +372,20 @@ class Encoder:
         self.known_words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
-    def _words(self, chunks: list[str]) -> list[list[str]]:
-        """Normalised words of each plain chunk, as one letter for each byte."""
+    def _words(self, chunks: list[str]) -> list[str | list[str]]:
+        """Normalised words of each plain chunk, as one letter for each byte; a chunk of letters
+        alone is a word."""
         whole = "\n".join(chunks)
         whole = whole.lower() if whole.isascii() else unicodedata.normalize("NFC", whole).replace("Σ", "σ").lower()
-        out = [own := []]
-        for w in self.words.findall(whole):
+        out = whole.split("\n")
+        mixed = [i for i, x in enumerate(out) if not x.isalpha()]
+        at = iter(mixed)
+        for w in self.words.findall("\n".join(["", *map(out.__getitem__, mixed)])):
             if w == "\n":
-                out.append(own := [])
+                out[next(at)] = own = []
             else:
                 own.append(w if w.isascii() else w.encode().decode("latin-1"))
-        return out
+        return [x if type(x) is list or x.isascii() else x.encode().decode("latin-1") for x in out]
 
     def _other_words(self, text: str) -> list[str]:
         """The same for any text, by the steps that the file names."""
@@ -302,7 +411,7 @@ class Encoder:
         at = 0
         for match in self.specials.finditer(text) if self.specials else ():
             yield from self._plain_parts(text[at : match.start()])
-            yield self.trie.packed[self.vocabulary.special[match[0]]], 0
+            yield self.vocabulary.special[match[0]].to_bytes(4, "little"), 0
             at = match.end()
         yield from self._plain_parts(text[at:] if at else text)
 
@@ -329,10 +438,10 @@ class Encoder:
         known, known_words = self.known, self.known_words
         chunks = list(set().union(*(p for _, p in group if type(p) is list)).difference(known))
         cut = self._words(chunks) if chunks else []
-        words = set(chain.from_iterable(cut)).union(*(p for _, p in group if type(p) is tuple)).difference(known_words)
+        words = set(chain.from_iterable(x for x in cut if type(x) is list)).union((x for x in cut if type(x) is str), *(p for _, p in group if type(p) is tuple)).difference(known_words)
         known_words.update(self.trie.encode(sorted(words)))
         for chunk, own in zip(chunks, cut):
-            known[chunk] = known_words[own[0]] if len(own) == 1 else b"".join(map(known_words.__getitem__, own))
+            known[chunk] = known_words[own] if type(own) is str else b"".join(map(known_words.__getitem__, own))
         for out, part in group:
             out.append(part if type(part) is bytes else b"".join(map((known if type(part) is list else known_words).__getitem__, part)))
         for names, kept in ((chunks, known), (words, known_words)):

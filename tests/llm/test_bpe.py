@@ -63,6 +63,25 @@ def test_new_tries_and_pieces_change_nothing(encoder, library, monkeypatch):
         check(encoder, library, " ".join(random.choice(words) for _ in range(30)))
 
 
+def test_words_take_their_letters_side_by_side(library, monkeypatch):
+    monkeypatch.setattr(bpe, "ABREAST", 100, raising=False)
+    monkeypatch.setattr(bpe, "ANSWERS", 16, raising=False)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = bpe.Encoder(f.read())
+    alone, rounds = [], []
+    token, steps = bpe.Trie._token, getattr(bpe.Endings, "steps", None)
+    monkeypatch.setattr(bpe.Trie, "_token", lambda *a: alone.append(1) or token(*a))
+    monkeypatch.setattr(bpe.Endings, "steps", lambda *a: rounds.append(1) or steps(*a), raising=False)
+    random.seed(7)
+    words = ["".join(random.choice(["th", "e", "ing", "ör", "an", "a\0", "ç", "9", "'s"]) for _ in range(random.randint(1, 9))) for _ in range(1000)]
+    words += ["a", "ab", "abc", "a\0", "a\0b", "x" * bpe.TRIE_BYTES, "x" * (bpe.TRIE_BYTES - 1), "É", "İ", "Σας", "e\u0301t\u00e9"]
+    check(encoder, library, " ".join(words))
+    # a Python call for each letter of each word is what made it slow
+    assert not alone and 0 < len(rounds) < 1200 < sum(map(len, set(words)))
+    check(encoder, library, "x" * (bpe.TRIE_BYTES + 1) + " " + " ".join(words[:9]))
+    assert len(alone) == bpe.TRIE_BYTES + 1
+
+
 def test_awkward_rows(spark, library):
     vocabulary = bpe.load(spark, PATH)
     docs = documents(spark)
