@@ -48,6 +48,18 @@ def test_fingerprint_equals_plain_python_whole_and_in_pieces(monkeypatch, size):
         assert simhash.simhash(text) == plain_fingerprint(text)
 
 
+def _joins(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("distance", [1, 2])
+def test_cells_are_never_broadcast_on_an_estimate_from_before_the_explode(spark, distance):
+    codes = spark.createDataFrame([(c,) for c in range(60)], "_code long")
+    text = _joins(simhash.links(codes, distance))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
 @pytest.mark.parametrize("distance", [0, 1, 2])
 def test_links_equal_all_pairs(spark, distance):
     random.seed(distance)
