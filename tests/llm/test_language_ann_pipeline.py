@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from samples import DOCS, documents, empty
-from segflow.llm import ann, language_id
+from segflow.llm import ann, language_id, simhash
 from segflow.llm.queries import QUERIES
 from segflow.session import stored
 
@@ -245,3 +245,18 @@ def test_stages_take_awkward_and_empty_tables(spark):
 def test_rows_of_the_awkward_tables_are_not_lost_by_language(spark):
     got = corpus_pipeline.identify_language(spark, documents(spark, DOCS), "")
     assert {r.doc_id for r in got.collect()} <= {None, 3, 4, 5, 6, 9, -10}
+
+
+def test_the_near_duplicates_of_the_pipeline_come_without_a_broadcast_of_cells(spark, monkeypatch):
+    joined, links = [], simhash.links
+
+    def seen(codes, distance):
+        joined.append(links(codes, distance))
+        return joined[-1]
+
+    monkeypatch.setattr(simhash, "links", seen)
+    docs = spark.createDataFrame([(i, f"some words {i} of text {i % 3}") for i in range(30)], "doc_id long, text string")
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, "").count() > 0
+    joined[0].collect()
+    text = joined[0]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
